@@ -10,7 +10,7 @@ from .queries import LOG_COLUMNS, RATIO_COLUMNS, REDELIVERED_FROM, WEEK, ZONE_CO
 
 LOG = """
 log AS (
-  SELECT epoch_ms(ts) AS ts,
+  SELECT epoch_us(ts) // 1000 AS ts,
          CASE WHEN event_id % 89 = 0 THEN NULL WHEN event_id % 97 = 0 THEN '' ELSE CAST(user_id AS VARCHAR) END AS "userId",
          CAST(event_id // 20 AS INTEGER) AS "sessionId",
          CASE event_type
@@ -97,7 +97,9 @@ levels AS (
   FROM windowed WHERE event_date = date_to GROUP BY 1
 ),
 spans AS (
-  SELECT *, CAST(date_diff('day', registration_date, date_to) + 1 AS INTEGER) AS days_since_registration,
+  SELECT * REPLACE (coalesce(num_songs, 0) AS num_songs, coalesce(num_songs_unique, 0) AS num_songs_unique,
+                    coalesce(num_artist, 0) AS num_artist),
+         CAST(date_diff('day', registration_date, date_to) + 1 AS INTEGER) AS days_since_registration,
          CAST(date_diff('day', date_from, date_to) + 1 AS INTEGER) AS days_in_member
   FROM days {inner} songs USING ("userId") LEFT JOIN paid USING ("userId")
        LEFT JOIN pages_of USING ("userId") LEFT JOIN levels USING ("userId")
@@ -143,7 +145,7 @@ def describe(where: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS metric, count(v) AS \"count\", avg(v) AS mean, stddev_samp(v) AS std, min(v) AS min, "
         f"quantile_cont(v, 0.25) AS p25, quantile_cont(v, 0.5) AS p50, quantile_cont(v, 0.75) AS p75, max(v) AS max "
-        f'FROM (SELECT CAST("{c}" AS DOUBLE) AS v FROM users {where}) HAVING count(v) > 0'
+        f'FROM (SELECT CAST("{c}" AS DOUBLE) AS v FROM users {where})'
         for c in [*NUMBERS, "churn"]
         if c != "churn" or not where
     )

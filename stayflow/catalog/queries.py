@@ -447,7 +447,7 @@ def live_page_totals(spark, folder):
 @query("stream_progress")
 def stream_progress(spark, folder):
     run = _streamed_counts(spark, json_lines(activity_log(spark, folder)), counts.page_counts)[1]
-    return runs.progress(run)
+    return runs.progress(spark, run)
 
 
 # --- vectors, splits, scorecards -----------------------------------------------------------------------------

@@ -32,7 +32,8 @@ def running_totals(
 ) -> DataFrame:
     """Add ``cum_<t>`` for each of ``totals``; ``df`` must hold one row per ``order_by`` value."""
     cuts = df.agg(cut_points(F.col(order_by), buckets).alias("cuts")).scalar()
-    placed = df.withColumn("_bucket", bucket_of(F.col(order_by), cuts))
+    placed = df.withColumn("_cuts", cuts).withColumn("_bucket", bucket_of(F.col(order_by), F.col("_cuts")))
+    placed = placed.drop("_cuts")
     direction = F.desc if descending else F.asc
 
     # At most ``buckets`` rows, so this window and the broadcast have a fixed size.

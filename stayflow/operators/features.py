@@ -168,7 +168,7 @@ def users_from_daily(
     recent = marked.where(F.datediff("date_to", "event_date") < days)
     earliest = F.date_add(F.max("date_to"), 1 - days)
     users = recent.groupBy("userId").agg(
-        F.sum(SONG_PAGE).alias("num_songs"),
+        F.coalesce(F.sum(SONG_PAGE), F.lit(0)).alias("num_songs"),
         F.sum("songs").alias("num_songs_unique"),
         F.sum("artists").alias("num_artist"),
         F.sum("play_length").alias("total_play_length"),
@@ -179,12 +179,11 @@ def users_from_daily(
         F.max("date_to").alias("date_to"),
         F.min("registered").alias("registration_date"),
         F.nullif(F.sum("paid"), F.lit(0)).alias("num_active_days_paid"),
-        *[F.sum(c).alias(n) for c, n in zip(quoted(pages), pages) if n != SONG_PAGE],
+        *[F.sum(c).alias(n) for c, n in zip(quoted(pages), pages)],
         F.min(F.when(F.col("event_date") == F.col("date_to"), F.col("level"))).alias("current_level"),
         *([F.coalesce(F.max("churn"), F.lit(0)).alias("churn")] if churn else []),
     )
     users = users.withColumn("current_level_paid", _paid_flag(F.col("current_level")))
-    users = users.withColumn(SONG_PAGE, F.col("num_songs"))
     if not keep_inactive:
         users = users.where(F.col("num_songs") > 0)
     return with_ratios(users).select(quoted(user_columns(pages, churn)))

@@ -45,11 +45,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, by: str | None
     group = by or "_all"
     table = df if by else df.withColumn(group, F.lit(0))
     doubles = [F.col(f"`{c}`").cast("double").alias(c) for c in columns]
-    values = (
-        table.select(group, *doubles)
-        .unpivot([group], quoted(columns), "metric", "value")
-        .where(F.col("value").isNotNull())
-    )
+    values = table.select(group, *doubles).unpivot([group], quoted(columns), "metric", "value")
     key = [group, "metric"]
     # One row per group and column: small enough to send to every task.
     stats = values.groupBy(*key).agg(
@@ -60,7 +56,8 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, by: str | None
         F.max("value").alias("max"),
         cut_points(F.col("value"), 64).alias("cuts"),
     )
-    placed = values.join(F.broadcast(stats.select(*key, "cuts")), key).select(
+    present = values.where(F.col("value").isNotNull())
+    placed = present.join(F.broadcast(stats.select(*key, "cuts")), key).select(
         *key, "value", bucket_of(F.col("value"), F.col("cuts")).alias("bucket")
     )
     order = Window.partitionBy(*key).orderBy("bucket")
@@ -82,7 +79,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, by: str | None
         .withColumn("start", F.col("end") - F.col("copies"))
     )
     quartiles = ranked.groupBy(*key).agg(*[_interpolated(q).alias(n) for n, q in QUARTILES.items()])
-    result = stats.join(F.broadcast(quartiles), key).select(*key, *STATISTICS)
+    result = stats.join(F.broadcast(quartiles), key, "left").select(*key, *STATISTICS)
     return result if by else result.drop(group)
 
 

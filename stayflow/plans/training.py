@@ -173,7 +173,7 @@ def grid_search(
     return Search(
         family.name,
         PipelineModel(stages=[*stages.stages, search.bestModel]),
-        list(search.avgMetrics),
+        [float(area) for area in search.avgMetrics],
         [{p.name: v for p, v in combination.items()} for combination in family.grid],
     )
 

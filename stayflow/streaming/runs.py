@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 PROGRESS_SCHEMA = "name string, batch_id bigint, input_rows bigint"
@@ -28,7 +28,7 @@ def stop_when_idle(query: StreamingQuery) -> bool:
     return False
 
 
-def progress(query: StreamingQuery) -> DataFrame:
+def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """Batch ids and input rows of the query's recent batches."""
     rows = [(query.name, p["batchId"], p["numInputRows"]) for p in query.recentProgress]
-    return query.sparkSession.createDataFrame(rows, PROGRESS_SCHEMA)
+    return spark.createDataFrame(rows, PROGRESS_SCHEMA)

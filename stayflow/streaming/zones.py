@@ -124,10 +124,13 @@ def ingest(
     dedup: bool = True,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Carry all text files of ``incoming`` through raw and bronze into silver, each exactly once."""
+    """Carry all text files of ``incoming`` through raw and bronze into silver, each exactly once.
+
+    ``files_per_batch`` limits the text files of one micro-batch; silver takes all new bronze files at once.
+    """
     drain(land_raw(stream_lines(spark, incoming, files_per_batch), lake))
     drain(write_bronze(stream_lines(spark, lake.data("raw"), files_per_batch), lake))
-    drain(write_silver(spark, lake, keys=keys, dedup=dedup, files_per_batch=files_per_batch))
+    drain(write_silver(spark, lake, keys=keys, dedup=dedup))
     return read_zone(spark, lake.data("silver"))
 
 
