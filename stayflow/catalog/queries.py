@@ -22,7 +22,7 @@ from ..schema import (
     PAGES,
     SONG_PAGE,
 )
-from ..session import new_folder
+from ..session import new_folder, settle
 from ..sources import files, lake
 from ..sources.activity import activity_log, read_table
 from ..streaming import counts, runs, zones
@@ -36,13 +36,12 @@ REDELIVERED_FROM = "2024-01-15"
 
 
 def query(name: str, **options) -> Callable:
-    """Register a function under a name; the session's days are UTC days while its plan is built and run."""
+    """Register a function under a name; it runs with the package's session settings (UTC days)."""
 
     def register(function):
         @wraps(function)
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return function(spark, folder, **options)
+            return function(settle(spark), folder, **options)
 
         REGISTRY[name] = run
         return function

@@ -42,22 +42,21 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, by: str | None
     task ever holds a whole column. ``by`` splits the table by a column with few values, such as ``churn``.
     """
     columns = [c for c in (columns or numeric_columns(df)) if c != by]
-    group = by or "_all"
-    table = df if by else df.withColumn(group, F.lit(0))
+    groups = [by] if by else []
     doubles = [F.col(f"`{c}`").cast("double").alias(c) for c in columns]
-    values = table.select(group, *doubles).unpivot([group], quoted(columns), "metric", "value")
-    key = [group, "metric"]
-    # One row per group and column: small enough to send to every task.
+    values = df.select(*groups, *doubles).unpivot(groups, quoted(columns), "metric", "value")
+    key = [*groups, "metric"]
     stats = values.groupBy(*key).agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-        cut_points(F.col("value"), 64).alias("cuts"),
     )
     present = values.where(F.col("value").isNotNull())
-    placed = present.join(F.broadcast(stats.select(*key, "cuts")), key).select(
+    # One row per group and column: small enough to send to every task.
+    sketch = present.groupBy(*key).agg(cut_points(F.col("value"), 64).alias("cuts"))
+    placed = present.join(F.broadcast(sketch), key).select(
         *key, "value", bucket_of(F.col("value"), F.col("cuts")).alias("bucket")
     )
     order = Window.partitionBy(*key).orderBy("bucket")
@@ -79,8 +78,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, by: str | None
         .withColumn("start", F.col("end") - F.col("copies"))
     )
     quartiles = ranked.groupBy(*key).agg(*[_interpolated(q).alias(n) for n, q in QUARTILES.items()])
-    result = stats.join(F.broadcast(quartiles), key, "left").select(*key, *STATISTICS)
-    return result if by else result.drop(group)
+    return stats.join(F.broadcast(quartiles), key, "left").select(*key, *STATISTICS)
 
 
 def _rank(quantile: float, total: Column) -> Column:

@@ -11,7 +11,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.ui.showConsoleProgress": "false",
 }
 
 _local_scratch: str | None = None
@@ -27,6 +26,13 @@ def session(app: str = "stayflow", master: str | None = None, conf: dict[str, st
     return builder.getOrCreate()
 
 
+def settle(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session that somebody else has built."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``; a temporary one only on a local master."""
     global _local_scratch

@@ -61,7 +61,8 @@ if __name__ == "__main__":
     import __spark_entry__ as entry
     from stayflow.session import session
 
-    spark = session(master="local[8]", conf={"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    spark = session(master="local[8]", conf={"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+                                                "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     folder, only = sys.argv[1], sys.argv[2:]
     oracle = entry.oracle_sql()
