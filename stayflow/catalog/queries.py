@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import quoted, underscore_columns, underscored
+from ..functions.columns import named, underscore_columns, underscored
 from ..operators import churn, clean, features, merge, metrics, profile, recency, split
 from ..plans import batch, scoring, training
 from ..schema import (
@@ -52,7 +52,9 @@ def query(name: str, **options) -> Callable:
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded, because sums of doubles depend on the order of addition."""
     doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
-    return df.select(*[F.round(c, digits).alias(n) if n in doubles else c for c, n in zip(quoted(df.columns), df.columns)])
+    return df.selectExpr(
+        *[f"round({named(n)}, {digits}) AS {named(n)}" if n in doubles else named(n) for n in df.columns]
+    )
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:

@@ -17,9 +17,19 @@ def underscore_columns(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({c: underscored(c) for c in df.columns if " " in c})
 
 
+def named(name: str) -> str:
+    """A column name as SQL text, for names that hold blanks or dots."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """A string literal as SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def quoted(names: Iterable[str]) -> list[Column]:
-    """Columns by exact name, for names that hold blanks or dots."""
-    return [F.col(f"`{n}`") for n in names]
+    """Columns by exact name."""
+    return [F.col(named(n)) for n in names]
 
 
 def ratio(part: Column, whole: Column) -> Column:

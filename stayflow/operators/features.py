@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import quoted, ratio
+from ..functions.columns import named, ratio, text
 from ..functions.dates import span_days, window_start
 from ..schema import ALL_DAYS, CHURN_PAGE, PAGES, PAID_LEVEL, SONG_PAGE
 
@@ -43,7 +43,7 @@ def user_current_level(windowed: DataFrame) -> DataFrame:
 
 def user_page_pivot(windowed: DataFrame, pages: Sequence[str] = PAGES) -> DataFrame:
     """Events per user and page, one column per page, null where there are none."""
-    counts = [F.nullif(F.count_if(F.col("page") == p), F.lit(0)).alias(p) for p in pages]
+    counts = [F.expr(f"nullif(count_if(page = {text(p)}), 0) AS {named(p)}") for p in pages]
     return windowed.groupBy("userId").agg(*counts)
 
 
@@ -93,6 +93,10 @@ def with_ratios(users: DataFrame) -> DataFrame:
 # --- all of them in one pass ---------------------------------------------------------------------------------
 
 
+def _sums(names: Sequence[str]) -> list[Column]:
+    return [F.expr(f"sum({named(n)}) AS {named(n)}") for n in names]
+
+
 def daily_activity(dated: DataFrame, pages: Sequence[str] = PAGES) -> DataFrame:
     """One row per user and day: page counts, play time, level, and the songs and artists last played that day."""
     is_play = F.col("page") == SONG_PAGE
@@ -121,14 +125,13 @@ def daily_activity(dated: DataFrame, pages: Sequence[str] = PAGES) -> DataFrame:
         .select(
             "userId",
             F.when(day_row, F.col("event_date")).otherwise(F.col("last_play")).alias("event_date"),
-            *["level", "page", "song", "artist", "is_item", "events", "play_length"],
-            F.when(day_row, F.col("registered")).alias("registered"),
-            F.when(day_row, F.col("unregistered")).alias("unregistered"),
+            *["level", "page", "song", "artist", "events"],
+            *[F.when(day_row, F.col(c)).alias(c) for c in ("play_length", "registered", "unregistered")],
         )
         .groupBy("userId", "event_date", "level")
         .agg(
-            *[F.sum(F.when((F.col("is_item") == 0) & (F.col("page") == p), F.col("events"))).alias(p) for p in pages],
-            F.sum(F.when(F.col("is_item") == 0, F.col("play_length"))).alias("play_length"),
+            *[F.expr(f"sum(CASE WHEN page = {text(p)} THEN events END) AS {named(p)}") for p in pages],
+            F.sum("play_length").alias("play_length"),
             F.min("registered").alias("registered"),
             F.sum("unregistered").alias("unregistered"),
             F.count("song").alias("songs"),
@@ -142,12 +145,8 @@ def daily_activity(dated: DataFrame, pages: Sequence[str] = PAGES) -> DataFrame:
         .agg(
             F.min("level").alias("level"),
             F.max(_paid_flag(F.col("level"))).alias("paid"),
-            *[F.sum(c).alias(p) for c, p in zip(quoted(pages), pages)],
-            F.sum("play_length").alias("play_length"),
             F.min("registered").alias("registered"),
-            F.sum("unregistered").alias("unregistered"),
-            F.sum("songs").alias("songs"),
-            F.sum("artists").alias("artists"),
+            *_sums([*pages, "play_length", "unregistered", "songs", "artists"]),
         )
     )
 
@@ -179,14 +178,14 @@ def users_from_daily(
         F.max("date_to").alias("date_to"),
         F.min("registered").alias("registration_date"),
         F.nullif(F.sum("paid"), F.lit(0)).alias("num_active_days_paid"),
-        *[F.sum(c).alias(n) for c, n in zip(quoted(pages), pages)],
+        *_sums(pages),
         F.min(F.when(F.col("event_date") == F.col("date_to"), F.col("level"))).alias("current_level"),
         *([F.coalesce(F.max("churn"), F.lit(0)).alias("churn")] if churn else []),
     )
     users = users.withColumn("current_level_paid", _paid_flag(F.col("current_level")))
     if not keep_inactive:
         users = users.where(F.col("num_songs") > 0)
-    return with_ratios(users).select(quoted(user_columns(pages, churn)))
+    return with_ratios(users).selectExpr(*map(named, user_columns(pages, churn)))
 
 
 def user_columns(pages: Sequence[str] = PAGES, churn: bool = False) -> list[str]:
@@ -222,7 +221,7 @@ def user_features(
 
 def choose_features(users: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``userId``, ``churn`` and ``columns``, numeric nulls as 0; an absent column is an error."""
-    return users.select(quoted(["userId", "churn", *columns])).na.fill(0)
+    return users.selectExpr(*map(named, ["userId", "churn", *columns])).na.fill(0)
 
 
 def choose_features_tolerant(users: DataFrame, columns: Sequence[str]) -> DataFrame:
