@@ -26,13 +26,16 @@ def churn_scores(scored: DataFrame, keep: Sequence[str] = ("userId",)) -> DataFr
 
 
 def compare_predictions(models: dict[str, PipelineModel], users: DataFrame) -> DataFrame:
-    """One column of predicted classes per model next to the true flag, joined on the user id."""
-    joined = None
+    """One column of predicted classes per model next to the true flag, one row per user.
+
+    Scoring works row by row, so the models score the same rows one after the other: the outcome of joining their
+    predictions on the user id, without a shuffle.
+    """
+    scored = users
     for name, model in models.items():
-        column = F.col("prediction").alias(f"{name}_pred")
-        part = score_users(model, users).select("userId", column)
-        joined = part if joined is None else joined.join(part, "userId")
-    return joined.join(users.select("userId", "churn"), "userId")
+        made = [c for c in score_users(model, users).columns if c not in users.columns and c != "prediction"]
+        scored = score_users(model, scored).withColumnRenamed("prediction", f"{name}_pred").drop(*made)
+    return scored.select("userId", *[f"{name}_pred" for name in models], "churn")
 
 
 def compare_areas(models: dict[str, PipelineModel], users: DataFrame) -> list[tuple[str, float]]:

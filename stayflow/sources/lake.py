@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from ..schema import DAY_PARTITION, ZONE_SCHEMA
 
@@ -31,8 +31,10 @@ def zone_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.schema("x int").parquet(path)
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def in_partitions(values: Sequence[Sequence[str]], partition: Sequence[str] = DAY_PARTITION) -> Column:
