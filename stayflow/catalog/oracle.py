@@ -1,4 +1,7 @@
-"""SQL twins of the registered queries, written as plain joins and group-bys for a second engine."""
+"""SQL twins of the registered queries, written as plain joins and group-bys for a second engine.
+
+Doubles are rounded as in the queries: 1e-8 is added first, so that an exact half falls upwards in both engines.
+"""
 
 from __future__ import annotations
 
@@ -120,7 +123,7 @@ def rounded(names, zero: bool = False) -> str:
     out = []
     for n in names:
         value = f'"{n}"' if n in TEXTS_AND_DATES or not zero else f'coalesce("{n}", 0)'
-        out.append(f'round({value}, 6) AS "{n}"' if n in DOUBLES else f'{value} AS "{n}"')
+        out.append(f'round({value} + 1e-8, 6) AS "{n}"' if n in DOUBLES else f'{value} AS "{n}"')
     return ", ".join(out)
 
 
@@ -252,7 +255,7 @@ ORACLE: dict[str, str] = {
         "FROM windowed WHERE page = 'NextSong' GROUP BY 1"
     ),
     "user_artist_metrics": select_windowed(
-        'SELECT "userId", count(DISTINCT artist) AS num_artist, round(sum(length), 6) AS total_play_length '
+        'SELECT "userId", count(DISTINCT artist) AS num_artist, round(sum(length) + 1e-8, 6) AS total_play_length '
         "FROM windowed WHERE page = 'NextSong' GROUP BY 1"
     ),
     "user_paid_days": select_windowed(
@@ -263,7 +266,7 @@ ORACLE: dict[str, str] = {
     "churn_users": select_log('SELECT "userId", churn FROM churned'),
     "churn_rate": select_log(
         'SELECT count(DISTINCT "userId") AS total_users, (SELECT count(*) FROM churned) AS churn_users, '
-        'round((SELECT count(*) FROM churned) / count(DISTINCT "userId")::DOUBLE, 6) AS churn_rate FROM valid'
+        'round((SELECT count(*) FROM churned) / count(DISTINCT "userId")::DOUBLE + 1e-8, 6) AS churn_rate FROM valid'
     ),
     "page_counts": select_log('SELECT page, count("userId") AS events FROM log GROUP BY 1'),
     "page_counts_excl": select_log(
@@ -277,18 +280,18 @@ ORACLE: dict[str, str] = {
         )
     ),
     "describe_users": select_users(
-        f"SELECT metric, \"count\", {', '.join(f'round({s}, 6) AS {s}' for s in STATS)} FROM ({describe('')})"
+        f"SELECT metric, \"count\", {', '.join(f'round({s} + 1e-8, 6) AS {s}' for s in STATS)} FROM ({describe('')})"
     ),
     "describe_diff": select_users(
         "SELECT k.metric, k.\"count\" - g.\"count\" AS \"count\", "
-        + ", ".join(f"round(k.{s} - g.{s}, 6) AS {s}" for s in STATS)
+        + ", ".join(f"round(k.{s} - g.{s} + 1e-8, 6) AS {s}" for s in STATS)
         + f" FROM ({describe('WHERE churn = 0')}) k JOIN ({describe('WHERE churn = 1')}) g ON k.metric = g.metric"
     ),
     "churn_counts": select_users('SELECT churn, count("userId") AS users FROM users GROUP BY 1'),
     "churn_group_means": select_users(
-        "SELECT churn, round(avg(coalesce(num_active_days_paid, 0)), 6) AS num_active_days_paid, "
-        "round(avg(num_active_days), 6) AS num_active_days, "
-        "round(avg(coalesce(days_since_registration, 0)), 6) AS days_since_registration FROM users GROUP BY 1"
+        "SELECT churn, round(avg(coalesce(num_active_days_paid, 0)) + 1e-8, 6) AS num_active_days_paid, "
+        "round(avg(num_active_days) + 1e-8, 6) AS num_active_days, "
+        "round(avg(coalesce(days_since_registration, 0)) + 1e-8, 6) AS days_since_registration FROM users GROUP BY 1"
     ),
     "page_totals": select_users(page_sums(PAGES, "page", "total")),
     "page_totals_excl": select_users(page_sums(NO_SONGS, "page", "total")),
@@ -296,7 +299,7 @@ ORACLE: dict[str, str] = {
     "feature_correlation": select_users(
         " UNION ALL ".join(
             f"SELECT '{a}' AS \"left\", '{b}' AS \"right\", "
-            f'round(corr(coalesce("{a}", 0), coalesce("{b}", 0)), 6) AS correlation FROM users'
+            f'round(corr(coalesce("{a}", 0), coalesce("{b}", 0)) + 1e-8, 6) AS correlation FROM users'
             for a, b in combinations([underscored(c) for c in EXPORT_FEATURES], 2)
         )
     ),
@@ -317,15 +320,15 @@ ORACLE: dict[str, str] = {
         'LEFT JOIN (SELECT page, count(*) AS events FROM log GROUP BY 1) s ON s.page = b."Page"'
     ),
     "assemble_features": select_users(
-        f"""SELECT "userId", {", ".join(f'round("{c}", 6) AS "{c}"' for c in MODEL)} FROM {VECTOR}"""
+        f"""SELECT "userId", {", ".join(f'round("{c}" + 1e-8, 6) AS "{c}"' for c in MODEL)} FROM {VECTOR}"""
     ),
     "normalize_features": select_users(
-        f"""SELECT "userId", {", ".join(f'round("{c}", 6) AS "{c}"' for c in MODEL)} FROM {UNIT}"""
+        f"""SELECT "userId", {", ".join(f'round("{c}" + 1e-8, 6) AS "{c}"' for c in MODEL)} FROM {UNIT}"""
     ),
     "standardize_features": select_users(
         'SELECT "userId", '
         + ", ".join(
-            f'round(CASE WHEN stddev_samp("{c}") OVER () = 0 THEN 0 ELSE "{c}" / stddev_samp("{c}") OVER () END, 6) AS "{c}"'
+            f'round(CASE WHEN stddev_samp("{c}") OVER () = 0 THEN 0 ELSE "{c}" / stddev_samp("{c}") OVER () END + 1e-8, 6) AS "{c}"'
             for c in MODEL
         )
         + f" FROM {UNIT}"
@@ -334,27 +337,27 @@ ORACLE: dict[str, str] = {
         f"SELECT \"userId\", churn, CASE WHEN {SHARE} >= 20 THEN 'train' ELSE 'test' END AS side FROM users"
     ),
     "area_under_roc": select_users(
-        "SELECT round(sum(CASE WHEN a.score > b.score THEN 1.0 WHEN a.score = b.score THEN 0.5 ELSE 0 END)::DOUBLE / count(*), 6) "
+        "SELECT round(sum(CASE WHEN a.score > b.score THEN 1.0 WHEN a.score = b.score THEN 0.5 ELSE 0 END)::DOUBLE / count(*) + 1e-8, 6) "
         "AS area_under_roc FROM cards a JOIN cards b ON a.label = 1 AND b.label <> 1",
         more=SCORES,
     ),
     "roc_curve": select_users(
-        'SELECT threshold, round(fp / n::DOUBLE, 6) AS "FPR", round(tp / p::DOUBLE, 6) AS "TPR" FROM points '
+        'SELECT threshold, round(fp / n::DOUBLE + 1e-8, 6) AS "FPR", round(tp / p::DOUBLE + 1e-8, 6) AS "TPR" FROM points '
         "UNION ALL SELECT NULL, 0, 0 UNION ALL SELECT NULL, 1, 1",
         more=SCORES,
     ),
     "pr_curve": select_users(
-        "SELECT threshold, round(tp / p::DOUBLE, 6) AS recall, round(tp / (tp + fp)::DOUBLE, 6) AS precision FROM points "
-        "UNION ALL SELECT NULL, 0, round(arg_max(tp / (tp + fp)::DOUBLE, threshold), 6) FROM points",
+        "SELECT threshold, round(tp / p::DOUBLE + 1e-8, 6) AS recall, round(tp / (tp + fp)::DOUBLE + 1e-8, 6) AS precision FROM points "
+        "UNION ALL SELECT NULL, 0, round(arg_max(tp / (tp + fp)::DOUBLE, threshold) + 1e-8, 6) FROM points",
         more=SCORES,
     ),
     "f_measure_curve": select_users(
-        'SELECT threshold, round(2.0::DOUBLE * tp / (2 * tp + (p - tp) + fp), 6) AS "F_Measure" FROM points',
+        'SELECT threshold, round(2.0::DOUBLE * tp / (2 * tp + (p - tp) + fp) + 1e-8, 6) AS "F_Measure" FROM points',
         more=SCORES,
     ),
     "accuracy": select_users(
         "SELECT count(*) FILTER (prediction = label) AS matched, count(*) AS total, "
-        "round(count(*) FILTER (prediction = label) / count(*)::DOUBLE, 6) AS accuracy FROM cards",
+        "round(count(*) FILTER (prediction = label) / count(*)::DOUBLE + 1e-8, 6) AS accuracy FROM cards",
         more=SCORES,
     ),
 }

@@ -50,10 +50,13 @@ def query(name: str, **options) -> Callable:
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded, because sums of doubles depend on the order of addition."""
+    """Doubles rounded, because sums of doubles depend on the order of addition.
+
+    The small step before rounding makes an exact half in the next digit fall upwards whatever that order was.
+    """
     doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
     return df.selectExpr(
-        *[f"round({named(n)}, {digits}) AS {named(n)}" if n in doubles else named(n) for n in df.columns]
+        *[f"round({named(n)} + 1e-8D, {digits}) AS {named(n)}" if n in doubles else named(n) for n in df.columns]
     )
 
 

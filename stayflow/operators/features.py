@@ -211,9 +211,10 @@ def user_features(
     """The wide user table over each user's last ``days`` days of valid, dated events.
 
     Users without a played song in the window are left out unless ``keep_inactive``. ``churn`` adds the flag from
-    the same pass; the cancellation page must then be among ``pages``.
+    the same pass.
     """
-    return users_from_daily(daily_activity(dated, pages), days, pages, keep_inactive, churn)
+    needed = [*pages, *[p for p in (SONG_PAGE, CHURN_PAGE) if p not in pages]]
+    return users_from_daily(daily_activity(dated, needed), days, pages, keep_inactive, churn)
 
 
 # --- column choice -------------------------------------------------------------------------------------------

@@ -141,7 +141,8 @@ def test_pages_outside_the_list(spark):
     log = dated(spark, [event("a", "2018-10-10"), event("a", "2018-10-10", "Brand New")])
     pages = features.distinct_pages(log)
     assert pages == ["Brand New", "NextSong"]
-    assert features.user_features(log, pages=pages).first()["Brand New"] == 1
+    user = features.user_features(log, pages=pages, churn=True).first()
+    assert user["Brand New"] == 1 and user.churn == 0 and "Home" not in user
     assert features.user_features(log).first().num_active_days == 1
 
 
