@@ -76,4 +76,44 @@ SELECT doc_id, size, source_size::BIGINT AS source_size, target, ((whole + (h <
 FROM sized s JOIN cuts c ON s.source IS NOT DISTINCT FROM c.source
 """
 
-LLM_ORACLE = {"op1_decontaminate": DECONTAMINATE, "op2_mix_sources": MIX}
+REVISIT = r"""
+WITH bare AS (
+    SELECT page_id, md5(html) AS tag,
+           regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS b
+    FROM pages
+), parts AS (
+    SELECT page_id, tag,
+           regexp_replace(lower(regexp_extract(b, '^[^/?]*')), '^(www|m)\.|:(80|443)$', '', 'g') AS host,
+           regexp_replace(regexp_replace(regexp_extract(regexp_replace(b, '^[^/?]*', ''), '^[^?]*'),
+                                         '(/index)?\.html?$', ''), '/+$', '') AS path,
+           list_filter(string_split(regexp_extract(regexp_replace(b, '^[^/?]*', ''), '\?(.*)$', 1), '&'),
+                       lambda p: NOT regexp_full_match(p, '(utm_[^=&]*|ref|fbclid|gclid)(=[^&]*)?') AND p <> '') AS kept
+    FROM bare
+), keyed AS (
+    SELECT page_id, tag, host || path || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS url_key
+    FROM parts
+), records AS (
+    SELECT page_id * 3 + n AS record_id, url_key, page_id + later AS captured_at, kind, tag, page_id
+    FROM keyed, (VALUES ('response', 0, 0), ('revisit', 1, 50), ('revisit', 2, -7)) AS k(kind, n, later)
+), sourced AS (
+    SELECT r.*, s.record_id AS source_id, s.captured_at AS source_at, s.tag AS source_tag
+    FROM records r LEFT JOIN LATERAL (
+        SELECT record_id, captured_at, tag FROM records x
+        WHERE x.kind = 'response' AND x.url_key = r.url_key AND x.captured_at < r.captured_at AND r.kind = 'revisit'
+        ORDER BY x.captured_at DESC, x.record_id DESC LIMIT 1) s ON true
+), judged AS (
+    SELECT *, CASE WHEN kind = 'response' THEN 'response' WHEN source_id IS NULL THEN 'no_earlier'
+                   WHEN source_tag = tag THEN 'resolved' ELSE 'mismatch' END AS status FROM sourced
+)
+SELECT record_id, url_key, captured_at, kind, status, source_id, source_at,
+       CASE WHEN status IN ('response', 'resolved')
+            THEN 'cache-control=max-age=60;content-type=text/html;date=' || captured_at || ';etag="' || tag || '"'
+            ELSE 'content-type=text/plain;date=' || captured_at || ';etag="' || tag || '";set-cookie=' || page_id END AS headers
+FROM judged
+"""
+
+LLM_ORACLE = {
+    "op1_decontaminate": DECONTAMINATE,
+    "op2_mix_sources": MIX,
+    "op10_revisit_resolution": REVISIT,
+}

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import decontaminate, is_contaminated
+from .hilbert import shard_rows
+from .license_join import scan_licenses
 from .mixing import mix
+from .revisit import archive_of, resolve_revisits
 
 
 def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,7 +30,28 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = shard_rows(table(spark, folder, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve_index"
+    )
+
+
+def op9_license_join(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents"))
+
+
+def op10_revisit_resolution(spark: SparkSession, folder: str) -> DataFrame:
+    resolved = resolve_revisits(archive_of(table(spark, folder, "pages")))
+    line = F.array_join(F.transform("headers", lambda h: F.concat(h["name"], F.lit("="), h["value"])), ";")
+    at = F.col("at").alias("captured_at")
+    return resolved.select("record_id", "url_key", at, "kind", "status", "source_id", "source_at", line.alias("headers"))
+
+
 LLM_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_mix_sources": op2_mix_sources,
+    "op8_hilbert_shards": op8_hilbert_shards,
+    "op9_license_join": op9_license_join,
+    "op10_revisit_resolution": op10_revisit_resolution,
 }
