@@ -10,6 +10,7 @@ from .decontaminate import decontaminate, is_contaminated
 from .hilbert import shard_rows
 from .license_join import scan_licenses
 from .mixing import mix
+from .quality_rules import judge
 from .revisit import archive_of, resolve_revisits
 
 
@@ -30,6 +31,10 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judge(table(spark, folder, "documents")).select("doc_id", "quality.*")
+
+
 def op8_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = shard_rows(table(spark, folder, "documents"))
     return placed.select(
@@ -51,6 +56,7 @@ def op10_revisit_resolution(spark: SparkSession, folder: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_mix_sources": op2_mix_sources,
+    "op3_quality_rules": op3_quality_rules,
     "op8_hilbert_shards": op8_hilbert_shards,
     "op9_license_join": op9_license_join,
     "op10_revisit_resolution": op10_revisit_resolution,
