@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import held_out, table
 from .decontaminate import decontaminate, is_contaminated
 from .hilbert import shard_rows
 from .license_join import scan_licenses
 from .mixing import mix
+from .quality_knn import classify_quality
 from .quality_rules import judge
 from .revisit import archive_of, resolve_revisits
+from .toxicity import classify_toxicity
+
+QUALITY_CUT = 0.3
+
+
+def predicted(score: str, cut: float) -> Column:
+    return (F.col(score) >= cut).cast("int").alias("predicted")
 
 
 def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,6 +43,16 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge(table(spark, folder, "documents")).select("doc_id", "quality.*")
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = classify_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"), into="score")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted("score", 0.5))
+
+
+def op7_quality_knn(spark: SparkSession, folder: str) -> DataFrame:
+    scored = classify_quality(table(spark, folder, "documents"), table(spark, folder, "labels"), into="score")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted("score", QUALITY_CUT))
+
+
 def op8_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = shard_rows(table(spark, folder, "documents"))
     return placed.select(
@@ -57,6 +75,8 @@ LLM_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_mix_sources": op2_mix_sources,
     "op3_quality_rules": op3_quality_rules,
+    "op5_toxicity": op5_toxicity,
+    "op7_quality_knn": op7_quality_knn,
     "op8_hilbert_shards": op8_hilbert_shards,
     "op9_license_join": op9_license_join,
     "op10_revisit_resolution": op10_revisit_resolution,
