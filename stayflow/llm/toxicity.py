@@ -1,6 +1,6 @@
 """Toxicity: a counterfactual-regularised classifier.
 
-A document is scored by the words it holds. Training has three parts, all from labelled rows that are not held out:
+A document is scored by the words it holds and by their beginnings. Training has three parts, all from labelled rows that are not held out:
 
 1. A bounded sample of the rows (``MAX_TRAINING_ROWS``) is counted by word and label (a distributed sum). The words whose
    presence tells the labels apart most clearly (chi-square) are the vocabulary, so that long texts do not gather the
@@ -11,7 +11,7 @@ A document is scored by the words it holds. Training has three parts, all from l
    ``COUNTERFACTUAL``. A term can then raise the score only as much as all the others do: what stays is the insult, not
    the group it is aimed at, and neutral mentions of a group are not taken for toxic.
 
-The model is some hundred words with their weights; it is broadcast and applied in one pass.
+The model is some hundred words and word beginnings with their weights; it is broadcast and applied in one pass.
 
 Defined results: null and empty texts score the bias of the model (no word present); without training rows of both
 labels every score is the share of label 1 (0 if there are none). Repeated rows score alike. Labels, language, source
@@ -35,8 +35,9 @@ from .labelled import training_rows
 
 MAX_TRAINING_ROWS = 12_000
 VOCABULARY = 400
-MIN_CHI_SQUARE, MIN_HOLDERS, MIN_SHARE = 25.0, 8, 0.002
-RIDGE = 0.3
+MIN_CHI_SQUARE, MIN_HOLDERS, MIN_SHARE = 25.0, 5, 0.001
+PREFIXES = (5, 6, 7)
+RIDGE = 0.1
 COUNTERFACTUAL = 10.0
 STEPS = 400
 FLUSH = 100_000
@@ -56,10 +57,15 @@ class Model:
 
     def score(self, data: bytes | None) -> float:
         get = self.weights.get
-        x = self.bias + sum(get(w, 0.0) for w in set(words_of(data))) if data else self.bias
+        x = self.bias + sum(get(f, 0.0) for f in features_of(set(words_of(data)))) if data else self.bias
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, x))))
 
 
+def features_of(words: set[bytes]) -> set[bytes]:
+    """The words, and the beginnings of longer ones (marked by ``^``): inflected and compound insults share them."""
+    return words.union(*({b"^" + w[:n] for w in words if len(w) > n} for n in PREFIXES))
+
+
 def swapped(words: set[bytes], identity: Sequence[bytes]) -> set[bytes] | None:
     """The words with every identity term replaced by the next of the list; None without such a term."""
     place = {t: i for i, t in enumerate(identity)}
@@ -70,29 +76,30 @@ def swapped(words: set[bytes], identity: Sequence[bytes]) -> set[bytes] | None:
 
 
 def fit(
-    texts: Sequence[tuple[set[bytes], int]],
+    examples: Sequence[tuple[set[bytes], int, set[bytes] | None]],
     vocabulary: Sequence[bytes],
-    identity: Sequence[bytes],
     counterfactual: float = COUNTERFACTUAL,
     ridge: float = RIDGE,
     steps: int = STEPS,
 ) -> Model:
-    """Logistic regression with ridge and counterfactual penalties, by accelerated gradient steps."""
+    """Logistic regression with ridge and counterfactual penalties, by accelerated gradient steps.
+
+    An example has its features, its label, and the features of its swapped copy if it names a group.
+    """
     place = {w: i for i, w in enumerate(vocabulary)}
-    n, d = len(texts), len(vocabulary)
-    y = np.array([label for _, label in texts], float)
+    n, d = len(examples), len(vocabulary)
+    y = np.array([label for _, label, _ in examples], float)
     if not n or y.min() == y.max():
         rate = float(y.mean()) if n else 0.0
         return Model({}, math.log((rate + 1e-9) / (1 - rate + 1e-9)))
     x = np.zeros((n, d), np.float32)
     pairs = []
-    for r, (words, _) in enumerate(texts):
-        x[r, [place[w] for w in words if w in place]] = 1
-        other = swapped(words, identity)
+    for r, (features, _, other) in enumerate(examples):
+        x[r, [place[f] for f in features if f in place]] = 1
         if other is not None:
             change = np.zeros(d, np.float32)
-            change[[place[w] for w in words - other if w in place]] += 1
-            change[[place[w] for w in other - words if w in place]] -= 1
+            change[[place[f] for f in features - other if f in place]] += 1
+            change[[place[f] for f in other - features if f in place]] -= 1
             pairs.append(change)
     change = np.array(pairs, np.float32).reshape(-1, d)
     w, b, last_w, last_b = np.zeros(d), math.log(y.mean() / (1 - y.mean())), np.zeros(d), 0.0
@@ -129,7 +136,7 @@ def count_presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     for batch in batches:
         for label, text in zip(batch.column("label").to_pylist(), batch.column("text")):
-            counts[label].update({*words_of(text.as_buffer().to_pybytes()), b""})
+            counts[label].update({*features_of(set(words_of(text.as_buffer().to_pybytes()))), b""})
         if sum(map(len, counts.values())) > FLUSH:
             yield out()
     yield out()
@@ -166,11 +173,14 @@ def train(
     terms = [t.encode() for t in identity]
     sample = stored(training_rows(documents, labels, label, max_rows), "toxicity-sample")
     vocabulary = telling_words(sample)
-    vocabulary += [t for t in terms if t not in set(vocabulary)]
-    wanted = set(vocabulary)
-    texts = [(set(words_of(r["text"].encode())) & wanted, r["label"]) for r in sample.toLocalIterator()]
-    texts.sort(key=lambda t: (t[1], sorted(t[0])))
-    return fit(texts, vocabulary, terms, counterfactual)
+    vocabulary += sorted(features_of(set(terms)) - set(vocabulary))
+    wanted, examples = set(vocabulary), []
+    for r in sample.toLocalIterator():
+        words = set(words_of(r["text"].encode()))
+        other = swapped(words, terms)
+        examples.append((features_of(words) & wanted, r["label"], other and features_of(other) & wanted))
+    examples.sort(key=lambda e: (e[1], sorted(e[0]), sorted(e[2] or ())))
+    return fit(examples, vocabulary, counterfactual)
 
 
 def score_with(text: Column, model: Model, documents: DataFrame) -> Column:
