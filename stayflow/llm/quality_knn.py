@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import held_out, stable_hash, words_of
 from .labelled import training_rows
@@ -159,7 +160,7 @@ def learn(documents: DataFrame, labels: DataFrame, label: str = "quality", max_r
 def score_with(text: Column, model: Neighbours, documents: DataFrame) -> Column:
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("double")
+    @F.arrow_udf(T.DoubleType())
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
         for batch in batches:

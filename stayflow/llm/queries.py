@@ -9,6 +9,7 @@ from .common import held_out, table
 from .decontaminate import decontaminate, is_contaminated
 from .hilbert import shard_rows
 from .license_join import scan_licenses
+from .minhash import near_duplicates
 from .mixing import mix
 from .quality_knn import classify_quality
 from .quality_rules import judge
@@ -48,6 +49,10 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted("score", 0.5))
 
 
+def op6_minhash_bbit(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 def op7_quality_knn(spark: SparkSession, folder: str) -> DataFrame:
     scored = classify_quality(table(spark, folder, "documents"), table(spark, folder, "labels"), into="score")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted("score", QUALITY_CUT))
@@ -76,6 +81,7 @@ LLM_QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_quality_rules": op3_quality_rules,
     "op5_toxicity": op5_toxicity,
+    "op6_minhash_bbit": op6_minhash_bbit,
     "op7_quality_knn": op7_quality_knn,
     "op8_hilbert_shards": op8_hilbert_shards,
     "op9_license_join": op9_license_join,
