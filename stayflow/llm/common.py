@@ -22,12 +22,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Shuffle files of a finished write go at once instead of when the driver happens to collect its garbage.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the shared folder and read again: cuts the lineage, survives lost executors, and gives the optimiser
     the real size, so that it broadcasts only what is small."""
-    path = new_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_folder(spark, purpose)
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def lower_ascii(text: Column) -> Column:
