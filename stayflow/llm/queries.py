@@ -14,6 +14,7 @@ from .mixing import mix
 from .quality_knn import classify_quality
 from .quality_rules import judge
 from .revisit import archive_of, resolve_revisits
+from .run_index import repeated_spans
 from .toxicity import classify_toxicity
 
 QUALITY_CUT = 0.3
@@ -44,6 +45,10 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge(table(spark, folder, "documents")).select("doc_id", "quality.*")
 
 
+def op4_run_index_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_spans(table(spark, folder, "documents")).drop("starts", "ends")
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scored = classify_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"), into="score")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted("score", 0.5))
@@ -80,6 +85,7 @@ LLM_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_mix_sources": op2_mix_sources,
     "op3_quality_rules": op3_quality_rules,
+    "op4_run_index_dedup": op4_run_index_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_minhash_bbit": op6_minhash_bbit,
     "op7_quality_knn": op7_quality_knn,
