@@ -11,19 +11,17 @@ from .common import held_out
 def training_rows(documents: DataFrame, labels: DataFrame, label: str, max_rows: int, per_label: int | None = None) -> DataFrame:
     """(text, label) of at most ``max_rows`` labelled documents that are not held out.
 
-    Rows are taken in the order of a hash of their id, which falls out the same on every run. ``per_label`` bounds
-    each of the two labels by itself. Equal texts are used once, with their smallest label, so copies carry no more
-    weight than one document. Null texts and labels other than 0 and 1 are not used.
+    Labels are taken in the order of a hash of their id, which falls out the same on every run. ``per_label`` bounds each
+    of the two labels by itself. The chosen ids are few by this bound, so they are broadcast and the documents are not
+    shuffled. Equal texts are used once, with their smallest label, so copies carry no more weight than one document. Null
+    texts and labels other than 0 and 1 are not used.
     """
     known = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", F.col(label).alias("label"))
-    pairs = documents.select("doc_id", "text").where("text is not null").join(known.distinct(), "doc_id")
-    hashed = pairs.withColumn("_h", F.xxhash64("doc_id", F.lit(7)))
-    bound = max_rows if per_label is None else per_label
+    hashed = known.distinct().withColumn("_h", F.xxhash64("doc_id", F.lit(7)))
     if per_label is None:
-        taken = hashed.orderBy("_h", "doc_id").limit(bound)
+        chosen = hashed.orderBy("_h", "doc_id", "label").limit(max_rows)
     else:
-        taken = None
-        for value in (0, 1):
-            part = hashed.where(F.col("label") == value).orderBy("_h", "doc_id").limit(bound)
-            taken = part if taken is None else taken.unionByName(part)
-    return taken.groupBy("text").agg(F.min("label").alias("label"))
+        parts = [hashed.where(F.col("label") == v).orderBy("_h", "doc_id").limit(per_label) for v in (0, 1)]
+        chosen = parts[0].unionByName(parts[1])
+    texts = documents.select("doc_id", "text").where("text is not null")
+    return texts.join(F.broadcast(chosen.drop("_h")), "doc_id").groupBy("text").agg(F.min("label").alias("label"))
