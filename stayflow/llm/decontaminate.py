@@ -171,7 +171,8 @@ def merge_blocks(scans: list[DataFrame], columns: list[str], into: str) -> DataF
     )
     runs, spans = union_of("word_runs"), union_of("char_spans")
     n_hit = F.aggregate(runs, F.lit(0).cast("long"), lambda n, r: n + (r["end"] - r["start"]).cast("long"))
-    found = F.struct("n_words", n_hit.alias("n_hit"), "item_ids", runs.alias("word_runs"), spans.alias("char_spans"))
+    values = [F.col("n_words"), n_hit, F.col("item_ids"), runs, spans]
+    found = F.named_struct(*[x for name, v in zip(FINDINGS.names, values) for x in (F.lit(name), v)])
     again = together.select(*keys, found.alias(into), F.explode(F.sequence(F.lit(1), "copies")).alias("_copy"))
     return again.drop("_copy")
 
@@ -182,7 +183,7 @@ def union_of(name: str) -> Column:
 
     def add(done: Column, span: Column) -> Column:
         last = F.element_at(done, -1)
-        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))
+        longer = F.named_struct(F.lit("start"), last["start"], F.lit("end"), F.greatest(last["end"], span["end"]))
         joins = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] >= span["start"])
         head = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
         return F.when(joins, F.concat(head, F.array(longer))).otherwise(F.concat(done, F.array(span)))
