@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import time
 
+from .operators import metrics
 from .operators.features import choose_features
 from .operators.profile import describe_difference
 from .operators.split import hash_split
@@ -18,7 +19,7 @@ from .streaming.zones import Lake, ingest, ingest_forever
 
 
 def features(spark, args) -> None:
-    batch.run_features(spark, args.events, args.users, args.days, args.wide, args.files, args.mode)
+    batch.run_features(spark, args.events, args.users, args.days, args.wide, args.files, args.mode, args.pages or "auto")
 
 
 def profile(spark, args) -> None:
@@ -29,12 +30,15 @@ def profile(spark, args) -> None:
 def train(spark, args) -> None:
     users = training.with_label(choose_features(read_user_table(spark, args.users), MODEL_FEATURES))
     train_part, test_part = hash_split(users, 20)
-    searches = training.search_all(train_part, parallelism=args.parallelism, save_to=f"{args.models}/families")
+    searches = training.search_all(train_part, parallelism=args.parallelism, save_to=f"{args.models}/families", scale=args.scale)
     best = training.select_best(searches)
     for search in searches:
         print(f"{search.family}: mean area under ROC {search.best_area:.4f} with {search.best_params}")
-    scored = scoring.score_users(best.model, test_part)
-    print(f"chosen {best.family}, area under ROC of the test part {training.evaluator().evaluate(scored):.4f}")
+    scoring.evaluate_models({s.family: s.model for s in searches}, test_part).show(truncate=False)
+    print(f"chosen {best.family}; its curves over the test part:")
+    card = scoring.scorecard_of(best.model, test_part)
+    for curve in (metrics.roc_curve, metrics.pr_curve, metrics.f_measure_curve):
+        curve(card).show(args.curve_rows, truncate=False)
     training.save_model(best.model, f"{args.models}/best")
 
 
@@ -76,6 +80,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--wide", action="store_true", help="every column instead of the export columns")
     job.add_argument("--files", type=int, help="number of CSV files")
     job.add_argument("--mode", default="error", choices=["error", "overwrite"])
+    job.add_argument("--pages", nargs="+", help="page columns with --wide; by default those that occur")
     job.set_defaults(run=features)
 
     job = jobs.add_parser("profile", help="describe difference of a user CSV by churn")
@@ -86,6 +91,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("users")
     job.add_argument("models")
     job.add_argument("--parallelism", type=int, default=8)
+    job.add_argument("--scale", action="store_true", help="divide features by their deviation over the training part")
+    job.add_argument("--curve-rows", type=int, default=20, help="rows of each curve to print")
     job.set_defaults(run=train)
 
     job = jobs.add_parser("stream", help="text files of JSON lines to the silver zone")

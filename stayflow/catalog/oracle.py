@@ -9,7 +9,7 @@ from itertools import combinations
 
 from ..functions.columns import underscored
 from ..schema import ALL_DAYS, EXPORT_FEATURES, LIVE_PAGES, MODEL_FEATURES, PAGES, SONG_PAGE
-from .queries import LOG_COLUMNS, RATIO_COLUMNS, REDELIVERED_FROM, WEEK, ZONE_COLUMNS
+from .queries import LOG_COLUMNS, RATIO_COLUMNS, REDELIVERED_FROM, SHORT_PAGES, WEEK, ZONE_COLUMNS
 
 LOG = """
 log AS (
@@ -311,6 +311,10 @@ ORACLE: dict[str, str] = {
     "stream_bronze": select_log(f"SELECT {ZONE} FROM parts"),
     "stream_silver": select_log(f"SELECT {ZONE} FROM parts"),
     "stream_silver_nodedup": select_log(f"SELECT {ZONE} FROM parts UNION ALL SELECT {ZONE} FROM parts"),
+    "stream_silver_rejects": select_log(
+        "SELECT 'silver' AS zone, count(*) AS events, count(DISTINCT \"userId\") AS users FROM parts "
+        "UNION ALL SELECT 'rejected', count(*), count(DISTINCT doc_id) FROM documents"
+    ),
     "stream_token_counts": select_log(
         'SELECT "Page", count(*) AS "count" FROM (SELECT unnest(string_split(page, \' \')) AS "Page" FROM log) GROUP BY 1'
     ),
@@ -365,3 +369,71 @@ ORACLE: dict[str, str] = {
 ORACLE["user_features_with_inactive"] = select_users(
     f"SELECT {rounded([c for c in USER_COLUMNS])} FROM users", 3, inner="LEFT JOIN"
 )
+
+TEST = f"(SELECT count(*) FROM users WHERE {SHARE} < 20)"
+ONE_FIT = select_users(f"SELECT {TEST} AS users, 0::BIGINT AS outside, 0::BIGINT AS contradicting, 0::BIGINT AS differing")
+for _kind in ("lr_predictions", "dt_predictions", "rf_predictions", "gbt_predictions", "model_roundtrip"):
+    ORACLE[_kind] = ONE_FIT
+
+
+def combinations_of(*grids: tuple[str, list[str]], folds: int) -> str:
+    """Every combination of the families' grids, in order."""
+    rows = [
+        f"('{family}', {i}, '{params}', {folds}, true)" for family, listed in grids for i, params in enumerate(listed)
+    ]
+    return (
+        "SELECT family, combination::INT AS combination, params, folds::INT AS folds, valid FROM (VALUES "
+        + ", ".join(rows)
+        + ") AS t(family, combination, params, folds, valid)"
+    )
+
+
+LR_GRID = [f"regParam={r}, elasticNetParam={e}" for r in (0.01, 0.1, 0.3, 0.5) for e in (0.0, 0.5, 1.0)]
+LR_STUDY_GRID = [
+    f"regParam={r}, elasticNetParam={e}, maxIter={m}" for r in (0.01, 0.5, 2.0) for e in (0.0, 0.5, 1.0) for m in (1, 5, 10)
+]
+GBT_GRID = [f"maxDepth={d}, maxBins={b}, maxIter={m}" for d in (2, 4, 6) for b in (20, 60) for m in (10, 20)]
+NUMBER = "(num_songs * 37 + days_since_registration * 11 + num_active_days * 5)"
+SHORT = ", ".join(f"count(*) FILTER (page = '{p}') AS c{i}" for i, p in enumerate(SHORT_PAGES))
+ORACLE |= {
+    "cv_metrics_lr": combinations_of(("LogisticRegression", LR_STUDY_GRID), folds=5),
+    "cv_metrics_gbt": combinations_of(("GBTClassifier", GBT_GRID), folds=5),
+    "select_best_model": combinations_of(
+        ("LogisticRegression", LR_GRID), ("GBTClassifier", GBT_GRID), ("RandomForestClassifier", [""]), folds=3
+    ),
+    "dt_leaf_shares": select_users(
+        f"SELECT sum(churn)::BIGINT AS churned, sum(churn)::DOUBLE AS expected FROM users WHERE {SHARE} >= 20"
+    ),
+    "lr_coefficients": "SELECT feature, true AS finite, true AS balanced FROM (VALUES "
+    + ", ".join(f"('{c}')" for c in MODEL)
+    + ") AS t(feature)",
+    "prediction_counts": select_users("SELECT prediction, count(*) AS users FROM cards GROUP BY 1", more=SCORES),
+    "score_users": select_users(
+        f'SELECT "userId", churn::DOUBLE AS label, true AS two_classes FROM users WHERE {SHARE} < 20'
+    ),
+    "model_auc_comparison": select_users(
+        f"SELECT model, (SELECT count(*) FROM users WHERE {SHARE} < 10) AS total, true AS possible "
+        "FROM (VALUES ('gbt'), ('lr'), ('rf')) AS t(model)"
+    ),
+    "evaluate_winners": select_users(
+        f"SELECT model, {TEST} AS total, true AS possible "
+        "FROM (VALUES ('RandomForestClassifier'), ('DecisionTreeClassifier')) AS t(model)"
+    ),
+    "model_curve_ends": "SELECT 0.0::DOUBLE AS first_fpr, 1.0::DOUBLE AS last_tpr, 1.0::DOUBLE AS last_recall, true AS f_measure_possible",
+    "compare_model_predictions": select_users(
+        'SELECT "userId", '
+        + ", ".join(f"({NUMBER} % {m} >= {m // 2})::INT::DOUBLE AS {n}_pred" for n, m in (("gbt", 97), ("lr", 89), ("rf", 83)))
+        + ", churn FROM users"
+    ),
+    "score_silver": select_users("SELECT count(*)::BIGINT AS users, 0::BIGINT AS other_classes FROM users"),
+    "stream_progress": select_log("SELECT 'PageCount' AS name, count(*)::BIGINT AS input_rows FROM log"),
+    "user_page_pivot_auto": select_windowed(
+        'SELECT "userId", page, count(*) AS events FROM windowed WHERE page IS NOT NULL GROUP BY ALL'
+    ),
+    "user_features_other_pages": select_windowed(
+        'SELECT "userId", '
+        + ", ".join(f'nullif(c{i}, 0) AS "{underscored(p)}"' for i, p in enumerate(SHORT_PAGES))
+        + f', nullif(n - {" - ".join(f"c{i}" for i in range(len(SHORT_PAGES)))}, 0) AS other_pages FROM '
+        + f'(SELECT "userId", {SHORT}, count(page) AS n FROM windowed GROUP BY 1) WHERE c0 > 0'
+    ),
+}

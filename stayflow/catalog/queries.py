@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import wraps
 
@@ -32,6 +33,7 @@ REGISTRY: dict[str, Query] = {}
 
 LOG_COLUMNS = ["ts", "userId", "sessionId", "page", "level", "itemInSession", "registration", "artist", "song", "length"]
 WEEK = 7
+SHORT_PAGES = ["NextSong", "Cancellation Confirmation", "Home", "Thumbs Up"]
 REDELIVERED_FROM = "2024-01-15"
 
 
@@ -139,7 +141,7 @@ def scan_partitioned(spark, folder):
 
 @query("gold_user_features")
 def gold_user_features(spark, folder):
-    return rounded(batch.rebuild_gold(spark, _zone(spark, folder), new_folder(spark, "gold")))
+    return rounded(batch.rebuild_gold(spark, _zone(spark, folder), new_folder(spark, "gold"), pages=PAGES))
 
 
 # --- projections and filters ---------------------------------------------------------------------------------
@@ -259,6 +261,23 @@ def user_page_pivot(spark, folder):
     return underscore_columns(features.user_page_pivot(windowed_log(spark, folder)))
 
 
+@query("user_page_pivot_auto")
+def user_page_pivot_auto(spark, folder):
+    """Page columns from the data; rows instead of columns here, as their names depend on the log."""
+    log = windowed_log(spark, folder)
+    pages = features.distinct_pages(log)
+    pivot = features.user_page_pivot(log, pages)
+    return pivot.unpivot(["userId"], [named(p) for p in pages], "page", "events").where("events is not null")
+
+
+@query("user_features_other_pages")
+def user_features_other_pages(spark, folder):
+    """A short list of pages: all others are counted in one column."""
+    listed = features.chosen_pages(None, SHORT_PAGES)
+    users = features.user_features(dated_log(spark, folder), WEEK, listed)
+    return underscore_columns(users.select("userId", *[named(p) for p in listed]))
+
+
 @query("user_song_metrics")
 def user_song_metrics(spark, folder):
     return features.user_song_metrics(windowed_log(spark, folder))
@@ -421,6 +440,19 @@ def stream_silver_nodedup(spark, folder):
     return zones.ingest(spark, incoming, zone, keys, dedup=False).select(*ZONE_COLUMNS)
 
 
+@query("stream_silver_rejects")
+def stream_silver_rejects(spark, folder):
+    """The log together with lines that have no time: those are found among the rejects, twice if delivered twice."""
+    incoming, zone = new_folder(spark, "incoming"), _new_lake(spark)
+    timeless = read_table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("userId"), F.lit("Home").alias("page"))
+    lines = timeless.select(F.to_json(F.struct("userId", "page")).alias("value"))
+    _deliver(json_lines(activity_log(spark, folder)).unionByName(lines), incoming)
+    silver = zones.ingest(spark, incoming, zone)
+    rejected = zones.read_rejected(spark, zone)
+    both = rejected.select("userId", F.lit("rejected").alias("zone")).unionByName(silver.select("userId", F.lit("silver").alias("zone")))
+    return both.groupBy("zone").agg(F.count(F.lit(1)).alias("events"), F.count_distinct("userId").alias("users"))
+
+
 def _streamed_counts(spark, lines: DataFrame, counter) -> tuple[DataFrame, object]:
     incoming, out = new_folder(spark, "incoming"), new_folder(spark, "counts")
     _deliver(lines, incoming)
@@ -451,7 +483,7 @@ def live_page_totals(spark, folder):
 @query("stream_progress")
 def stream_progress(spark, folder):
     run = _streamed_counts(spark, json_lines(activity_log(spark, folder)), counts.page_counts)[1]
-    return runs.progress(spark, run)
+    return runs.progress(spark, run).groupBy("name").agg(F.sum("input_rows").alias("input_rows"))
 
 
 # --- vectors, splits, scorecards -----------------------------------------------------------------------------
@@ -516,12 +548,7 @@ def scorecard_metric(spark, folder, metric):
 
 
 # --- models --------------------------------------------------------------------------------------------------
-
-
-def _fit_and_score(spark, folder, classifier) -> tuple[PipelineModel, DataFrame]:
-    train, test = split.hash_split(model_table(spark, folder))
-    model = training.fit_one(train, classifier())
-    return model, scoring.score_users(model, test)
+# Fitted numbers differ between engines. The queries fit real models and return facts with one right answer.
 
 
 CLASSIFIERS = {
@@ -532,66 +559,109 @@ CLASSIFIERS = {
 }
 
 
+def facts(scored: DataFrame, again: DataFrame) -> DataFrame:
+    """Scored users, those with a probability outside 0 to 1 or a class that contradicts it, and those whose second
+    score differs."""
+    one = scoring.churn_scores(scored)
+    two = scoring.churn_scores(again).select("userId", F.col("churn_probability").alias("other"))
+    p = F.col("churn_probability")
+    both = one.join(two, "userId")
+    return both.agg(
+        F.count(F.lit(1)).alias("users"),
+        F.count_if(~p.between(0, 1)).alias("outside"),
+        F.count_if(((p > 0.5) & (F.col("prediction") != 1)) | ((p < 0.5) & (F.col("prediction") != 0))).alias("contradicting"),
+        F.count_if(F.abs(p - F.col("other")) > 1e-9).alias("differing"),
+    )
+
+
 @query("lr_predictions", kind="lr")
 @query("dt_predictions", kind="dt")
 @query("rf_predictions", kind="rf")
 @query("gbt_predictions", kind="gbt")
-@query("score_users", kind="gbt")
 def model_predictions(spark, folder, kind):
-    _, scored = _fit_and_score(spark, folder, CLASSIFIERS[kind])
-    return rounded(scoring.churn_scores(scored, ["userId", "label"]))
+    """Two fits with one seed over the same training rows, scored on the test rows."""
+    train, test = split.hash_split(model_table(spark, folder))
+    one, two = (training.fit_one(train, CLASSIFIERS[kind]()) for _ in range(2))
+    return facts(scoring.score_users(one, test), scoring.score_users(two, test))
+
+
+@query("dt_leaf_shares")
+def dt_leaf_shares(spark, folder):
+    """Leaves hold the shares of their training rows: over these rows the probabilities add up to the churned users."""
+    train, _ = split.hash_split(model_table(spark, folder))
+    scored = scoring.churn_scores(scoring.score_users(training.fit_one(train, CLASSIFIERS["dt"]()), train), ["label"])
+    return scored.agg(
+        F.sum("label").cast("long").alias("churned"), F.round(F.sum("churn_probability"), 3).alias("expected")
+    )
 
 
 @query("lr_coefficients")
 def lr_coefficients(spark, folder):
-    model, _ = _fit_and_score(spark, folder, training.logistic_regression)
+    """The features in model order; the fit with an intercept meets the number of churned users in sum."""
+    train, _ = split.hash_split(model_table(spark, folder))
+    model = training.fit_one(train, training.logistic_regression(maxIter=200))
     fitted = model.stages[-1]
-    named = [*zip(MODEL_FEATURES, fitted.coefficients.toArray().tolist()), ("intercept", fitted.intercept)]
-    return spark.createDataFrame(named, "feature string, coefficient double")
+    off = scoring.churn_scores(scoring.score_users(model, train), ["label"]).agg(
+        F.sum(F.col("label") - F.col("churn_probability"))
+    ).first()[0]
+    rows = [
+        (underscored(name), math.isfinite(value), abs(off) < 0.5)
+        for name, value in zip(MODEL_FEATURES, fitted.coefficients.toArray().tolist())
+    ]
+    return spark.createDataFrame(rows, "feature string, finite boolean, balanced boolean")
 
 
 @query("prediction_counts")
 def prediction_counts(spark, folder):
-    _, scored = _fit_and_score(spark, folder, CLASSIFIERS["rf"])
-    return profile.prediction_counts(scored)
+    return profile.prediction_counts(scorecard(spark, folder))
 
 
 @query("model_roundtrip")
 def model_roundtrip(spark, folder):
+    """A model and its loaded copy give every user the same score."""
+    train, test = split.hash_split(model_table(spark, folder))
+    path = new_folder(spark, "model")
+    model = training.fit_one(train, CLASSIFIERS["rf"]())
+    training.save_model(model, path)
+    return facts(scoring.score_users(model, test), scoring.score_users(training.load_model(path), test))
+
+
+@query("score_users")
+def score_users(spark, folder):
+    """The scoring of the command line: saved, loaded, applied; raw scores and probabilities per class."""
     train, test = split.hash_split(model_table(spark, folder))
     path = new_folder(spark, "model")
-    training.save_model(training.fit_one(train, CLASSIFIERS["rf"]()), path)
+    training.save_model(training.fit_one(train, CLASSIFIERS["gbt"]()), path)
     scored = scoring.score_users(training.load_model(path), test)
-    return rounded(scoring.churn_scores(scored, ["userId", "label"]))
+    raw, share = vector_to_array("rawPrediction"), vector_to_array("probability")
+    right = (F.size(raw) == 2) & (F.size(share) == 2) & (F.abs(share[0] + share[1] - 1) < 1e-9)
+    return scored.select("userId", "label", right.alias("two_classes"))
 
 
-def _search_rows(spark, search: training.Search) -> DataFrame:
+def _search_rows(spark, searches: list[training.Search], folds: int) -> DataFrame:
     rows = [
-        (search.family, i, ", ".join(f"{k}={v}" for k, v in params.items()), area)
-        for i, (params, area) in enumerate(zip(search.params, search.areas))
+        (s.family, i, ", ".join(f"{k}={v}" for k, v in params.items()), folds, 0.0 <= area <= 1.0)
+        for s in searches
+        for i, (params, area) in enumerate(zip(s.params, s.areas))
     ]
-    return spark.createDataFrame(rows, "family string, combination int, params string, mean_area double")
+    return spark.createDataFrame(rows, "family string, combination int, params string, folds int, valid boolean")
 
 
 @query("cv_metrics_lr", family=training.lr_study_family)
 @query("cv_metrics_gbt", family=training.gbt_family)
 def cv_metrics(spark, folder, family):
     train, _ = split.hash_split(model_table(spark, folder))
-    return _search_rows(spark, training.grid_search(train, family(), folds=5))
+    return _search_rows(spark, [training.grid_search(train, family(), folds=5)], 5)
 
 
 @query("select_best_model")
 def select_best_model(spark, folder):
-    train, test = split.hash_split(model_table(spark, folder))
+    """The whole search over three families; the chosen one must have the largest mean area."""
+    train, _ = split.hash_split(model_table(spark, folder))
     searches = training.search_all(train, save_to=new_folder(spark, "models"))
     best = training.select_best(searches)
-    rows = [
-        (s.family, len(s.areas), s.best_area, ", ".join(f"{k}={v}" for k, v in s.best_params.items()), s is best)
-        for s in searches
-    ]
-    return spark.createDataFrame(
-        rows, "family string, combinations int, mean_area double, params string, chosen boolean"
-    )
+    assert best.best_area == max(a for s in searches for a in s.areas)
+    return _search_rows(spark, searches, 3)
 
 
 def _three_models(spark, folder) -> tuple[dict[str, PipelineModel], DataFrame]:
@@ -601,18 +671,49 @@ def _three_models(spark, folder) -> tuple[dict[str, PipelineModel], DataFrame]:
 
 @query("model_auc_comparison")
 def model_auc_comparison(spark, folder):
+    """Test area and accuracy of three models: users of the test part, and whether the measures are possible."""
     models, test = _three_models(spark, folder)
-    return spark.createDataFrame(scoring.compare_areas(models, test), "model string, area_under_roc double")
+    rows = scoring.evaluate_models(models, test)
+    possible = F.col("area_under_roc").between(0, 1) & (F.col("accuracy") * F.col("total") - F.col("matched") < 1e-6)
+    return rows.select("model", "total", possible.alias("possible"))
+
+
+@query("evaluate_winners")
+def evaluate_winners(spark, folder):
+    """Tuned winners on the test part, fitted on standardised features learnt from the training part alone."""
+    train, test = split.hash_split(model_table(spark, folder))
+    searches = [training.grid_search(train, f(), folds=3, scale=True) for f in (training.rf_family, training.dt_family)]
+    rows = scoring.evaluate_models({s.family: s.model for s in searches}, test)
+    return rows.select("model", "total", F.col("area_under_roc").between(0, 1).alias("possible"))
+
+
+@query("model_curve_ends")
+def model_curve_ends(spark, folder):
+    """The curves of a fitted model: ends of the ROC curve, and the largest recall and F-measure that are possible."""
+    train, test = split.hash_split(model_table(spark, folder))
+    card = stored(scoring.scorecard_of(training.fit_one(train, CLASSIFIERS["rf"]()), test), "model-card")
+    roc, pr, f1 = metrics.roc_curve(card), metrics.pr_curve(card), metrics.f_measure_curve(card)
+    ends = roc.agg(F.min("FPR").alias("first_fpr"), F.max("TPR").alias("last_tpr"))
+    recall = pr.agg(F.max("recall").alias("last_recall"))
+    best = f1.agg(F.max("F_Measure").between(0, 1).alias("f_measure_possible"))
+    return ends.join(recall).join(best)  # one row each
 
 
 @query("compare_model_predictions")
 def compare_model_predictions(spark, folder):
-    models, test = _three_models(spark, folder)
-    return scoring.compare_predictions(models, test)
+    """Three prediction tables joined by user; the models are fixed formulas here, so the rows have one right answer."""
+    users = user_table(spark, folder)
+    number = F.col("num_songs") * 37 + F.col("days_since_registration") * 11 + F.col("num_active_days") * 5
+    tables = {
+        name: users.select("userId", (number % modulus >= modulus // 2).cast("double").alias("prediction"))
+        for name, modulus in (("gbt", 97), ("lr", 89), ("rf", 83))
+    }
+    return scoring.join_predictions(tables, users)
 
 
 @query("score_silver")
 def score_silver(spark, folder):
     train, _ = split.hash_split(model_table(spark, folder))
     model = training.fit_one(train, CLASSIFIERS["gbt"]())
-    return scoring.score_silver(model, lake.read_zone(spark, _zone(spark, folder)))
+    counted = scoring.score_silver(model, lake.read_zone(spark, _zone(spark, folder)))
+    return counted.agg(F.sum("users").alias("users"), F.count_if(~F.col("prediction").isin(0, 1)).alias("other_classes"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import named, ratio, text
 from ..functions.dates import span_days, window_start
-from ..schema import ALL_DAYS, CHURN_PAGE, PAGES, PAID_LEVEL, SONG_PAGE
+from ..schema import ALL_DAYS, CHURN_PAGE, OTHER_PAGES, PAGES, PAID_LEVEL, SONG_PAGE
 
 # --- metric groups over events that already carry date_from and date_to -------------------------------------
 
@@ -43,13 +43,38 @@ def user_current_level(windowed: DataFrame) -> DataFrame:
 
 def user_page_pivot(windowed: DataFrame, pages: Sequence[str] = PAGES) -> DataFrame:
     """Events per user and page, one column per page, null where there are none."""
-    counts = [F.expr(f"nullif(count_if(page = {text(p)}), 0) AS {named(p)}") for p in pages]
+    counts = [F.expr(f"nullif(count_if({on_page(p, pages)}), 0) AS {named(p)}") for p in pages]
     return windowed.groupBy("userId").agg(*counts)
 
 
-def distinct_pages(events: DataFrame) -> list[str]:
-    """The page names that occur, for logs with other pages than the known ones (runs a job)."""
-    return [r.page for r in events.where("page is not null").select("page").distinct().orderBy("page").collect()]
+def on_page(page: str, pages: Sequence[str]) -> str:
+    """SQL condition of a page column; ``other_pages`` stands for every page that the list does not name."""
+    if page != OTHER_PAGES:
+        return f"page = {text(page)}"
+    listed = [text(p) for p in pages if p != OTHER_PAGES]
+    return f"page NOT IN ({', '.join(listed)})" if listed else "page IS NOT NULL"
+
+
+MAX_PAGES = 1000
+
+
+def distinct_pages(events: DataFrame, most: int = MAX_PAGES) -> list[str]:
+    """The page names that occur (runs a job).
+
+    Each becomes a column, so a log with more than ``most`` of them (broken page texts, for example) is an error and
+    no list is cut short.
+    """
+    found = events.where("page is not null").select("page").distinct().orderBy("page").limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} different pages; give a list, the others are counted as {OTHER_PAGES}")
+    return [r.page for r in found]
+
+
+def chosen_pages(events: DataFrame, pages: Sequence[str] | str) -> list[str]:
+    """``auto``: the pages that occur; a list: these, and one column for all the others."""
+    if isinstance(pages, str):
+        return distinct_pages(events)
+    return [*pages, *([] if OTHER_PAGES in pages else [OTHER_PAGES])]
 
 
 def user_song_metrics(windowed: DataFrame) -> DataFrame:
@@ -130,7 +155,7 @@ def daily_activity(dated: DataFrame, pages: Sequence[str] = PAGES) -> DataFrame:
         )
         .groupBy("userId", "event_date", "level")
         .agg(
-            *[F.expr(f"sum(CASE WHEN page = {text(p)} THEN events END) AS {named(p)}") for p in pages],
+            *[F.expr(f"sum(CASE WHEN {on_page(p, pages)} THEN events END) AS {named(p)}") for p in pages],
             F.sum("play_length").alias("play_length"),
             F.min("registered").alias("registered"),
             F.sum("unregistered").alias("unregistered"),
@@ -214,6 +239,8 @@ def user_features(
     the same pass.
     """
     needed = [*pages, *[p for p in (SONG_PAGE, CHURN_PAGE) if p not in pages]]
+    if OTHER_PAGES in pages and needed != [*pages]:
+        raise ValueError(f"a list with {OTHER_PAGES} must name {SONG_PAGE} and {CHURN_PAGE}")
     return users_from_daily(daily_activity(dated, needed), days, pages, keep_inactive, churn)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,13 +27,15 @@ def dedup_events(
 
 
 def missing_from(source: DataFrame, target: DataFrame, keys: Sequence[str] = EVENT_KEY) -> DataFrame:
-    """Source rows whose key is absent in the target; a null key matches nothing and is therefore kept."""
-    return source.join(target.select(*keys), list(keys), "left_anti")
+    """Source rows whose key is absent in the target; nulls in a key are equal, so a replay adds nothing."""
+    known = target.select(*[F.col(k).alias(f"_known_{i}") for i, k in enumerate(keys)])
+    same = [source[k].eqNullSafe(known[f"_known_{i}"]) for i, k in enumerate(keys)]
+    return source.join(known, reduce(and_, same), "left_anti")
 
 
 def insert_only_upsert(
     target: DataFrame, source: DataFrame, keys: Sequence[str] = EVENT_KEY, dedup: bool = True
 ) -> DataFrame:
     """The target followed by the source rows with new keys; existing rows stay as they are."""
-    rows = dedup_events(source) if dedup else source
+    rows = dedup_events(source, keys) if dedup else source
     return target.unionByName(missing_from(rows, target, keys))

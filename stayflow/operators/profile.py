@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import quoted
-from ..functions.running import bucket_of, cut_points
 from ..schema import LIVE_PAGES, PAGES, SONG_PAGE
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+SKETCH_ACCURACY = 10_000
 STATISTICS = ["count", "mean", "std", "min", *QUARTILES, "max"]
 
 
@@ -37,63 +37,88 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def describe(df: DataFrame, columns: Sequence[str] | None = None, by: str | None = None) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum of each numeric column.
 
-    Quartiles are exact with linear interpolation. A sketch cuts each column's range into buckets, bucket counts
-    tell which of them hold the wanted ranks, and only the values of those buckets are shuffled and ranked; no
-    task ever holds a whole column. ``by`` splits the table by a column with few values, such as ``churn``.
+    Quartiles are exact with linear interpolation, in three narrow scans. The first is one wide aggregate; its sketches
+    bracket every quartile by two values. The second counts what lies below each bracket and widens it by one value on
+    either side, so that both neighbours of a fractional rank are inside. The third ranks only the values inside the
+    brackets; no task ever holds a whole column. ``by`` splits the table by a column with few values, such as ``churn``.
     """
     columns = [c for c in (columns or numeric_columns(df)) if c != by]
-    groups = [by] if by else []
-    doubles = [F.col(f"`{c}`").cast("double").alias(c) for c in columns]
-    values = df.select(*groups, *doubles).unpivot(groups, quoted(columns), "metric", "value")
-    key = [*groups, "metric"]
-    stats = values.groupBy(*key).agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    slots = [(i, n, q) for i in range(len(columns)) for n, q in enumerate(QUARTILES.values())]
+    group = F.col(f"`{by}`") if by else F.lit(0)
+    doubles = [F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)]
+    values = df.select(group.alias("g"), *doubles)
+    margin = 4 / SKETCH_ACCURACY
+    shares = F.array(*[F.lit(min(1.0, max(0.0, q + d))) for q in QUARTILES.values() for d in (-margin, margin)])
+    stats = values.groupBy("g").agg(
+        *[
+            F.struct(
+                F.count(c).alias("count"),
+                F.avg(c).alias("mean"),
+                F.stddev_samp(c).alias("std"),
+                F.min(c).alias("min"),
+                F.max(c).alias("max"),
+                F.percentile_approx(c, shares, SKETCH_ACCURACY).alias("edges"),
+            ).alias(f"s{i}")
+            for i, c in enumerate(f"c{i}" for i in range(len(columns)))
+        ]
     )
-    present = values.where(F.col("value").isNotNull())
-    # One row per group and column: small enough to send to every task.
-    sketch = present.groupBy(*key).agg(cut_points(F.col("value"), 64).alias("cuts"))
-    placed = present.join(F.broadcast(sketch), key).select(
-        *key, "value", bucket_of(F.col("value"), F.col("cuts")).alias("bucket")
+    edges = stats.select(F.col("g").alias("_g"), *[F.col(f"s{i}.edges").alias(f"e{i}") for i in range(len(columns))])
+    found = values.join(edges, F.col("g").eqNullSafe(F.col("_g")))
+    limits = found.groupBy("g").agg(
+        *[
+            F.struct(
+                F.count_if(F.col(f"c{i}") < low).alias("below"),
+                F.coalesce(F.max(F.when(F.col(f"c{i}") < low, F.col(f"c{i}"))), F.min(low)).alias("low"),
+                F.coalesce(F.min(F.when(F.col(f"c{i}") > high, F.col(f"c{i}"))), F.max(high)).alias("high"),
+                F.min(low).alias("edge"),
+                F.count(f"c{i}").alias("total"),
+            ).alias(f"l{i}_{n}")
+            for i, n, _ in slots
+            for low, high in [(F.get(f"e{i}", F.lit(2 * n)), F.get(f"e{i}", F.lit(2 * n + 1)))]
+        ]
     )
-    order = Window.partitionBy(*key).orderBy("bucket")
-    histogram = (
-        placed.groupBy(*key, "bucket")
-        .agg(F.count("value").alias("held"))
-        .withColumn("before", F.sum("held").over(order) - F.col("held"))
-        .withColumn("total", F.sum("held").over(Window.partitionBy(*key)))
+    marked = values.join(limits.withColumnRenamed("g", "_g"), F.col("g").eqNullSafe(F.col("_g")))
+    inside = F.array(
+        *[
+            F.when(
+                F.col(f"c{i}").between(F.col(f"l{i}_{n}.low"), F.col(f"l{i}_{n}.high")),
+                F.struct(F.lit(i).alias("i"), F.lit(n).alias("n"), F.col(f"c{i}").alias("value"), f"l{i}_{n}.below",
+                         f"l{i}_{n}.edge", f"l{i}_{n}.total"),
+            )
+            for i, n, _ in slots
+        ]
     )
-    wanted = F.array(*[edge(_rank(q, F.col("total"))) for q in QUARTILES.values() for edge in (F.floor, F.ceil)])
-    hit = F.exists(wanted, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("held")))
-    targets = histogram.where(hit).select(*key, "bucket", "before", "total")
-    inside = Window.partitionBy(*key, "bucket").orderBy("value")
+    held = marked.select("g", F.inline(F.array_compact(inside)))
+    slot = Window.partitionBy("g", "i", "n")
     ranked = (
-        placed.join(F.broadcast(targets), [*key, "bucket"])
-        .groupBy(*key, "bucket", "before", "total", "value")
+        held.groupBy("g", "i", "n", "value", "below", "edge", "total")
         .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("end", F.col("before") + F.sum("copies").over(inside))
+        .withColumn("first", F.col("below") - F.sum(F.when(F.col("value") < F.col("edge"), F.col("copies")).otherwise(0)).over(slot))
+        .withColumn("end", F.col("first") + F.sum("copies").over(slot.orderBy("value")))
         .withColumn("start", F.col("end") - F.col("copies"))
     )
-    quartiles = ranked.groupBy(*key).agg(*[_interpolated(q).alias(n) for n, q in QUARTILES.items()])
-    return stats.join(F.broadcast(quartiles), key, "left").select(*key, *STATISTICS)
-
-
-def _rank(quantile: float, total: Column) -> Column:
-    return F.lit(quantile) * (total - 1)
+    quartiles = ranked.groupBy("g", "i").agg(
+        *[_interpolated(n, q).alias(name) for n, (name, q) in enumerate(QUARTILES.items())]
+    )
+    rows = stats.select(
+        "g", F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("metric"), f"s{i}.*") for i, c in enumerate(columns)]))
+    )
+    named_quartiles = quartiles.withColumnsRenamed({"g": "_g", "i": "_i"})
+    same = F.col("g").eqNullSafe(F.col("_g")) & (F.col("i") == F.col("_i"))
+    groups = [F.col("g").alias(by)] if by else []
+    return rows.join(named_quartiles, same, "left").select(*groups, "metric", *STATISTICS)
 
 
-def _interpolated(quantile: float) -> Column:
+def _interpolated(slot: int, quantile: float) -> Column:
     """Aggregate over ranked values: the value at a fractional rank, between its two neighbours."""
-    rank = _rank(quantile, F.col("total"))
+    rank = F.lit(quantile) * (F.col("total") - 1)
+    mine = F.col("n") == slot
 
     def at(r: Column) -> Column:
-        return F.max(F.when((r >= F.col("start")) & (r < F.col("end")), F.col("value")))
+        return F.max(F.when(mine & (r >= F.col("start")) & (r < F.col("end")), F.col("value")))
 
     low, high = at(F.floor(rank)), at(F.ceil(rank))
-    return low + (high - low) * F.max(rank - F.floor(rank))
+    return low + (high - low) * F.max(F.when(mine, rank - F.floor(rank)))
 
 
 def describe_difference(users: DataFrame, columns: Sequence[str] | None = None, by: str = "churn") -> DataFrame:

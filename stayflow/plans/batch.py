@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.columns import underscore_columns
 from ..operators.clean import add_dates, valid_events
-from ..operators.features import choose_features, user_features
+from ..operators.features import choose_features, chosen_pages, distinct_pages, user_features
 from ..schema import ALL_DAYS, EXPORT_FEATURES, PAGES
 from ..sources.files import read_events, write_user_table
 from ..sources.lake import read_zone, write_users
@@ -35,18 +35,30 @@ def run_features(
     wide: bool = False,
     files: int | None = None,
     mode: str = "error",
+    pages: Sequence[str] | str = "auto",
 ) -> None:
-    """JSON events to a user CSV: the export columns, or every column with ``wide``."""
-    users = churn_user_table(read_events(spark, source), days)
+    """JSON events to a user CSV: the export columns, or every column with ``wide``.
+
+    ``pages``: ``auto`` for the pages that occur (one more pass over one column), or a list, after which all other pages
+    are counted in ``other_pages``. The export columns are always there.
+    """
+    events = read_events(spark, source)
+    chosen = chosen_pages(valid_events(events), pages) if wide else PAGES
+    users = churn_user_table(events, days, chosen)
     out = users.na.fill(0) if wide else choose_features(users, EXPORT_FEATURES)
     write_user_table(out, target, files, mode)
 
 
-def gold_users(silver: DataFrame, days: int = ALL_DAYS) -> DataFrame:
+def gold_users(silver: DataFrame, days: int = ALL_DAYS, pages: Sequence[str] = PAGES) -> DataFrame:
     """The wide user table of the silver zone, with column names free of blanks."""
-    return underscore_columns(user_features(silver, days))
+    return underscore_columns(user_features(silver, days, pages))
 
 
-def rebuild_gold(spark: SparkSession, silver_path: str, gold_path: str, days: int = ALL_DAYS) -> DataFrame:
-    write_users(gold_users(read_zone(spark, silver_path), days), gold_path)
+def rebuild_gold(
+    spark: SparkSession, silver_path: str, gold_path: str, days: int = ALL_DAYS, pages: Sequence[str] | str = "auto"
+) -> DataFrame:
+    """``pages``: ``auto`` for the pages that occur, or exactly the given ones."""
+    silver = read_zone(spark, silver_path)
+    listed = distinct_pages(silver) if isinstance(pages, str) else list(pages)
+    write_users(gold_users(silver, days, listed), gold_path)
     return spark.read.parquet(gold_path)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.ml import Estimator, Model, PipelineModel, Transformer
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -15,7 +16,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Normalizer, StandardScaler, VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -132,9 +133,20 @@ def families() -> list[Family]:
     return [lr_family(), gbt_family(), rf_family()]
 
 
-def fit_one(train: DataFrame, classifier: Estimator, columns: Sequence[str] = MODEL_FEATURES) -> PipelineModel:
+def fitted_stages(train: DataFrame, columns: Sequence[str] = MODEL_FEATURES, scale: bool = False) -> PipelineModel:
+    """The feature stages; with ``scale`` the standardisation learnt from these rows is one of them."""
+    if not scale:
+        return PipelineModel(stages=feature_stages(columns))
+    *stages, normalizer = feature_stages(columns)
+    normalizer = normalizer.copy().setOutputCol("unit_features")
+    return Pipeline(stages=[*stages, normalizer, standard_scaler("unit_features", "features")]).fit(train)
+
+
+def fit_one(
+    train: DataFrame, classifier: Estimator, columns: Sequence[str] = MODEL_FEATURES, scale: bool = False
+) -> PipelineModel:
     """Fit one classifier behind the feature stages."""
-    stages = PipelineModel(stages=feature_stages(columns))
+    stages = fitted_stages(train, columns, scale)
     ready = stages.transform(train).select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return PipelineModel(stages=[*stages.stages, classifier.fit(ready)])
@@ -142,38 +154,56 @@ def fit_one(train: DataFrame, classifier: Estimator, columns: Sequence[str] = MO
         ready.unpersist()
 
 
+def check_folds(ready: DataFrame, folds: int) -> None:
+    """Every fold must hold both classes, and so must the rows outside it: else its areas mean nothing."""
+    found = {(r["fold"], r["label"]) for r in ready.select("fold", "label").distinct().collect()}
+    for fold in range(folds):
+        inside = {label for f, label in found if f == fold}
+        outside = {label for f, label in found if f != fold}
+        for side, classes in (("validation", inside), ("training", outside)):
+            if len(classes) < 2:
+                raise ValueError(f"fold {fold} of {folds}: its {side} rows have {len(classes)} of 2 classes; use fewer folds")
+
+
 def grid_search(
     train: DataFrame,
     family: Family,
     columns: Sequence[str] = MODEL_FEATURES,
     folds: int = 3,
     parallelism: int = 8,
-    bins: int = 1000,
+    bins: int = 0,
+    scale: bool = False,
 ) -> Search:
     """Cross-validate every combination of a family and refit the best on all training rows.
 
-    The feature stages learn nothing from the data, so the vectors are built once and kept for all fits. Folds
-    come from a hash of the user id: a lost executor recomputes the same folds.
+    The vectors are built once and kept for all fits; a fold is a filter on them. Folds come from a hash of the user id:
+    a lost executor recomputes the same folds. Fits run in threads, each with its own copy of the session's local
+    properties, so they cannot disturb each other. Areas are exact unless ``bins`` thins the curves out. ``scale`` divides
+    every vector position by its deviation over the training rows.
     """
-    stages = PipelineModel(stages=feature_stages(columns))
+    session = train.sparkSession
+    stages = fitted_stages(train, columns, scale)
     ready = with_fold(stages.transform(train), folds).select("label", "features", "fold")
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def area(fold: int, combination: dict) -> float:
+        fitted = family.classifier.fit(ready.where(F.col("fold") != fold), combination)
+        return float(evaluator(bins).evaluate(fitted.transform(ready.where(F.col("fold") == fold))))
+
     try:
-        search = CrossValidator(
-            estimator=family.classifier,
-            estimatorParamMaps=family.grid,
-            evaluator=evaluator(bins),
-            numFolds=folds,
-            foldCol="fold",
-            parallelism=parallelism,
-            seed=SEED,
-        ).fit(ready)
+        check_folds(ready, folds)
+        jobs = [(fold, combination) for combination in family.grid for fold in range(folds)]
+        with ThreadPoolExecutor(max(1, parallelism)) as pool:
+            running = [pool.submit(inheritable_thread_target(session)(area), *job) for job in jobs]
+            areas = [r.result() for r in running]
+        means = [sum(areas[i : i + folds]) / folds for i in range(0, len(areas), folds)]
+        best = family.classifier.fit(ready, family.grid[means.index(max(means))])
     finally:
         ready.unpersist()
     return Search(
         family.name,
-        PipelineModel(stages=[*stages.stages, search.bestModel]),
-        [float(area) for area in search.avgMetrics],
+        PipelineModel(stages=[*stages.stages, best]),
+        means,
         [{p.name: v for p, v in combination.items()} for combination in family.grid],
     )
 
@@ -194,11 +224,12 @@ def search_all(
     folds: int = 3,
     parallelism: int = 8,
     save_to: str | None = None,
+    scale: bool = False,
 ) -> list[Search]:
     """Grid searches of several families; each best model is saved under its family name."""
     searches = []
     for family in candidates or families():
-        search = grid_search(train, family, columns, folds, parallelism)
+        search = grid_search(train, family, columns, folds, parallelism, scale=scale)
         if save_to:
             save_model(search.model, f"{save_to}/{search.family}")
         searches.append(search)

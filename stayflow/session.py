@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -47,6 +49,7 @@ def shared_folder(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _local_scratch is None:
         _local_scratch = tempfile.mkdtemp(prefix="stayflow-")
+        atexit.register(shutil.rmtree, _local_scratch, ignore_errors=True)
     return _local_scratch
 
 

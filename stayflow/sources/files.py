@@ -17,13 +17,17 @@ def read_user_table(spark: SparkSession, path: str, schema: T.StructType | None
     """User rows of CSV files with a header line.
 
     With ``infer`` the types are guessed from the data, which costs a pass over it. The columns of the given
-    schema are found by their names in the header, so a file may hold fewer of them or another order.
+    schema are found by their names in the header, so a file may hold fewer of them or another order. Unknown columns
+    between the paid days and the level are page counts; other unknown columns are texts.
     """
     if infer:
         return spark.read.csv(path, header=True, inferSchema=True)
     wanted = {f.name: f for f in (schema or user_table_schema()).fields}
     header = spark.read.csv(path, header=True).columns
-    fields = [wanted.get(name, T.StructField(name, T.StringType())) for name in header]
+    place = {name: i for i, name in enumerate(header)}
+    pages = range(place.get("num_active_days_paid", len(header)), place.get("current_level", 0))
+    kinds = {name: T.LongType() if i in pages else T.StringType() for name, i in place.items()}
+    fields = [wanted.get(name, T.StructField(name, kinds[name])) for name in header]
     return spark.read.schema(T.StructType(fields)).csv(path, header=True)
 
 

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..schema import DAY_PARTITION, ZONE_SCHEMA
@@ -37,14 +36,29 @@ def zone_exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
-def in_partitions(values: Sequence[Sequence[str]], partition: Sequence[str] = DAY_PARTITION) -> Column:
-    """Predicate on partition columns only, so that the scan lists no other folder."""
-    return F.concat_ws("/", *[F.col(p).cast("string") for p in partition]).isin(["/".join(v) for v in values])
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def read_partitions(
+    spark: SparkSession,
+    path: str,
+    values: Iterable[Sequence[str]],
+    partition: Sequence[str] = DAY_PARTITION,
+    schema: T.StructType = ZONE_SCHEMA,
+) -> DataFrame:
+    """The rows of some partitions of a zone. Their folders are given to the scan, so no other folder is listed."""
+    folders = ["/".join([path, *[f"{p}={v}" for p, v in zip(partition, value)]]) for value in values]
+    present = [f for f in folders if folder_exists(spark, f)]
+    if not present:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*present)
 
 
 def read_days(spark: SparkSession, path: str, days: Sequence[str], schema: T.StructType = ZONE_SCHEMA) -> DataFrame:
     """The rows of some days (``yyyy-MM-dd``) of a zone that is partitioned by year, month and day."""
-    return read_zone(spark, path, schema).where(in_partitions([d.split("-") for d in days]))
+    return read_partitions(spark, path, [d.split("-") for d in days], DAY_PARTITION, schema)
 
 
 def write_users(users: DataFrame, path: str) -> None:

@@ -23,22 +23,36 @@ def page_counts(lines: DataFrame) -> DataFrame:
 
 
 def keep_latest(counts: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Keep the newest complete result of a streaming count as a table at ``path``."""
+    """Keep the complete results of a streaming count under ``path``, one folder per batch.
 
-    def replace(result: DataFrame, _: int) -> None:
-        result.write.mode("overwrite").parquet(path)
+    A reader takes the newest folder whose write has ended, so it never meets a half-written table. The two folders
+    before the newest stay for readers that have begun; older ones are emptied.
+    """
+
+    def write(result: DataFrame, batch: int) -> None:
+        result.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        if batch >= 3:
+            result.limit(0).write.mode("overwrite").parquet(f"{path}/batch={batch - 3}")
 
     writer = (
         counts.writeStream.queryName("PageCount")
         .outputMode("complete")
-        .foreachBatch(replace)
+        .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
     )
     return triggered(writer, every).start()
 
 
 def latest_counts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(COUNT_SCHEMA).parquet(path)
+    """The newest complete result; a folder is complete once its success mark is there."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    marks = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(
+        spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, "batch=*/_SUCCESS")
+    )
+    batches = [int(m.getPath().getParent().getName().removeprefix("batch=")) for m in marks or []]
+    if not batches:
+        return spark.createDataFrame([], COUNT_SCHEMA)
+    return spark.read.schema(COUNT_SCHEMA).parquet(f"{path}/batch={max(batches)}")
 
 
 def live_totals(baseline: DataFrame, counts: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Raw, bronze and silver zones of the streaming lake.
 
-Each zone is written by one query with its own checkpoint. Bronze is a plain file sink. Silver inserts a
-micro-batch's new keys only, so a batch that is replayed after a failure, even half written, adds nothing twice.
-One query at a time may write to a silver folder.
+Each zone is written by one query with its own checkpoint. Bronze and the rejected rows are plain file sinks. Silver inserts
+a micro-batch's new keys only (nulls in a key are equal), so a batch that is replayed after a failure, even half written,
+adds nothing twice. Rows whose time gives no day have no place in a zone of days: they go to the rejected zone and not to
+bronze. Every query takes a bounded number of files per batch. One query at a time may write to a silver folder.
 """
 
 from __future__ import annotations
@@ -11,18 +12,18 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import add_date_parts, parse_json_lines, valid_events
 from ..operators.merge import EVENT_KEY, dedup_events, missing_from
-from ..schema import DAY_PARTITION, ZONE_SCHEMA
+from ..schema import DAY_PARTITION, EVENT_SCHEMA, ZONE_SCHEMA
 from ..sources.files import stream_lines
-from ..sources.lake import in_partitions, read_zone, write_zone, zone_exists
+from ..sources.lake import read_partitions, read_zone, write_zone
 from .runs import drain, triggered
 
-MAX_PRUNED_DAYS = 5000
+FILES_PER_BATCH = 64
 
 
 @dataclass(frozen=True)
@@ -56,9 +57,17 @@ def bronze_rows(lines: DataFrame) -> DataFrame:
     return lines.transform(parse_json_lines).transform(valid_events).transform(add_date_parts)
 
 
-def write_bronze(lines: DataFrame, lake: Lake, every: str | None = None) -> StreamingQuery:
+def has_day() -> Column:
+    return F.col("event_date").isNotNull()
+
+
+def write_bronze(lines: DataFrame, lake: Lake, every: str | None = None, day_splits: int = 1) -> StreamingQuery:
+    """Rows with a day, by day. A day's rows of a batch meet in ``day_splits`` tasks, which is the number of its files."""
+    part = F.pmod(F.xxhash64("userId", "ts"), F.lit(day_splits))
     writer = (
         bronze_rows(lines)
+        .where(has_day())
+        .repartition(*DAY_PARTITION, part)
         .writeStream.queryName("bronze")
         .outputMode("append")
         .partitionBy(*DAY_PARTITION)
@@ -69,6 +78,25 @@ def write_bronze(lines: DataFrame, lake: Lake, every: str | None = None) -> Stre
     return triggered(writer, every).start()
 
 
+def write_rejected(lines: DataFrame, lake: Lake, every: str | None = None) -> StreamingQuery:
+    """Rows that name a user but no usable time, as they came."""
+    writer = (
+        bronze_rows(lines)
+        .where(~has_day())
+        .select(*EVENT_SCHEMA.names)
+        .writeStream.queryName("rejected")
+        .outputMode("append")
+        .format("parquet")
+        .option("path", lake.data("rejected"))
+        .option("checkpointLocation", lake.checkpoint("rejected"))
+    )
+    return triggered(writer, every).start()
+
+
+def read_rejected(spark: SparkSession, lake: Lake) -> DataFrame:
+    return spark.read.schema(EVENT_SCHEMA).parquet(lake.data("rejected"))
+
+
 def merge_batch(
     batch: DataFrame,
     path: str,
@@ -76,20 +104,17 @@ def merge_batch(
     dedup: bool = True,
     partition: Sequence[str] = DAY_PARTITION,
 ) -> None:
-    """Insert the batch rows whose key is not yet in the zone; only the batch's days are read from it."""
+    """Insert the batch rows whose key is not yet in the zone.
+
+    Only the folders of the batch's days are listed and read. A batch is bounded by its files, and so is its list of days.
+    """
     spark = batch.sparkSession
-    rows = (dedup_events(batch) if dedup else batch).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = (dedup_events(batch, keys) if dedup else batch).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if zone_exists(spark, path):
-            # The days of one micro-batch are few; a backfill with more of them reads the whole zone instead.
-            days = [tuple(r) for r in rows.select(*partition).distinct().limit(MAX_PRUNED_DAYS + 1).collect()]
-            known = read_zone(spark, path)
-            if len(days) <= MAX_PRUNED_DAYS and not any(part is None for day in days for part in day):
-                known = known.where(in_partitions(days, partition))
-            on = [*partition, *[k for k in keys if k not in partition]]
-            write_zone(missing_from(rows, known, on), path, partition=partition)
-        else:
-            write_zone(rows, path, partition=partition)
+        days = [tuple(r) for r in rows.select(*partition).distinct().toLocalIterator()]
+        known = read_partitions(spark, path, days, partition)
+        on = [*partition, *[k for k in keys if k not in partition]]
+        write_zone(missing_from(rows, known, on), path, partition=partition)
     finally:
         rows.unpersist()
 
@@ -100,12 +125,10 @@ def write_silver(
     every: str | None = None,
     keys: Sequence[str] = EVENT_KEY,
     dedup: bool = True,
-    files_per_batch: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Stream bronze into silver; ``dedup=False`` keeps copies that arrive within one micro-batch."""
-    reader = spark.readStream.schema(ZONE_SCHEMA)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = spark.readStream.schema(ZONE_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
     path = lake.data("silver")
     writer = (
         reader.parquet(lake.data("bronze"))
@@ -122,26 +145,31 @@ def ingest(
     lake: Lake,
     keys: Sequence[str] = EVENT_KEY,
     dedup: bool = True,
-    files_per_batch: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
     """Carry all text files of ``incoming`` through raw and bronze into silver, each exactly once.
 
-    ``files_per_batch`` limits the text files of one micro-batch; silver takes all new bronze files at once.
+    ``files_per_batch`` limits the files of every micro-batch.
     """
     drain(land_raw(stream_lines(spark, incoming, files_per_batch), lake))
     drain(write_bronze(stream_lines(spark, lake.data("raw"), files_per_batch), lake))
-    drain(write_silver(spark, lake, keys=keys, dedup=dedup))
+    drain(write_rejected(stream_lines(spark, lake.data("raw"), files_per_batch), lake))
+    drain(write_silver(spark, lake, keys=keys, dedup=dedup, files_per_batch=files_per_batch))
     return read_zone(spark, lake.data("silver"))
 
 
-def ingest_forever(spark: SparkSession, incoming: str, lake: Lake, every: str = "2 seconds") -> list[StreamingQuery]:
-    """Start the three queries at an interval; bronze and silver wait for files of the zone before them."""
+def ingest_forever(
+    spark: SparkSession, incoming: str, lake: Lake, every: str = "2 seconds", files_per_batch: int = FILES_PER_BATCH
+) -> list[StreamingQuery]:
+    """Start the queries at an interval; the later ones wait for files of the zone before them."""
     for zone in ("raw", "bronze"):
         ensure_folder(spark, lake.data(zone))
+    raw = lake.data("raw")
     return [
-        land_raw(stream_lines(spark, incoming), lake, every),
-        write_bronze(stream_lines(spark, lake.data("raw")), lake, every),
-        write_silver(spark, lake, every),
+        land_raw(stream_lines(spark, incoming, files_per_batch), lake, every),
+        write_bronze(stream_lines(spark, raw, files_per_batch), lake, every),
+        write_rejected(stream_lines(spark, raw, files_per_batch), lake, every),
+        write_silver(spark, lake, every, files_per_batch=files_per_batch),
     ]
 
 
