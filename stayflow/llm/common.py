@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +51,3 @@ def words_of(data: bytes | None) -> list[bytes]:
     """Lower-cased words of letters, digits and non-ASCII characters."""
     return data.translate(WORD_BYTES).split() if data else []
 
-
-def stable_hash(data: bytes) -> int:
-    """64 bits that are the same in every process."""
-    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little")

@@ -15,11 +15,10 @@ rows score alike. Labels, language, source and id are not inputs of the score. O
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from operator import eq
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, stable_hash, words_of
+from .common import held_out, words_of
 from .labelled import training_rows
 
 TERMS, SHAPES = 4096, 1024
@@ -36,23 +35,25 @@ DIMENSIONS = 48
 MAX_TRAINING_ROWS = 4000
 NEIGHBOURS = 15
 BLOCK = 512
-_LOWER_RUN, _UPPER_RUN, _DIGIT_RUN = re.compile(rb"[a-z\x80-\xff]+"), re.compile(rb"[A-Z]+"), re.compile(rb"[0-9]+")
+#: Letters to x or X, digits to 0; other ASCII characters stay.
+_KINDS = bytes(
+    ord("0") if chr(b).isdigit() and b < 128 else ord("X") if 65 <= b <= 90 else ord("x") if 97 <= b <= 122 or b >= 128 else b
+    for b in range(256)
+)
+_RUNS = re.compile(rb"([xX0])\1+")
 
 
-def shape(token: bytes) -> bytes:
-    """``Thntish,`` to ``Xx,`` and ``RE!!`` to ``X!!``: what kind of token it is, not which."""
-    s = _LOWER_RUN.sub(b"x", _UPPER_RUN.sub(b"X", token))
-    return _DIGIT_RUN.sub(b"0", s)[:12]
+class ShapeTerms(dict):
+    """Positions of shapes: ``Xxxxxxx,`` counts as ``Xx,`` and ``XX!!`` as ``X!!``; what kind of token it is, not which."""
 
+    def __missing__(self, token: bytes) -> int:
+        term = crc32(_RUNS.sub(rb"\1", token)[:12]) % (SHAPES - 1)
+        if len(self) < 100_000:
+            self[token] = term
+        return term
 
-@lru_cache(maxsize=200_000)
-def word_term(word: bytes) -> int:
-    return SHAPES + stable_hash(word) % (TERMS - SHAPES)
 
-
-@lru_cache(maxsize=200_000)
-def shape_term(token: bytes) -> int:
-    return stable_hash(shape(token)) % (SHAPES - 1)
+_shape_terms = ShapeTerms()
 
 
 def term_counts(data: bytes | None) -> np.ndarray:
@@ -60,9 +61,9 @@ def term_counts(data: bytes | None) -> np.ndarray:
     if not data:
         return np.zeros(TERMS, np.float32)
     tokens = data.split()
-    found = [shape_term(t) for t in tokens]
-    found += [word_term(w) for w in words_of(data)]
-    counts = np.bincount(found, minlength=TERMS).astype(np.float32)
+    shapes = np.array(list(map(_shape_terms.__getitem__, data.translate(_KINDS).split())), np.int64)
+    words = np.array(list(map(crc32, words_of(data))), np.int64) % (TERMS - SHAPES) + SHAPES
+    counts = np.bincount(np.concatenate([shapes, words]), minlength=TERMS).astype(np.float32)
     counts[SHAPES - 1] = sum(map(eq, tokens, tokens[1:]))
     return counts
 
