@@ -98,6 +98,44 @@ def test_selection_takes_the_highest_area_and_the_first_of_equals(spark, users):
     assert training.load_model(f"{path}/RandomForestClassifier").stages[-1].getNumTrees == 20
 
 
+def test_parallel_searches_equal_serial_ones(users):
+    serial = training.grid_search(users, training.lr_family(), folds=3, parallelism=1)
+    for _ in range(5):
+        assert training.grid_search(users, training.lr_family(), folds=3, parallelism=8).areas == serial.areas
+    best = max(range(12), key=serial.areas.__getitem__)
+    assert serial.best_params == serial.params[best] and len(serial.areas) == 12
+
+
+def test_a_fold_without_both_classes_is_named(users):
+    one_churned = users.where("label = 0").unionByName(users.where("label = 1").orderBy("userId").limit(1))
+    with pytest.raises(ValueError, match=r"fold \d of 3"):
+        training.grid_search(one_churned, training.dt_family(), folds=3)
+
+
+def test_scaler_is_learnt_from_the_training_part(users):
+    train, test = split.hash_split(users, 20)
+    model = training.fit_one(train, training.decision_tree(2), scale=True)
+    names = [type(s).__name__ for s in model.stages]
+    assert names == ["VectorAssembler", "Normalizer", "StandardScalerModel", "DecisionTreeClassificationModel"]
+    assert scoring.score_users(model, test).count() == test.count()
+
+
+def test_predictions_of_tables_are_joined(spark):
+    table = lambda rows: spark.createDataFrame(rows, "userId string, prediction double")
+    truth = spark.createDataFrame([("a", 1), ("b", 0)], "userId string, churn int")
+    joined = scoring.join_predictions({"x": table([("a", 1.0), ("b", 1.0)]), "y": table([("a", 0.0)])}, truth)
+    assert [tuple(r) for r in joined.collect()] == [("a", 1.0, 0.0, 1)]
+
+
+def test_models_are_measured_and_have_curves(users):
+    train, test = split.hash_split(users, 20)
+    model = training.fit_one(train, training.random_forest())
+    row = scoring.evaluate_models({"rf": model}, test).first()
+    card = scoring.scorecard_of(model, test)
+    assert row.total == test.count() and row.accuracy == pytest.approx(row.matched / row.total)
+    assert metrics.area_under_roc(card).first()[0] == pytest.approx(row.area_under_roc)
+
+
 def test_comparison_of_models(users):
     models = {k: training.fit_one(users, c) for k, c in (("gbt", training.boosted_trees(maxIter=3)), ("rf", training.random_forest()))}
     joined = scoring.compare_predictions(models, users)

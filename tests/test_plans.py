@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from log_data import event, frame, ms, random_rows
-from stayflow.operators import clean, features, merge, metrics, recency
+from stayflow.operators import clean, features, merge, metrics, profile, recency
 from stayflow.plans import batch
 from stayflow.session import new_folder
 
@@ -82,3 +82,17 @@ def test_even_a_hot_user_day_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_describe_scans_at_most_three_times_and_unpivots_late(spark):
+    users = spark.read.parquet(stored_users(spark))
+    text = final_plan(profile.describe(users, by="churn"))
+    assert text.count("FileScan") - text.count("ReusedExchange") <= 3 or text.count("FileScan parquet") <= 3
+    assert "Expand" not in text
+
+
+def stored_users(spark):
+    path = new_folder(spark, "plan-users")
+    rows = spark.range(500).selectExpr("cast(id as string) userId", "cast(id % 2 as int) churn", "id * 1.5 x", "id % 7 y")
+    rows.write.parquet(path)
+    return path
