@@ -51,9 +51,12 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     placed = shard_rows(docs, carry=docs.columns)
-    return placed.select(*[F.col("carried")[c].alias(c) for c in docs.columns], "size", "text_crc32", "law", "shard", "slot", "curve_index")
+    carried = [F.col("carried")[c].alias(c) for c in docs.columns if c not in PLACES]
+    return placed.select(*carried, *PLACES)
 
 
+#: Columns of the last stage; they replace columns of the same name.
+PLACES = ["size", "text_crc32", "law", "shard", "slot", "curve_index"]
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality", quality),
     ("near_dedup", near_dedup),
