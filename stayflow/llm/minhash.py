@@ -6,12 +6,15 @@ A document is the set of its 5-word shingles (A-Z lower-cased, words between whi
 1. One pass over the texts: 384 minima per set, cut into 48 bands of 8, and the two low bits of every minimum packed into a
    signature of 96 bytes. At similarity 0.85 a pair shares no band with probability 2e-7. Equal sets collapse to one
    representative by a digest of the whole set.
-2. Stars: in each band bucket every member is paired with the smallest member only. Pairs are estimated by bit counts of the
-   signatures, corrected for lanes that agree by chance, and discarded 5 deviations below the threshold. What remains is
-   confirmed on the full shingle sets. The links give first components.
+   A second signature holds the parity of the number of shingles that hash to each of 2048 bits: where two of them differ, the
+   sets differ, so its bit count bounds the difference of the sets from below, without any error.
+2. Stars: in each band bucket every member is paired with one hub only, the smallest member. Pairs are estimated by bit counts
+   of the signatures, corrected for lanes that agree by chance, and discarded 5 deviations below the threshold, or if the
+   parities prove that the sets differ too much. What remains is confirmed on the full shingle sets. The links give first
+   components. In ``STAR_ROUNDS`` - 1 further rounds buckets that still hold several components get other hubs.
 3. Rest: buckets that still hold several components are searched in full for pairs across components; pairs inside a
    component cannot change anything. Estimate, confirmation and components follow as before. So a bucket of very many near
-   copies costs one pair per member, and no link between different components is lost.
+   copies costs a few pairs per member, and no link between different components is lost.
 
 All groupings are combined before their shuffle and all joins can be split by adaptive execution; no bucket meets in one task
 or on the driver. Intermediate tables are written to the shared folder.
@@ -40,6 +43,8 @@ SHINGLE = 5
 BANDS, ROWS = 48, 8
 HASHES = BANDS * ROWS
 LOW_BITS = 2
+PARITY_BITS = 2048
+STAR_ROUNDS = 3
 LINK_PERCENT = 85
 # Agreeing lanes expected at similarity s: HASHES * (1/4 + 3/4 s). Pairs below the count for s = 0.74 are discarded.
 LEAST_LANES = int(HASHES * (0.25 + 0.75 * 0.74))
@@ -55,6 +60,7 @@ SKETCH = T.StructType(
         T.StructField("set_key", T.BinaryType()),
         T.StructField("bands", T.ArrayType(T.LongType())),
         T.StructField("signature", T.ArrayType(T.LongType())),
+        T.StructField("parity", T.ArrayType(T.LongType())),
     ]
 )
 
@@ -90,30 +96,33 @@ def minima(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketch(data: bytes | None) -> tuple[int, bytes | None, np.ndarray, np.ndarray]:
+def sketch(data: bytes | None) -> tuple[int, bytes | None, np.ndarray, np.ndarray, np.ndarray]:
     hashes = shingle_hashes(words_in(data))
     if not len(hashes):
-        return 0, None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
+        return 0, None, none, none, none
     least = minima(hashes)
     bands = mixed((least.reshape(BANDS, ROWS).astype(np.uint64) * _BAND_FACTORS).sum(axis=1, dtype=np.uint64) + _BAND_NUMBERS)
     low = least & np.uint32((1 << LOW_BITS) - 1)
     bits = np.stack([low & 1, low >> 1], axis=1).astype(np.uint8).ravel()
     digest = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
-    return len(hashes), digest, bands.view(np.int64), np.packbits(bits).view(np.int64)
+    odd = np.bincount((hashes & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    parity = np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return len(hashes), digest, bands.view(np.int64), np.packbits(bits).view(np.int64), parity
 
 
 @F.arrow_udf(SKETCH)
 def sketched(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
         rows = [sketch(t.as_buffer().to_pybytes() if t.is_valid else None) for t in batch]
-        n, key, bands, signature = zip(*rows) if rows else ((), (), (), ())
+        n, key, bands, signature, parity = zip(*rows) if rows else ((), (), (), (), ())
         lists = lambda parts: pa.ListArray.from_arrays(
             pa.array(np.concatenate([[0], np.cumsum([len(p) for p in parts])]), pa.int32()),
             pa.array(np.concatenate([np.zeros(0, np.int64), *parts])),
         )
         yield pa.StructArray.from_arrays(
-            [pa.array(n, pa.int64()), pa.array(key, pa.binary()), lists(bands), lists(signature)],
-            names=["n_shingles", "set_key", "bands", "signature"],
+            [pa.array(n, pa.int64()), pa.array(key, pa.binary()), lists(bands), lists(signature), lists(parity)],
+            names=SKETCH.names,
         )
 
 
@@ -153,10 +162,23 @@ def estimated_similarity(a: Column, b: Column) -> Column:
     return (agreeing_lanes(a, b) / HASHES - 0.25) / 0.75
 
 
+def least_difference(a: Column, b: Column) -> Column:
+    """Bits in which two parities differ: the sets differ in at least as many shingles."""
+    differing = F.lit(0)
+    for i in range(PARITY_BITS // 64):
+        differing = differing + F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))))
+    return differing
+
+
 def may_link(a: Column, b: Column) -> Column:
-    """Sizes and signatures (structs with n_shingles, signature) allow a link."""
+    """Sizes, parities and signatures (structs with n_shingles, signature, parity) allow a link.
+
+    With difference d and sum of sizes s the similarity is (s - d) / (s + d).
+    """
     small, large = F.least(a["n_shingles"], b["n_shingles"]), F.greatest(a["n_shingles"], b["n_shingles"])
-    return (100 * small >= LINK_PERCENT * large) & (agreeing_lanes(a["signature"], b["signature"]) >= LEAST_LANES)
+    apart = least_difference(a["parity"], b["parity"])
+    near = (100 + LINK_PERCENT) * apart <= (100 - LINK_PERCENT) * (small + large)
+    return (100 * small >= LINK_PERCENT * large) & near & (agreeing_lanes(a["signature"], b["signature"]) >= LEAST_LANES)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -175,25 +197,35 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     marks = body.select("doc_id", sketched("text").alias("s")).select("doc_id", "s.*")
     sketches = stored(marks, "minhash-sketches")
     full = sketches.where("n_shingles > 0 and doc_id is not null")
-    first = full.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "signature")).alias("f"))
+    first = full.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "bands", "signature", "parity")).alias("f"))
     firsts = stored(first.select("set_key", "f.*"), "minhash-representatives")
-    info = firsts.select("doc_id", F.struct("n_shingles", "signature").alias("s"))
+    info = firsts.select("doc_id", F.struct("n_shingles", "signature", "parity").alias("s"))
     texts = body.where("doc_id is not null and text is not null").select(F.col("doc_id").alias("id"), "text")
     entries = firsts.select(F.explode("bands").alias("k"), F.col("doc_id").alias("d"))
 
-    hubs = entries.groupBy("k").agg(F.min("d").alias("hub"), F.max("d").alias("top")).where("hub < top")
-    stars = entries.join(hubs.select("k", "hub"), "k").where("d <> hub").select(F.col("hub").alias("a"), F.col("d").alias("b"))
-    pairs = estimated_pairs(stars.distinct(), info)
-    links = confirmed(pairs, texts)
-    found = components(links)
-
-    named = entries.join(found, F.col("d") == F.col("node"), "left").select("k", "d", F.coalesce("component", "d").alias("c"))
+    links = found = tried = None
+    for turn in range(STAR_ROUNDS):
+        named = with_components(entries, found)
+        # The smallest member first; later another one by hash.
+        rank = F.struct(F.xxhash64("d", F.lit(turn)) if turn else F.lit(0).cast("long"), "d", "c")
+        hubs = named.groupBy("k").agg(F.min(rank).alias("hub"), F.min("c").alias("low"), F.max("c").alias("high"))
+        hubs = hubs.where("low < high").select("k", F.col("hub.d").alias("hub"), F.col("hub.c").alias("hub_c"))
+        stars = named.join(hubs, "k").where("c <> hub_c")
+        stars = stars.select(F.least("hub", "d").alias("a"), F.greatest("hub", "d").alias("b")).distinct()
+        pairs = estimated_pairs(stars if tried is None else stars.join(tried, ["a", "b"], "left_anti"), info)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        new = confirmed(pairs, texts)
+        links = new if links is None else links.unionByName(new)
+        found = components(links)
+
+    named = with_components(entries, found)
     open_buckets = named.groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("k")
-    members = stored(named.join(open_buckets, "k", "left_semi").join(info, F.col("d") == F.col("doc_id")).select("k", "c", "d", "s"), "minhash-open")
+    members = named.join(open_buckets, "k", "left_semi").join(info, F.col("d") == F.col("doc_id")).select("k", "c", "d", "s")
+    members = stored(members, "minhash-open")
     x, y = members.alias("x"), members.alias("y")
     across = x.join(y, (F.col("x.k") == F.col("y.k")) & (F.col("x.c") < F.col("y.c")) & may_link(F.col("x.s"), F.col("y.s")))
     across = across.select(F.least("x.d", "y.d").alias("a"), F.greatest("x.d", "y.d").alias("b")).distinct()
-    more = confirmed(stored(across.join(pairs, ["a", "b"], "left_anti"), "minhash-across"), texts)
+    more = confirmed(stored(across.join(tried, ["a", "b"], "left_anti"), "minhash-across"), texts)
     found = components(links.unionByName(more))
 
     groups = firsts.select("set_key", F.col("doc_id").alias("first"))
@@ -205,6 +237,14 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     return named_rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", kept)
 
 
+def with_components(entries: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Band entries (k, d) with the component c of the document."""
+    if found is None:
+        return entries.withColumn("c", F.col("d"))
+    named = entries.join(found, F.col("d") == F.col("node"), "left")
+    return named.select("k", "d", F.coalesce("component", "d").alias("c"))
+
+
 def estimated_pairs(pairs: DataFrame, info: DataFrame) -> DataFrame:
     """The pairs (a, b) that their sizes and signatures allow."""
     left = info.select(F.col("doc_id").alias("a"), F.col("s").alias("sa"))
