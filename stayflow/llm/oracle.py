@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from .common import LOWER, UPPER
 from .decontaminate import WINDOW
+from .license_join import PHRASES, TEMPLATES, THRESHOLD
+from .minhash import LINK_PERCENT, SHINGLE
 from .mixing import LEVEL_BITS, LEVELS, MAX_REPEATS, WEIGHTS
+from .run_index import LENGTH
 
 LOWERED = f"translate(text, '{UPPER}', '{LOWER}')"
 WORDS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -112,8 +115,97 @@ SELECT record_id, url_key, captured_at, kind, status, source_id, source_at,
 FROM judged
 """
 
+REPEATED = f"""
+WITH texts AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), strings AS (
+    SELECT doc_id, i, substr(h, 2 * i - 1, {2 * LENGTH}) AS s
+    FROM (SELECT doc_id, h, unnest(range(1, len(h) // 2 - {LENGTH - 2})) AS i FROM texts WHERE doc_id IS NOT NULL)
+), firsts AS (
+    SELECT s, min(doc_id) AS first FROM strings GROUP BY s HAVING min(doc_id) < max(doc_id)
+), marked AS (
+    SELECT doc_id, i, i > lag(i, 1, -{LENGTH}) OVER (PARTITION BY doc_id ORDER BY i) + {LENGTH} AS new
+    FROM strings JOIN firsts USING (s) WHERE doc_id > first
+), numbered AS (
+    SELECT doc_id, i, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked
+), runs AS (
+    SELECT doc_id, min(i) AS a, max(i) + {LENGTH} AS b FROM numbered GROUP BY doc_id, run
+), gaps AS (
+    SELECT doc_id, b AS a, lead(a, 1, 1000000000) OVER (PARTITION BY doc_id ORDER BY a) AS b FROM runs
+    UNION ALL SELECT doc_id, 1, min(a) FROM runs GROUP BY doc_id
+), kept AS (
+    SELECT doc_id, string_agg(substr(h, 2 * a - 1, 2 * (b - a)), '' ORDER BY a) AS h
+    FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id
+), sums AS (
+    SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id
+)
+SELECT t.doc_id, (len(t.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k.h, t.h))) AS kept_sha256
+FROM texts t LEFT JOIN sums USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
+NEAR = f"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + {SHINGLE - 1}), ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {SHINGLE - 1}, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * c >= {LINK_PERCENT} * (x.n + y.n - c)
+), ways AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+    SELECT a, b FROM ways UNION SELECT r.a, w.b FROM reach r JOIN ways w ON w.a = r.b
+), named AS (
+    SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, low) AS component_id,
+       doc_id = least(doc_id, low) AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+_PLACES = " UNION ALL ".join(
+    f"SELECT doc_id, i - 1 AS pos, '{label}' AS label FROM (SELECT doc_id, w, unnest(range(1, len(w) - {len(p.split()) - 1} + 1)) AS i "
+    f"FROM words) WHERE list_slice(w, i, i + {len(p.split()) - 1}) = {p.split()}"
+    for p, label in PHRASES
+)
+_TEMPLATES = ", ".join(f"({i}, '{label}', '{text}')" for i, (text, label) in enumerate(TEMPLATES))
+LICENSES = f"""
+WITH words AS (
+    SELECT doc_id, coalesce({WORDS}, []) AS w FROM documents
+), places AS (
+    {_PLACES}
+), base AS (
+    SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS found
+    FROM places GROUP BY doc_id
+), templates AS (
+    SELECT tid, label, list_distinct({WORDS}) AS w FROM (VALUES {_TEMPLATES}) AS t(tid, label, text)
+), blocks AS (
+    SELECT doc_id, {WORDS} AS w FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS text FROM documents)
+), shares AS (
+    SELECT doc_id, label, len(list_intersect(t.w, b.w)) / len(t.w) AS share FROM blocks b, templates t
+), finds AS (
+    SELECT doc_id, list(DISTINCT label) AS found, max(share) AS best FROM shares
+    WHERE share >= {THRESHOLD} - 1e-9 GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(array_to_string(list_sort(base.found), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(base.found, finds.found))), ','), '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score
+FROM words LEFT JOIN base USING (doc_id) LEFT JOIN finds USING (doc_id)
+"""
+
 LLM_ORACLE = {
     "op1_decontaminate": DECONTAMINATE,
     "op2_mix_sources": MIX,
+    "op4_run_index_dedup": REPEATED,
+    "op6_minhash_bbit": NEAR,
+    "op9_license_join": LICENSES,
     "op10_revisit_resolution": REVISIT,
 }
