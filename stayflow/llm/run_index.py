@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +45,16 @@ LENGTH, ANCHOR = 50, 16
 WINDOW = LENGTH - ANCHOR + 1
 HOT_SHARE = 1e-4
 CHUNK_BYTES = 512 << 10
+SLICE_BYTES = 6 << 20
 BUCKET_BYTES = 4 << 20
 LEVEL = 3
 FLUSH = 500_000
 _HOT_BITS = 20
 _P, _Q, _R = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
 
-PIECES = "bucket int, doc_id long, doc_key long, starts array<int>, ends array<int>, pieces binary"
-MARKS = "doc_id long, doc_key long, starts array<int>, ends array<int>"
+PIECES = "bucket int, spans binary, pieces binary"
+MARKS = "part int, spans binary"
+SPANS = "doc_id long, doc_key long, starts array<int>, ends array<int>"
 RESULT = T.StructType(
     [
         T.StructField("n_bytes", T.LongType()),
@@ -131,10 +134,11 @@ def cut(texts: list[bytes], hot: Hot) -> tuple[np.ndarray, ...]:
     return doc, at - starts[doc], until - at, anchor, place
 
 
-def chunks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+def chunks(texts: list[bytes], most: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of texts of at most ``most`` bytes (a longer text is alone), with the number of the first."""
     first, size = 0, 0
     for i, t in enumerate(texts):
-        if size and size + len(t) > CHUNK_BYTES:
+        if size and size + len(t) > most:
             yield first, texts[first:i]
             first, size = i, 0
         size += len(t)
@@ -157,22 +161,21 @@ def groups(sorted_values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]]))
 
 
-def of_batch(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Ids, keys and texts in the order of the ids."""
+def slices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """Ids, keys and texts of some documents at a time, in the order of the ids."""
     ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
     keys = batch.column("doc_key").to_numpy(zero_copy_only=False)
     order = np.argsort(ids, kind="stable")
-    texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column("text")]
-    return ids[order], keys[order], [texts[i] for i in order]
+    texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column("text").take(pa.array(order))]
+    for first, some in chunks(texts, SLICE_BYTES):
+        part = order[first : first + len(some)]
+        yield ids[part], keys[part], some
 
 
 def count_hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(anchor, n): anchors with at least half the hot share within the batch, and under null the number of pieces."""
     none = Hot(np.zeros(0, np.uint64))
-    for batch in batches:
-        _, _, texts = of_batch(batch)
-        if not texts:
-            continue
+    for _, _, texts in chain.from_iterable(map(slices, batches)):
         anchor = np.sort(cut_all(texts, none)[3])
         heads = groups(anchor)
         n = np.diff(np.append(heads, len(anchor)))
@@ -194,7 +197,7 @@ def hot_anchors(rows: DataFrame) -> np.ndarray:
 
 
 def spans_by_doc(ids, keys, starts, ends) -> pa.RecordBatch:
-    """Runs of strings to rows of ``MARKS``, one per document, with the bytes they cover."""
+    """Spans to rows of ``SPANS``, one per document."""
     order = np.lexsort((starts, keys, ids))
     ids, keys, starts, ends = ids[order], keys[order], starts[order], ends[order]
     fresh = np.ones(len(ids), bool)
@@ -223,15 +226,35 @@ def unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return (*columns, data[at:])
 
 
+def pack_spans(ids, keys, starts, ends, parts: int) -> list[tuple[int, bytes]]:
+    """Spans packed by part of the documents, so that their number of rows doesn't depend on the documents."""
+    part = (ids % parts).astype(np.int32)
+    order = np.lexsort((starts, keys, ids, part))
+    heads = groups(part[order])
+    out = []
+    for a, b in zip(heads, np.append(heads[1:], len(order))):
+        some = order[a:b]
+        columns = [ids[some].astype(np.int64), keys[some].astype(np.int64), starts[some].astype(np.int32), ends[some].astype(np.int32)]
+        head = np.array([len(some)], np.int64).tobytes()
+        out.append((int(part[some[0]]), zstandard.ZstdCompressor(level=LEVEL).compress(head + b"".join(c.tobytes() for c in columns))))
+    return out
+
+
+def unpack_spans(packed: bytes) -> tuple[np.ndarray, ...]:
+    data = zstandard.ZstdDecompressor().decompress(packed)
+    n, at, columns = int(np.frombuffer(data, np.int64, 1)[0]), 8, []
+    for kind in (np.int64, np.int64, np.int32, np.int32):
+        columns.append(np.frombuffer(data, kind, n, at))
+        at += n * np.dtype(kind).itemsize
+    return tuple(columns)
+
+
 def cutter(hot: Broadcast, buckets: int):
-    """Texts to pieces by bucket, and the spans that are settled within a batch."""
+    """Texts to pieces by bucket, and the spans that are settled within a slice."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = Hot(hot.value)
-        for batch in batches:
-            ids, keys, texts = of_batch(batch)
-            if not texts:
-                continue
+        for ids, keys, texts in chain.from_iterable(map(slices, batches)):
             doc, start, run, anchor, place = cut_all(texts, frequent)
             whole = [texts[d][s : s + r + LENGTH - 1] for d, s, r in zip(doc.tolist(), start.tolist(), run.tolist())]
             digest = np.array([xxhash.xxh64_intdigest(w) for w in whole], np.uint64)
@@ -240,31 +263,27 @@ def cutter(hot: Broadcast, buckets: int):
             own = ids[doc[order]]
             least = np.repeat(own[heads], np.diff(np.append(heads, len(order))))
             settled = order[own > least]
-            done = spans_by_doc(ids[doc[settled]], keys[doc[settled]], start[settled], start[settled] + run[settled] + LENGTH - 1)
-            n = len(done)
-            if n:
-                where = pa.array((done.column("doc_id").to_numpy() % buckets).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [where, *done.columns, pa.nulls(n, pa.binary())],
-                    names=["bucket", "doc_id", "doc_key", "starts", "ends", "pieces"],
-                )
+            d = doc[settled]
+            done = pack_spans(ids[d], keys[d], start[settled], start[settled] + run[settled] + LENGTH - 1, buckets)
             sent = np.sort(order[own == least])
             # Smallest hashes are unevenly distributed; mixed again they are not.
             mixed = (anchor[sent] * _Q) >> np.uint64(33)
             bucket = (mixed % np.uint64(buckets)).astype(np.int32)
             by_bucket = np.argsort(bucket, kind="stable")
             edges = groups(bucket[by_bucket])
-            numbers, packed = [], []
+            packed = []
             for a, b in zip(edges, np.append(edges[1:], len(by_bucket))):
                 some = sent[by_bucket[a:b]]
                 d = doc[some]
-                numbers.append(int(bucket[by_bucket[a]]))
-                packed.append(pack(ids[d], keys[d], start[some], run[some], place[some], [whole[i] for i in some.tolist()]))
-            n = len(numbers)
-            empty = pa.nulls(n, pa.list_(pa.int32()))
+                pieces = pack(ids[d], keys[d], start[some], run[some], place[some], [whole[i] for i in some.tolist()])
+                packed.append((int(bucket[by_bucket[a]]), pieces))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(numbers, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), empty, empty, pa.array(packed, pa.binary())],
-                names=["bucket", "doc_id", "doc_key", "starts", "ends", "pieces"],
+                [
+                    pa.array([n for n, _ in done + packed], pa.int32()),
+                    pa.array([x for _, x in done] + [None] * len(packed), pa.binary()),
+                    pa.array([None] * len(done) + [x for _, x in packed], pa.binary()),
+                ],
+                names=["bucket", "spans", "pieces"],
             )
 
     return pieces
@@ -369,38 +388,55 @@ def settle_bucket(packs: list[bytes]) -> tuple[np.ndarray, ...]:
     )
 
 
-def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def settler(parts: int):
     """Rows of ``PIECES``, sorted by bucket, to rows of ``MARKS``; one bucket is held at a time."""
-    packs: list[bytes] = []
-    bucket = None
-    found: list[tuple[np.ndarray, ...]] = []
-    n = 0
 
-    def out() -> pa.RecordBatch:
-        merged = spans_by_doc(*(np.concatenate(x) for x in zip(*found)))
-        found.clear()
-        return merged
+    def out(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        packed = pack_spans(*(np.concatenate(x) for x in zip(*found)), parts)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([n for n, _ in packed], pa.int32()), pa.array([x for _, x in packed], pa.binary())], names=["part", "spans"]
+        )
 
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packs: list[bytes] = []
+        bucket, n = None, 0
+        found: list[tuple[np.ndarray, ...]] = []
+        for batch in batches:
+            ready = batch.filter(batch.column("pieces").is_null())
+            if len(ready):
+                yield pa.RecordBatch.from_arrays([ready.column("bucket"), ready.column("spans")], names=["part", "spans"])
+            for number, packed in zip(batch.column("bucket").to_pylist(), batch.column("pieces")):
+                if not packed.is_valid:
+                    continue
+                if number != bucket and packs:
+                    found.append(settle_bucket(packs))
+                    n += len(found[-1][0])
+                    packs = []
+                    if n > FLUSH:
+                        yield out(found)
+                        found, n = [], 0
+                bucket = number
+                packs.append(packed.as_buffer().to_pybytes())
+        if packs:
+            found.append(settle_bucket(packs))
+        if found:
+            yield out(found)
+
+    return settle
+
+
+def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``MARKS``, sorted by part, to rows of ``SPANS``; one part is held at a time."""
+    part, held = None, []
     for batch in batches:
-        ready = batch.filter(batch.column("pieces").is_null())
-        if len(ready):
-            yield ready.select(["doc_id", "doc_key", "starts", "ends"])
-        for number, packed in zip(batch.column("bucket").to_pylist(), batch.column("pieces")):
-            if not packed.is_valid:
-                continue
-            if number != bucket and packs:
-                found.append(settle_bucket(packs))
-                n += len(found[-1][0])
-                packs = []
-                if n > FLUSH:
-                    yield out()
-                    n = 0
-            bucket = number
-            packs.append(packed.as_buffer().to_pybytes())
-    if packs:
-        found.append(settle_bucket(packs))
-    if found:
-        yield out()
+        for number, packed in zip(batch.column("part").to_pylist(), batch.column("spans")):
+            if number != part and held:
+                yield spans_by_doc(*(np.concatenate(x) for x in zip(*held)))
+                held = []
+            part = number
+            held.append(unpack_spans(packed.as_buffer().to_pybytes()))
+    if held:
+        yield spans_by_doc(*(np.concatenate(x) for x in zip(*held)))
 
 
 def union(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -445,11 +481,9 @@ def repeated_spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     buckets = max(4 * partitions, -(-total // BUCKET_BYTES))
     hot = spark.sparkContext.broadcast(hot_anchors(long_enough))
     pieces = long_enough.mapInArrow(cutter(hot, buckets), PIECES)
-    marks = pieces.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(settle, MARKS)
+    marks = pieces.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(settler(buckets), MARKS)
     marks = stored(marks, "run-index-marks")
-    by_doc = marks.groupBy("doc_id", "doc_key").agg(
-        F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends")
-    )
+    by_doc = marks.repartition(partitions, "part").sortWithinPartitions("part").mapInArrow(gather, SPANS)
     by_doc = by_doc.withColumnsRenamed({"doc_id": "_id", "doc_key": "_key"})
     joined = keyed.join(by_doc, (F.col("doc_id") == F.col("_id")) & (F.col("doc_key") == F.col("_key")), "left")
     return joined.select("doc_id", without_spans("text", "starts", "ends").alias("r")).select("doc_id", "r.*")
