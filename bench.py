@@ -42,6 +42,7 @@ HEADLINE = [
     "area_under_roc",
     "gbt_predictions",
     "cv_metrics_gbt",
+    "select_best_model",
 ]
 SEARCHES = {
     "gbt_grid_search": training.gbt_family,

@@ -6,6 +6,9 @@ import __spark_entry__ as entry
 from check_sql import difference
 
 FOLDER = "/root/testdata/sf0.001"
+# Too few users have churned in the smallest folder for every fold to hold both classes.
+SEARCHES = {"cv_metrics_lr", "cv_metrics_gbt", "select_best_model", "evaluate_winners"}
+LARGER = "/root/testdata/sf0.01"
 
 
 def test_every_twin_belongs_to_a_query():
@@ -14,7 +17,8 @@ def test_every_twin_belongs_to_a_query():
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_same_as_sql(spark, name):
-    assert difference(entry.queries()[name](spark, FOLDER), FOLDER, entry.oracle_sql()[name]) is None
+    folder = LARGER if name in SEARCHES else FOLDER
+    assert difference(entry.queries()[name](spark, folder), folder, entry.oracle_sql()[name]) is None
 
 
 def test_entry(spark):
