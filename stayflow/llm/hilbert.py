@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 BITS = 4
 SHARDS = 8
 PART_ROWS = 1000
@@ -138,6 +140,8 @@ def shard_rows(
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("cell_start"),
         F.sum("n").over(Window.partitionBy()).alias("total"),
     )
+    # Written, its real size is known: the rows of a large cell are not brought together to meet it.
+    cells = stored(cells, "hilbert-cells")
     by_text = rows.join(cells, "cell").withColumn("s1", part_number(F.col("g"), F.col("p1")))
     texts = by_text.groupBy("cell", "s1").agg(F.count(F.lit(1)).alias("n")).select("cell", "s1", parts.alias("p2"))
     placed = by_text.join(texts, ["cell", "s1"]).withColumn("s2", part_number(F.col("r"), F.col("p2")))

@@ -203,7 +203,7 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     texts = body.where("doc_id is not null and text is not null").select(F.col("doc_id").alias("id"), "text")
     entries = firsts.select(F.explode("bands").alias("k"), F.col("doc_id").alias("d"))
 
-    links = found = tried = None
+    found = tried = None
     for turn in range(STAR_ROUNDS):
         named = with_components(entries, found)
         # The smallest member first; later another one by hash.
@@ -214,9 +214,7 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
         stars = stars.select(F.least("hub", "d").alias("a"), F.greatest("hub", "d").alias("b")).distinct()
         pairs = estimated_pairs(stars if tried is None else stars.join(tried, ["a", "b"], "left_anti"), info)
         tried = pairs if tried is None else tried.unionByName(pairs)
-        new = confirmed(pairs, texts)
-        links = new if links is None else links.unionByName(new)
-        found = components(links)
+        found = merged(found, confirmed(pairs, texts))
 
     named = with_components(entries, found)
     open_buckets = named.groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("k")
@@ -226,7 +224,7 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     across = x.join(y, (F.col("x.k") == F.col("y.k")) & (F.col("x.c") < F.col("y.c")) & may_link(F.col("x.s"), F.col("y.s")))
     across = across.select(F.least("x.d", "y.d").alias("a"), F.greatest("x.d", "y.d").alias("b")).distinct()
     more = confirmed(stored(across.join(tried, ["a", "b"], "left_anti"), "minhash-across"), texts)
-    found = components(links.unionByName(more))
+    found = merged(found, more)
 
     groups = firsts.select("set_key", F.col("doc_id").alias("first"))
     groups = groups.join(found, F.col("first") == F.col("node"), "left")
@@ -237,6 +235,16 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     return named_rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", kept)
 
 
+def merged(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components (node, component) after further links (a, b); the old ones enter as one link per node."""
+    if found is None:
+        return components(links)
+    if links.isEmpty():
+        return found
+    old = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(old.unionByName(links))
+
+
 def with_components(entries: DataFrame, found: DataFrame | None) -> DataFrame:
     """Band entries (k, d) with the component c of the document."""
     if found is None:
