@@ -148,7 +148,9 @@ def learn(documents: DataFrame, labels: DataFrame, label: str = "quality", max_r
     y = np.array([v for _, v in rows], float)
     if not len(y) or y.min() == y.max():
         return Neighbours(idf, np.zeros((TERMS, DIMENSIONS), np.float32), none, np.zeros(0), np.ones(2), rate)
-    x = weighted(np.array([term_counts(t.encode()) for t, _ in rows]), idf)
+    x = np.empty((len(rows), TERMS), np.float32)
+    for at in range(0, len(rows), BLOCK):
+        x[at : at + BLOCK] = weighted(np.array([term_counts(t.encode()) for t, _ in rows[at : at + BLOCK]]), idf)
     top = top_directions(x, DIMENSIONS)
     space = top.astype(np.float32)
     z = x @ space
