@@ -470,11 +470,24 @@ def without_spans(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Ite
         yield pa.array([dict(zip(RESULT.names, r)) for r in rows], to_arrow_type(RESULT))
 
 
+def with_text_key(rows: DataFrame) -> DataFrame:
+    """Add ``doc_key``: 0, or a hash of the text where an id has different texts, to tell their spans apart.
+
+    Such ids are rare, so their table is small; the optimiser broadcasts it by the size of its file.
+    """
+    texts = rows.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("h"))
+    several = texts.groupBy("doc_id").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low < high")
+    several = stored(several.select(F.col("doc_id").alias("_several")), "run-index-several")
+    marked = rows.join(several, F.col("doc_id") == F.col("_several"), "left")
+    key = F.when(F.col("_several").isNotNull(), F.xxhash64("text")).otherwise(0).cast("long")
+    return marked.withColumn("doc_key", key).drop("_several")
+
+
 def repeated_spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, starts, ends), one row per document row; spans are in bytes."""
     spark = documents.sparkSession
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    keyed = rows.withColumn("doc_key", F.xxhash64("text"))
+    keyed = with_text_key(rows)
     long_enough = keyed.where((F.octet_length("text") >= LENGTH) & F.col("doc_id").isNotNull())
     total = long_enough.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))

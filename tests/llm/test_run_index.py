@@ -66,3 +66,10 @@ def test_odd_rows(odd, odd_rows, nothing):
     assert long[1] == len(odd_rows[7][1].encode())
     assert repeated_spans(clashing(odd)).count() == len(odd_rows)
     assert repeated_spans(nothing).count() == 0
+
+
+def test_one_id_with_two_texts_keeps_their_spans_apart(spark):
+    shared = "".join(chr(97 + i * i % 26) for i in range(70))
+    rows = [(1, shared), (5, "x" * 9 + shared), (5, shared[:60] + "y" * 30), (7, shared)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert answer(docs) == brute(rows)
