@@ -6,6 +6,11 @@ the template's distinct words. The join is exact and uses three filters over one
 missing); it must hold enough template words at all (length); and from the position of the first common word on enough
 words must be left on both sides (position). What passes is counted in full.
 
+With ``wrapped`` every run of as many consecutive words as a template has is a block too, whatever its line breaks. Texts are
+cut into overlapping pieces of twice the longest template, so that one piece holds every run; pieces pass the same filters, and
+the runs of what is left are counted in full. The registered query and its SQL twin take lines only: there a notice that is
+wrapped over two lines is no block.
+
 Texts are read once. A document's lines are kept only if the whole document holds enough words of some template, which
 every find needs. Templates are a fixed list of a few short notices, so their words fit into one literal array; their
 ordered table is written and broadcast by its file size. A line that a third of all documents share costs one row per
@@ -65,11 +70,12 @@ def phrase_places(words: Column, phrase: str) -> Column:
 
 
 def template_rows(documents: DataFrame, templates: Sequence[tuple[str, str]]) -> DataFrame:
-    """(tid, label, token), one row per distinct word of a template."""
+    """(tid, label, t_words, token), one row per distinct word of a template; ``t_words`` counts all its words."""
     given = documents.sparkSession.createDataFrame(
         [(i, label, text) for i, (text, label) in enumerate(templates)], "tid int, label string, text string"
     )
-    return given.select("tid", "label", F.explode(F.array_distinct(words_in(normal_text(F.col("text"))))).alias("token"))
+    words = given.select("tid", "label", words_in(normal_text(F.col("text"))).alias("w"))
+    return words.select("tid", "label", F.size("w").alias("t_words"), F.explode(F.array_distinct("w")).alias("token"))
 
 
 def needed(n: Column | int, threshold: float) -> Column:
@@ -84,6 +90,7 @@ def scan_licenses(
     phrases: Sequence[tuple[str, str]] = PHRASES,
     templates: Sequence[tuple[str, str]] = TEMPLATES,
     threshold: float = THRESHOLD,
+    wrapped: bool = False,
 ) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score), one row per document row."""
     given = template_rows(documents, templates)
@@ -122,7 +129,7 @@ def scan_licenses(
         ),
         "license-base",
     )
-    labels = template_finds(base, given, threshold)
+    labels = template_finds(base, given, threshold, wrapped)
     positions = F.flatten("places")
     names = F.array(*[F.when(F.size(F.get("places", F.lit(i))) > 0, F.lit(l)) for i, (_, l) in enumerate(phrases)])
     base_names = F.array_sort(F.array_distinct(F.array_compact(names)))
@@ -142,7 +149,7 @@ def scan_licenses(
     )
 
 
-def template_finds(base: DataFrame, given: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def template_finds(base: DataFrame, given: DataFrame, threshold: float = THRESHOLD, wrapped: bool = False) -> DataFrame:
     """(doc_id, found, best) of documents with a block that meets a template: the labels and the largest containment."""
     counts = base.select(F.explode("known").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n_docs"))
     tokens = given.join(counts, "token", "left").withColumn("n_docs", F.coalesce("n_docs", F.lit(0)))
@@ -154,11 +161,16 @@ def template_finds(base: DataFrame, given: DataFrame, threshold: float = THRESHO
         .withColumn("t_size", F.count(F.lit(1)).over(Window.partitionBy("tid")))
         .withColumn("need", needed(F.col("t_size"), threshold))
     )
-    order = stored(ordered.select("tid", "label", "token", "rank", "t_pos", "t_size", "need"), "license-order")
-    lines = base.where("lines is not null").select("doc_id", F.posexplode("lines").alias("line", "block"))
+    order = stored(ordered.select("tid", "label", "t_words", "token", "rank", "t_pos", "t_size", "need"), "license-order")
+    scanned = base.where("lines is not null")
+    lines = scanned.select("doc_id", F.posexplode("lines").alias("line", "block"))
+    blocks = lines.select("doc_id", "line", words_in(normal_text(F.col("block"))).alias("w"))
+    if wrapped:
+        pieces = pieces_of(scanned, given)
+        blocks = blocks.unionByName(pieces)
     ranks = order.select("token", "rank").distinct()
     held = (
-        lines.select("doc_id", "line", F.explode(F.array_distinct(words_in(normal_text(F.col("block"))))).alias("token"))
+        blocks.select("doc_id", "line", F.explode(F.array_distinct("w")).alias("token"))
         .join(ranks, "token")
         .dropDuplicates(["doc_id", "line", "token"])
     )
@@ -182,6 +194,27 @@ def template_finds(base: DataFrame, given: DataFrame, threshold: float = THRESHO
         .agg(F.count(F.lit(1)).alias("common"))
         .where("common >= need")
     )
+    if wrapped:
+        runs = runs_in(common.where("line < 0"), pieces, order)
+        common = common.where("line >= 0").unionByName(runs)
     return common.groupBy("doc_id").agg(
         F.collect_set("label").alias("found"), F.max(F.col("common") / F.col("t_size")).alias("best")
     )
+
+
+def pieces_of(scanned: DataFrame, given: DataFrame) -> DataFrame:
+    """(doc_id, line, w): overlapping pieces of the words of whole texts, numbered -1, -2, ..., that hold every run of words."""
+    longest = given.agg(F.coalesce(F.max("t_words"), F.lit(1))).first()[0]
+    words = scanned.select("doc_id", words_in(normal_text(F.array_join("lines", "\n"))).alias("all"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("all") - 1, F.lit(0)), F.lit(longest))
+    cut = words.select("doc_id", F.posexplode(F.transform(starts, lambda i: F.slice("all", i + 1, 2 * longest))).alias("i", "w"))
+    return cut.select("doc_id", (-1 - F.col("i")).alias("line"), "w")
+
+
+def runs_in(found: DataFrame, pieces: DataFrame, order: DataFrame) -> DataFrame:
+    """The rows of ``found`` (pieces that hold enough words) with a run of words that does, and its words in common."""
+    sets = order.groupBy("tid", "t_words").agg(F.collect_set("token").alias("tokens"))
+    both = found.drop("common").join(pieces.distinct(), ["doc_id", "line"]).join(sets, "tid")
+    starts = F.sequence(F.lit(1), F.greatest(F.size("w") - F.col("t_words") + 1, F.lit(1)))
+    held = F.transform(starts, lambda i: F.size(F.array_intersect(F.slice("w", i, F.col("t_words")), F.col("tokens"))))
+    return both.withColumn("common", F.array_max(held).cast("long")).where("common >= need").select(*found.columns)
