@@ -16,8 +16,9 @@ every find needs. Templates are a fixed list of a few short notices, so their wo
 ordered table is written and broadcast by its file size. A line that a third of all documents share costs one row per
 document and template word; nothing is paired within a group.
 
-Everything is DataFrame operations. Defined results: null and empty texts have no words and no labels; texts that repeat
-a doc_id are scanned each by itself for phrases, and share their template labels. Other columns are not used.
+Everything is DataFrame operations. Defined results: null and empty texts have no words and no labels; every row is scanned by
+itself, whether its doc_id is null or repeated: blocks and finds are kept by a hash of the text, and rows of one text share
+them. Other columns are not used.
 """
 
 from __future__ import annotations
@@ -119,13 +120,15 @@ def scan_licenses(
     for s in sets:
         own = F.size(F.array_intersect("known", F.array(*[F.lit(t) for t in sorted(s)])))
         enough = enough | (own >= needed(len(s), threshold))
+    scanned = (F.size("known") > 0) & enough
     base = stored(
         found.select(
             "doc_id",
             "n_words",
             "places",
             "known",
-            F.when((F.size("known") > 0) & enough, F.split("raw", "\n")).alias("lines"),
+            F.when(scanned, F.unhex(F.sha2("raw", 256))).alias("text_key"),
+            F.when(scanned, F.split("raw", "\n")).alias("lines"),
         ),
         "license-base",
     )
@@ -133,9 +136,9 @@ def scan_licenses(
     positions = F.flatten("places")
     names = F.array(*[F.when(F.size(F.get("places", F.lit(i))) > 0, F.lit(l)) for i, (_, l) in enumerate(phrases)])
     base_names = F.array_sort(F.array_distinct(F.array_compact(names)))
-    joined = base.drop("lines", "known").join(
-        labels.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left"
-    )
+    rows = base.drop("lines", "known")
+    unscanned = rows.where("text_key is null")
+    joined = rows.where("text_key is not null").join(labels, "text_key", "left").unionByName(unscanned, allowMissingColumns=True)
     all_names = F.array_sort(F.array_union(base_names, F.coalesce("found", F.expr("cast(array() as array<string>)"))))
     return joined.select(
         "doc_id",
@@ -150,7 +153,7 @@ def scan_licenses(
 
 
 def template_finds(base: DataFrame, given: DataFrame, threshold: float = THRESHOLD, wrapped: bool = False) -> DataFrame:
-    """(doc_id, found, best) of documents with a block that meets a template: the labels and the largest containment."""
+    """(text_key, found, best) of texts with a block that meets a template: the labels and the largest containment."""
     counts = base.select(F.explode("known").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n_docs"))
     tokens = given.join(counts, "token", "left").withColumn("n_docs", F.coalesce("n_docs", F.lit(0)))
     # The windows run over the words of the fixed templates.
@@ -163,18 +166,18 @@ def template_finds(base: DataFrame, given: DataFrame, threshold: float = THRESHO
     )
     order = stored(ordered.select("tid", "label", "t_words", "token", "rank", "t_pos", "t_size", "need"), "license-order")
     scanned = base.where("lines is not null")
-    lines = scanned.select("doc_id", F.posexplode("lines").alias("line", "block"))
-    blocks = lines.select("doc_id", "line", words_in(normal_text(F.col("block"))).alias("w"))
+    lines = scanned.select("text_key", F.posexplode("lines").alias("line", "block"))
+    blocks = lines.select("text_key", "line", words_in(normal_text(F.col("block"))).alias("w"))
     if wrapped:
         pieces = pieces_of(scanned, given)
         blocks = blocks.unionByName(pieces)
     ranks = order.select("token", "rank").distinct()
     held = (
-        blocks.select("doc_id", "line", F.explode(F.array_distinct("w")).alias("token"))
+        blocks.select("text_key", "line", F.explode(F.array_distinct("w")).alias("token"))
         .join(ranks, "token")
-        .dropDuplicates(["doc_id", "line", "token"])
+        .dropDuplicates(["text_key", "line", "token"])
     )
-    block = Window.partitionBy("doc_id", "line")
+    block = Window.partitionBy("text_key", "line")
     held = held.withColumn("b_pos", F.row_number().over(block.orderBy("rank"))).withColumn(
         "b_size", F.count(F.lit(1)).over(block)
     )
@@ -184,37 +187,37 @@ def template_finds(base: DataFrame, given: DataFrame, threshold: float = THRESHO
     candidates = (
         held.join(order.where(in_prefix), "token")
         .where((F.col("b_size") >= F.col("need")) & (left >= F.col("need")))
-        .select("doc_id", "line", "tid")
+        .select("text_key", "line", "tid")
         .distinct()
     )
     common = (
-        candidates.join(held.select("doc_id", "line", "token"), ["doc_id", "line"])
+        candidates.join(held.select("text_key", "line", "token"), ["text_key", "line"])
         .join(order.select("tid", "token", "label", "t_size", "need"), ["tid", "token"])
-        .groupBy("doc_id", "line", "tid", "label", "t_size", "need")
+        .groupBy("text_key", "line", "tid", "label", "t_size", "need")
         .agg(F.count(F.lit(1)).alias("common"))
         .where("common >= need")
     )
     if wrapped:
         runs = runs_in(common.where("line < 0"), pieces, order)
         common = common.where("line >= 0").unionByName(runs)
-    return common.groupBy("doc_id").agg(
+    return common.groupBy("text_key").agg(
         F.collect_set("label").alias("found"), F.max(F.col("common") / F.col("t_size")).alias("best")
     )
 
 
 def pieces_of(scanned: DataFrame, given: DataFrame) -> DataFrame:
-    """(doc_id, line, w): overlapping pieces of the words of whole texts, numbered -1, -2, ..., that hold every run of words."""
+    """(text_key, line, w): overlapping pieces of the words of whole texts, numbered -1, -2, ..., that hold every run of words."""
     longest = given.agg(F.coalesce(F.max("t_words"), F.lit(1))).first()[0]
-    words = scanned.select("doc_id", words_in(normal_text(F.array_join("lines", "\n"))).alias("all"))
+    words = scanned.select("text_key", words_in(normal_text(F.array_join("lines", "\n"))).alias("all"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("all") - 1, F.lit(0)), F.lit(longest))
-    cut = words.select("doc_id", F.posexplode(F.transform(starts, lambda i: F.slice("all", i + 1, 2 * longest))).alias("i", "w"))
-    return cut.select("doc_id", (-1 - F.col("i")).alias("line"), "w")
+    cut = words.select("text_key", F.posexplode(F.transform(starts, lambda i: F.slice("all", i + 1, 2 * longest))).alias("i", "w"))
+    return cut.select("text_key", (-1 - F.col("i")).alias("line"), "w")
 
 
 def runs_in(found: DataFrame, pieces: DataFrame, order: DataFrame) -> DataFrame:
     """The rows of ``found`` (pieces that hold enough words) with a run of words that does, and its words in common."""
     sets = order.groupBy("tid", "t_words").agg(F.collect_set("token").alias("tokens"))
-    both = found.drop("common").join(pieces.distinct(), ["doc_id", "line"]).join(sets, "tid")
+    both = found.drop("common").join(pieces.distinct(), ["text_key", "line"]).join(sets, "tid")
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - F.col("t_words") + 1, F.lit(1)))
     held = F.transform(starts, lambda i: F.size(F.array_intersect(F.slice("w", i, F.col("t_words")), F.col("tokens"))))
     return both.withColumn("common", F.array_max(held).cast("long")).where("common >= need").select(*found.columns)

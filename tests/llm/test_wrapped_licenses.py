@@ -39,3 +39,15 @@ def test_wrapped_notices_are_found(spark):
     for i, t in enumerate(WRAPPED):
         labels, best = brute_runs(t)
         assert (got[i]["labels"], got[i]["score"]) == (labels, pytest.approx(1.0 if got[i]["n_base"] else best)), t
+
+
+def test_rows_without_an_id_and_repeated_ids_are_scanned_each_by_itself(spark):
+    whole = "x\nThis work is licensed under the GNU General Public License"
+    halves = ["This work is licensed under", "the GNU General Public License\nthis work is licensed under the gnu general"]
+    rows = [(None, whole), (None, whole), (None, "x"), (None, None), (7, whole), (7, "x"), (8, halves[0]), (8, halves[1]), (8, "y\n" + whole)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for wrapped in (False, True):
+        got = license_join.scan_licenses(docs, wrapped=wrapped).select("doc_id", "n_words", "labels", "score").collect()
+        find = lambda t: brute_runs(t) if wrapped else brute_licenses(t)[5:]
+        expected = [(d, len(license_words(t)), *find(t)) for d, t in rows]
+        assert sorted(map(tuple, got), key=str) == sorted(((d, n, l, pytest.approx(s)) for d, n, l, s in expected), key=str)
