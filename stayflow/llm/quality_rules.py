@@ -2,16 +2,17 @@
 
 Two histograms of a document are compared with references by the Jensen-Shannon distance (square root of the divergence
 to base 2, so 0 to 1): its characters by class, and its words over the most common words of all references plus one bin for
-all others. A reference is the sum over all documents of one value of ``lang``; the nearest reference counts, so neither a
-wrong nor a missing ``lang`` hurts a document. A distance is judged only if the text is long enough for it to mean something
-(``MIN_CHARS``, ``MIN_WORDS``); short texts pass.
+all others. A reference is the sum over all documents of one value of ``lang``; documents without one, null or empty, have a
+reference of their own. The nearest reference counts, so a wrong ``lang`` does not hurt a document. A distance is judged only if
+the text is long enough for it to mean something (``MIN_CHARS``, ``MIN_WORDS``), and only for documents whose own language has a
+reference: foreign ones say nothing about it. All others pass.
 
 References: words are counted in bounded dictionaries inside the tasks and summed by word; only the ``COMMON_WORDS`` most
 frequent words of a language and its character classes are collected. A language has a reference if it has at least
 ``MIN_REFERENCE_WORDS`` words; there are no more references than languages, and their size is fixed.
 
-Defined results: null and empty texts have no words and fail the base rule. Repeated rows are judged each by itself. If no
-language has a reference, distances are null and only the base rule decides. Other columns pass through.
+Defined results: null and empty texts have no words and fail the base rule. Repeated rows are judged each by itself. Where the
+document's language has no reference, distances are null and only the base rule decides. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -72,9 +73,11 @@ MEASURES = T.StructType(
 class References:
     """One row per language: counts of the character classes, and of ``words`` with all the others in the last column.
 
-    ``known`` marks the common words of each language; for it, all other words count as others.
+    ``known`` marks the common words of each language; for it, all other words count as others. ``langs`` names the rows; ''
+    stands for documents without a language.
     """
 
+    langs: list[str]
     chars: np.ndarray
     words: list[bytes]
     counts: np.ndarray
@@ -118,13 +121,14 @@ def distance(counts: np.ndarray, references: np.ndarray) -> float | None:
     return float(np.sqrt(np.clip((left + right) / 2, 0.0, 1.0)).min())
 
 
-def measure(data: bytes, refs: References, index: dict[bytes, int]) -> dict:
+def measure(data: bytes, lang: str | None, refs: References, index: dict[bytes, int]) -> dict:
     words = data.split()
     n_chars = sum(map(len, words))
     marks = np.frombuffer(data, np.uint8)
     chars = class_counts(data)
     lines = [x for x in data.split(b"\n") if x.strip()]
     plain = words_of(data)
+    judged = (lang or "") in refs.langs
     other = len(refs.words)
     bins = np.bincount([index.get(w, other) for w in plain], minlength=other + 1) if plain else np.zeros(other + 1)
     return {
@@ -133,8 +137,8 @@ def measure(data: bytes, refs: References, index: dict[bytes, int]) -> dict:
         "n_symbols": sum(data.count(SYMBOLS[i : i + 1]) for i in range(len(SYMBOLS))),
         "n_dup_lines": len(lines) - len(set(lines)),
         "n_repeat_words": repeated_words(words),
-        "char_distance": distance(chars, refs.chars) if chars.sum() >= MIN_CHARS else None,
-        "word_distance": distance(folded(bins, refs.known), refs.counts) if len(plain) >= MIN_WORDS else None,
+        "char_distance": distance(chars, refs.chars) if judged and chars.sum() >= MIN_CHARS else None,
+        "word_distance": distance(folded(bins, refs.known), refs.counts) if judged and len(plain) >= MIN_WORDS else None,
     }
 
 
@@ -172,7 +176,7 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def references(documents: DataFrame, text: str = "text", lang: str = "lang") -> References:
     """Language references from all documents."""
-    plain = documents.select(F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text"))
+    plain = documents.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("binary").alias("text"))
     counted = plain.mapInArrow(count_words, "lang string, kind string, key binary, n long")
     sums = counted.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
     first = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
@@ -187,12 +191,12 @@ def references(documents: DataFrame, text: str = "text", lang: str = "lang") ->
             words.setdefault(r["lang"], {})[bytes(r["key"])] = r["n"]
         else:
             totals[r["lang"]] = r["n"]
-    langs = sorted(x for x, n in totals.items() if x and n >= MIN_REFERENCE_WORDS)
+    langs = sorted(x for x, n in totals.items() if n >= MIN_REFERENCE_WORDS)
     listed = sorted(set().union(*(words[x] for x in langs))) if langs else []
     own = np.array([[words[x].get(w, 0) for w in listed] for x in langs], float).reshape(len(langs), len(listed))
     rest = np.array([totals[x] for x in langs], float).reshape(-1, 1) - own.sum(axis=1, keepdims=True)
     by_class = np.array([chars[x] for x in langs]).reshape(len(langs), len(CLASSES))
-    return References(by_class, listed, np.hstack([own, rest]), own > 0)
+    return References(langs, by_class, listed, np.hstack([own, rest]), own > 0)
 
 
 def judge(
@@ -207,15 +211,16 @@ def judge(
     shared = documents.sparkSession.sparkContext.broadcast(references(documents, text, lang))
 
     @F.arrow_udf(MEASURES)
-    def measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def measured(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         from pyspark.sql.pandas.types import to_arrow_type
 
         refs, kind = shared.value, to_arrow_type(MEASURES)
         index = {w: i for i, w in enumerate(refs.words)}
-        for batch in batches:
-            yield pa.array([measure(t.as_buffer().to_pybytes() if t.is_valid else b"", refs, index) for t in batch], kind)
+        for texts, names in batches:
+            rows = zip(texts, names.to_pylist())
+            yield pa.array([measure(t.as_buffer().to_pybytes() if t.is_valid else b"", x, refs, index) for t, x in rows], kind)
 
-    found = documents.withColumn(into, measured(F.col(text).cast("binary")))
+    found = documents.withColumn(into, measured(F.col(text).cast("binary"), F.col(lang).cast("string")))
     m = F.col(into)
     failed = (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
     far = F.coalesce(m["char_distance"] > max_char_distance, F.lit(False)) | F.coalesce(

@@ -1,3 +1,4 @@
+import random
 import re
 
 import numpy as np
@@ -49,3 +50,22 @@ def test_symbols_instead_of_text_are_far_from_the_references(spark, odd):
 def test_empty_and_clashing(odd, nothing):
     assert q.judge(nothing).count() == 0
     assert q.judge(clashing(odd), into="verdict").count() == 15
+
+
+def prose(stems, i, n=120):
+    words = [f"{a}{b}" for a in stems for b in ("e", "in", "ing", "at", "or")]
+    rng = random.Random(i)
+    return " ".join(rng.choice(words) for _ in range(n))
+
+
+def test_languages_without_a_reference_get_no_verdict_and_missing_ones_their_own(spark, odd):
+    common = [(i, prose(("th", "an", "er", "on", "of"), i), "en", "a", 1) for i in range(60)]
+    rare = [(500 + i, prose(("дж", "кв", "щу", "эт", "юл"), i), "uk", "a", 1) for i in range(2)]
+    unnamed = [(600 + i, prose(("かな", "もじ", "ひら", "にほ", "ごぶ"), i), (None, "")[i % 2], "a", 1) for i in range(60)]
+    junk = [(999, " ".join(f"{chr(97 + j % 26)}###{j}$$$%%%" for j in range(120)), None, "a", 1)]
+    rows = q.judge(spark.createDataFrame(common + rare + unnamed + junk, odd.schema)).collect()
+    out = {r["doc_id"]: r["quality"] for r in rows}
+    assert all(out[d]["char_distance"] is out[d]["word_distance"] is None for d in (500, 501))
+    assert all(out[d]["word_distance"] is not None for d in range(600, 660))
+    assert all(m["kept"] for d, m in out.items() if d != 999)
+    assert not out[999]["base_failed"] and not out[999]["kept"]
