@@ -3,8 +3,8 @@
 Each stage takes all documents its predecessor kept, is written as Parquet and read again. All but the last return the columns
 of ``documents``; the last one adds where each row goes.
 
-1. quality: texts that the nearest-neighbour classifier scores below 0.3 go. Texts without a term score the share of good
-   labels, so they stay.
+1. quality: texts that the nearest-neighbour classifier scores below 0.3 go. Texts on which no neighbour voted stay: null and
+   empty ones, those that resemble nothing, and all if there are no learning rows of both labels.
 2. near_dedup: of each component of near duplicates the document with the smallest id stays.
 3. decontaminate: documents with at least a twentieth of their words in benchmark windows go.
 4. mix: every document is repeated as often as the source targets want it, 0 to 3 times.
@@ -32,8 +32,9 @@ from stayflow.llm.queries import QUALITY_CUT
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = classify_quality(docs, table(spark, sf_dir, "labels"), into="_quality_score")
-    return scored.where(F.col("_quality_score") >= QUALITY_CUT).select(*docs.columns)
+    scored = classify_quality(docs, table(spark, sf_dir, "labels"), into="_quality_score", vote=True)
+    low = F.coalesce(F.col("_quality_score") < QUALITY_CUT, F.lit(False))
+    return scored.where(~low).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ are broadcast; every document is compared with all of them by exact cosine produ
 nearest vote with their labels, weighted by similarity. Votes are corrected for the labels' shares in the sample.
 
 Defined results: texts without a term (null, empty) and texts that resemble nothing score the share of label 1 among the
-learning rows; without rows of both labels everything does. Ties in similarity are broken by the order of the labelled rows. Repeated
+learning rows; without rows of both labels everything does. ``vote`` gives such texts null instead. Ties in similarity are broken by the order of the labelled rows. Repeated
 rows score alike. Labels, language, source and id are not inputs of the score. Other columns pass through.
 """
 
@@ -87,8 +87,9 @@ class Neighbours:
     lift: np.ndarray
     rate: float
 
-    def scores(self, texts: list[bytes | None]) -> np.ndarray:
-        out = np.full(len(texts), self.rate)
+    def votes(self, texts: list[bytes | None]) -> np.ndarray:
+        """The weighted share of good neighbours; not a number where none voted."""
+        out = np.full(len(texts), np.nan)
         k = min(NEIGHBOURS, len(self.vectors))
         for at in range(0, len(texts) if k else 0, BLOCK):
             x = weighted(np.array([term_counts(t) for t in texts[at : at + BLOCK]]), self.idf) @ self.space
@@ -100,9 +101,13 @@ class Neighbours:
             yes = (weight * mine).sum(axis=1) * self.lift[1]
             no = (weight * (1 - mine)).sum(axis=1) * self.lift[0]
             known = (size[:, 0] > 0) & (yes + no > 0)
-            out[at : at + BLOCK] = np.where(known, yes / np.where(known, yes + no, 1), self.rate)
+            out[at : at + BLOCK] = np.where(known, yes / np.where(known, yes + no, 1), np.nan)
         return out
 
+    def scores(self, texts: list[bytes | None]) -> np.ndarray:
+        votes = self.votes(texts)
+        return np.where(np.isnan(votes), self.rate, votes)
+
 
 def document_frequencies(documents: DataFrame, text: str = "text") -> tuple[np.ndarray, int]:
     """In how many documents each hashed term occurs, and the number of documents with text."""
@@ -160,18 +165,22 @@ def learn(documents: DataFrame, labels: DataFrame, label: str = "quality", max_r
     return Neighbours(idf, space, z, y, lift / lift.sum(), rate)
 
 
-def score_with(text: Column, model: Neighbours, documents: DataFrame) -> Column:
+def score_with(text: Column, model: Neighbours, documents: DataFrame, vote: bool = False) -> Column:
+    """The score of a text, or with ``vote`` only what its neighbours voted: null if none did."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf(T.DoubleType())
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
         for batch in batches:
-            yield pa.array(m.scores([t.as_buffer().to_pybytes() if t.is_valid else None for t in batch]), pa.float64())
+            texts = [t.as_buffer().to_pybytes() if t.is_valid else None for t in batch]
+            yield pa.array(m.votes(texts) if vote else m.scores(texts), pa.float64(), from_pandas=True)
 
     return scored(text.cast("binary"))
 
 
-def classify_quality(documents: DataFrame, labels: DataFrame, into: str = "quality_score", **options) -> DataFrame:
-    """The documents with their score in ``into``."""
-    return documents.withColumn(into, score_with(F.col("text"), learn(documents, labels, **options), documents))
+def classify_quality(
+    documents: DataFrame, labels: DataFrame, into: str = "quality_score", vote: bool = False, **options
+) -> DataFrame:
+    """The documents with their score in ``into``; with ``vote`` it is null where no neighbour voted."""
+    return documents.withColumn(into, score_with(F.col("text"), learn(documents, labels, **options), documents, vote))
