@@ -5,7 +5,8 @@ of ``documents``; the last one adds where each row goes.
 
 1. quality: texts that the nearest-neighbour classifier scores below 0.3 go. Texts on which no neighbour voted stay: null and
    empty ones, those that resemble nothing, and all if there are no learning rows of both labels.
-2. near_dedup: of each component of near duplicates the document with the smallest id stays.
+2. near_dedup: of each component of near duplicates the document with the smallest id stays, in one row; rows without an id go
+   if their shingles are those of a row that stays. Texts without a word stay.
 3. decontaminate: documents with at least a twentieth of their words in benchmark windows go.
 4. mix: every document is repeated as often as the source targets want it, 0 to 3 times.
 5. shards: all rows in the order of a Hilbert curve, cut into 8 shards.

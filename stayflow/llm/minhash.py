@@ -20,8 +20,12 @@ All groupings are combined before their shuffle and all joins can be split by ad
 or on the driver. Intermediate tables are written to the shared folder.
 
 Defined results: null and empty texts have no shingles, are linked with nothing and are kept; a text with fewer than five words
-is one shingle. Rows without a doc_id are linked with nothing and are kept. Rows that repeat a doc_id share its
+is one shingle. Rows without a doc_id are linked with nothing and are kept. Rows with words that repeat a doc_id share its
 component; if their texts differ, the id stands for all of them. Other columns are not used.
+
+``without_near_duplicates`` leaves one row of each component: of rows that repeat the kept doc_id the one with the smallest hash
+stays. A row without a doc_id goes if a row with one, or another row without one that stays, has the same shingles. Rows
+without shingles all stay.
 """
 
 from __future__ import annotations
@@ -191,8 +195,22 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(both.where(linked("text_a", "text_b")).select("a", "b").distinct(), "minhash-links")
 
 
+@F.arrow_udf(T.BinaryType())
+def set_key_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The digest of the shingle set, as in ``sketch``; null without shingles."""
+    for batch in batches:
+        sets = [shingle_hashes(words_in(t.as_buffer().to_pybytes() if t.is_valid else None)) for t in batch]
+        keys = [hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None for h in sets]
+        yield pa.array(keys, pa.binary())
+
+
 def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per document row."""
+    return marked(documents, doc_id, text).drop("set_key")
+
+
+def marked(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``near_duplicates`` with the digest of the shingle set in ``set_key``."""
     body = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
     marks = body.select("doc_id", sketched("text").alias("s")).select("doc_id", "s.*")
     sketches = stored(marks, "minhash-sketches")
@@ -203,7 +221,13 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     texts = body.where("doc_id is not null and text is not null").select(F.col("doc_id").alias("id"), "text")
     entries = firsts.select(F.explode("bands").alias("k"), F.col("doc_id").alias("d"))
 
-    found = tried = None
+    # An id with several texts stands for all of them: it links the representatives of their sets.
+    several = full.groupBy("doc_id").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")).where("low < high")
+    firsts_of = firsts.select("set_key", F.col("doc_id").alias("b"))
+    of_id = full.join(several.select("doc_id"), "doc_id", "left_semi").join(firsts_of, "set_key")
+    of_id = stored(of_id.select(F.col("doc_id").alias("a"), "b").where("a <> b").distinct(), "minhash-ids")
+
+    found, tried = (None if of_id.isEmpty() else components(of_id)), None
     for turn in range(STAR_ROUNDS):
         named = with_components(entries, found)
         # The smallest member first; later another one by hash.
@@ -232,7 +256,8 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     named_rows = sketches.select("doc_id", "n_shingles", "set_key").join(groups, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    return named_rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", kept)
+    rows = named_rows.select("doc_id", "n_shingles", "set_key", component.alias("component_id"))
+    return rows.withColumn("kept", kept)
 
 
 def merged(found: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -262,7 +287,35 @@ def estimated_pairs(pairs: DataFrame, info: DataFrame) -> DataFrame:
 
 
 def without_near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay: the first of each component, with their own columns."""
-    gone = near_duplicates(documents, doc_id, text).where("not kept").select(F.col("doc_id").alias("_gone"))
-    gone = stored(gone.distinct(), "minhash-gone")
-    return documents.join(gone, documents[doc_id] == gone["_gone"], "left_anti")
+    """The documents that stay: one row of each component, with its own columns."""
+    marks = stored(marked(documents, doc_id, text).where("set_key is not null"), "minhash-marks")
+    named, nameless = marks.where("doc_id is not null"), marks.where("doc_id is null")
+    gone = stored(named.where("not kept").select(F.col("doc_id").alias("_near_id")).distinct(), "minhash-gone")
+    repeated = named.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = stored(repeated.select(F.col("doc_id").alias("_near_id")), "minhash-repeated")
+    sets = nameless.select("set_key").distinct()
+    taken = named.join(sets, "set_key", "left_semi").select(F.col("set_key").alias("_near_set")).distinct()
+
+    # As in ``words_in``: anything but white space is a word.
+    worded = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    has_id = F.col(doc_id).isNotNull()
+    same_id = F.col(doc_id) == F.col("_near_id")
+    stay = documents.where(worded & has_id).join(gone, same_id, "left_anti")
+    parts = [documents.where(~worded), stay.join(repeated, same_id, "left_anti")]
+    if not repeated.isEmpty():
+        parts.append(one_row(stay.join(repeated, same_id, "left_semi").withColumn("_near_key", F.col(doc_id)), documents.columns))
+    if not sets.isEmpty():
+        rest = documents.where(worded & ~has_id).withColumn("_near_set", set_key_of(F.col(text).cast("binary")))
+        rest = rest.join(stored(taken, "minhash-taken"), "_near_set", "left_anti")
+        parts.append(one_row(rest.withColumnRenamed("_near_set", "_near_key"), documents.columns))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def one_row(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Per ``_near_key`` the row with the smallest hash, combined before the shuffle."""
+    row = F.struct(*columns)
+    by = F.struct(F.xxhash64(F.to_json(row)), F.to_json(row))
+    return rows.groupBy("_near_key").agg(F.min_by(row, by).alias("_near_row")).select("_near_row.*")

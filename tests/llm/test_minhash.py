@@ -87,3 +87,20 @@ def test_estimate_follows_the_similarity(spark):
     df = spark.createDataFrame([([int(x) for x in a[3]], [int(x) for x in b[3]])], "a array<long>, b array<long>")
     true = len(shingles(" ".join(words)) & shingles(" ".join(other))) / len(shingles(" ".join(words)) | shingles(" ".join(other)))
     assert abs(df.select(estimated_similarity(F.col("a"), F.col("b"))).first()[0] - true) < 0.08
+
+
+def test_one_row_of_each_group_stays(spark):
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(rng.choice("abcdefghij") * 3 + str(rng.randrange(50)) for _ in range(60)) for _ in range(4))
+    near = lambda t: t + " more"
+    rows = [(1, a), (1, a), (2, near(a)), (2, near(a)), (None, a), (None, b), (None, b), (None, b.upper()), (3, c), (3, near(c)), (4, d)]
+    rows += [(5, d), (5, c), (6, None), (6, None), (2, " "), (None, ""), (None, None), (7, ""), (7, b + " x y z"), (8, a), (8, "q " + b)]
+    docs = spark.createDataFrame([(i, t, n % 3) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n_chars int")
+    # 3, 4 and 5 are linked by the texts of 5; 1, 2, 7 and 8 by those of 8.
+    found = {(r["doc_id"], r["component_id"]) for r in near_duplicates(docs).where("n_shingles > 0").collect()}
+    assert found == {(1, 1), (2, 1), (7, 1), (8, 1), (3, 3), (4, 3), (5, 3), (None, None)}
+    out = without_near_duplicates(docs).collect()
+    assert sorted(str(r["doc_id"]) for r in out if (r["text"] or "").strip()) == ["1", "3", "None"]
+    assert sum(not (r["text"] or "").strip() for r in out) == sum(not (t or "").strip() for _, t in rows)
+    again = without_near_duplicates(docs.repartition(5)).collect()
+    assert sorted(map(str, out)) == sorted(map(str, again))
