@@ -95,10 +95,7 @@ def scan(data: bytes, a: ahocorasick.Automaton) -> dict:
     spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
     after = np.searchsorted(spaces, [end for end, _ in hits])  # number of words up to the end of the match
     runs = merged([(int(n) - words_in, int(n)) for n, (_, (_, words_in, _)) in zip(after, hits)])
-    inside = np.concatenate(([False], np.frombuffer(mapped, np.uint8) != 32, [False]))
-    edges = np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2)  # first and one past the last byte of each word
-    lead = np.concatenate(([0], np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)))  # characters before a byte
-    spans = [(int(lead[edges[i, 0]]), int(lead[edges[j - 1, 1]])) for i, j in runs]
+    spans = char_spans(data, runs)
     items = set().union(*({w: ids for _, (w, _, ids) in hits}.values()))
     as_spans = lambda pairs: [{"start": s, "end": e} for s, e in pairs]
     return found | {
@@ -153,11 +150,36 @@ def decontaminate(
         scans.append(documents.withColumn(into, findings(F.col(text), shared)))
     if blocks == 1:
         return scans[0]
-    return merge_blocks(scans, documents.columns, into)
+    return merge_blocks(scans, documents.columns, into, text)
+
+
+def char_spans(data: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Character offsets in the original text of runs of words."""
+    inside = np.concatenate(([False], np.frombuffer(data.translate(WORD_BYTES), np.uint8) != 32, [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2)  # first and one past the last byte of each word
+    lead = np.concatenate(([0], np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)))  # characters before a byte
+    return [(int(lead[edges[i, 0]]), int(lead[edges[j - 1, 1]])) for i, j in runs]
 
 
-def merge_blocks(scans: list[DataFrame], columns: list[str], into: str) -> DataFrame:
-    """Union of word runs and items over the blocks; every block has seen every row once."""
+@F.arrow_udf(T.ArrayType(SPAN))
+def spans_of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Character spans of merged word runs."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kind = to_arrow_type(T.ArrayType(SPAN))
+    for texts, found in batches:
+        out = []
+        for t, runs in zip(texts, found.to_pylist()):
+            pairs = char_spans(t.as_buffer().to_pybytes(), [(r["start"], r["end"]) for r in runs]) if runs else []
+            out.append([{"start": s, "end": e} for s, e in pairs])
+        yield pa.array(out, kind)
+
+
+def merge_blocks(scans: list[DataFrame], columns: list[str], into: str, text: str) -> DataFrame:
+    """Union of word runs and items over the blocks; every block has seen every row once.
+
+    Character spans are read off the merged runs, as one block does: runs of different blocks that touch are one span.
+    """
     keys = [c for c in columns if c != into]
     every = scans[0].select(*keys, into)
     for s in scans[1:]:
@@ -166,10 +188,10 @@ def merge_blocks(scans: list[DataFrame], columns: list[str], into: str) -> DataF
         F.first(f"{into}.n_words").alias("n_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(f"{into}.item_ids")))).alias("item_ids"),
         F.array_sort(F.flatten(F.collect_list(f"{into}.word_runs"))).alias("word_runs"),
-        F.array_sort(F.flatten(F.collect_list(f"{into}.char_spans"))).alias("char_spans"),
         (F.count(F.lit(1)) / len(scans)).cast("int").alias("copies"),
     )
-    runs, spans = union_of("word_runs"), union_of("char_spans")
+    together = together.withColumn("word_runs", union_of("word_runs"))
+    runs, spans = F.col("word_runs"), spans_of(F.col(text).cast("binary"), "word_runs")
     n_hit = F.aggregate(runs, F.lit(0).cast("long"), lambda n, r: n + (r["end"] - r["start"]).cast("long"))
     values = [F.col("n_words"), n_hit, F.col("item_ids"), runs, spans]
     found = F.named_struct(*[x for name, v in zip(FINDINGS.names, values) for x in (F.lit(name), v)])

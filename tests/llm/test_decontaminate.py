@@ -74,3 +74,12 @@ def test_empty_tables(spark, odd, nothing):
 def test_short_items_are_one_window():
     assert windows(b"a b") == [b" a b "]
     assert windows(b"...") == []
+
+
+def test_many_blocks_give_the_spans_of_one(spark):
+    docs = spark.createDataFrame([(1, "Été -- ONE,\ttwo?! three / four; five"), (1, "Été -- ONE,\ttwo?! three / four; five"), (2, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(["one two", "three four", "five", "été one"])], BENCHMARK)
+    pick = lambda df: sorted(df.select("doc_id", "contamination.*").collect(), key=str)
+    one, many = pick(decontaminate(docs, bench)), pick(decontaminate(docs, bench, max_pattern_bytes=60))
+    assert len(one[0]["char_spans"]) == len(one[0]["word_runs"]) == 1
+    assert many == one
