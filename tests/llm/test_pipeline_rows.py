@@ -1,7 +1,19 @@
 """The rows of the pipeline's stages."""
 
+from collections import Counter
+from hashlib import md5
+
 import corpus_pipeline as pipeline
+import numpy as np
 import pytest
+from test_decontaminate import words
+from test_minhash import brute
+from test_mixing import brute_targets
+from stayflow.llm import mixing, quality_knn
+from stayflow.llm.common import stored
+from stayflow.llm.queries import QUALITY_CUT
+
+FOLDER = "/root/testdata/sf0.001"
 
 
 @pytest.mark.parametrize("kind", ["empty", "only bad", "few good"])
@@ -14,3 +26,83 @@ def test_quality_keeps_what_no_neighbour_voted_on(spark, odd, odd_rows, no_label
         assert sum(not (r["text"] or "").strip() for r in kept) == len(blank)
     else:
         assert len(kept) == len(odd_rows)
+
+
+def voted_low(model, text):
+    """Plain votes of the nearest labelled texts of the fitted space."""
+    x = quality_knn.weighted(quality_knn.term_counts((text or "").encode())[None], model.idf)[0] @ model.space
+    size = np.linalg.norm(x)
+    near = model.vectors @ (x / size) if size > 0 else np.zeros(0)
+    best = np.argsort(-near, kind="stable")[: quality_knn.NEIGHBOURS]
+    weight = np.clip(near[best], 0, None) ** 4
+    yes, no = ((weight * (model.labels[best] == y)).sum() * model.lift[y] for y in (1, 0))
+    return yes + no > 0 and yes / (yes + no) < QUALITY_CUT
+
+
+def contaminated(rows, items):
+    shingles = {}
+    for item, text in items:
+        w = words(text)
+        if item is not None and w:
+            n = min(13, len(w))
+            shingles.setdefault(n, set()).update(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
+    gone = set()
+    for r in rows:
+        w, hit = words(r["text"]), set()
+        for n, known in shingles.items():
+            for i in range(len(w) - n + 1):
+                if tuple(w[i : i + n]) in known:
+                    hit.update(range(i, i + n))
+        if hit and 20 * len(hit) >= len(w):
+            gone.add(r["doc_id"])
+    return gone
+
+
+def copies_of(rows):
+    """How often each document goes on: whole rounds of its source, and one more below the cut of its hash."""
+    bits, sources, out = mixing.LEVEL_BITS * mixing.LEVELS, {}, {}
+    for r in rows:
+        h = int(md5(str(r["doc_id"]).encode()).hexdigest()[:8], 16) >> (32 - bits)
+        sources.setdefault(r["source"], []).append((h, len((r["text"] or "").encode().split()), r["doc_id"]))
+    targets = brute_targets({s: sum(n for _, n, _ in x) for s, x in sources.items()})
+    for s, members in sources.items():
+        size = sum(n for _, n, _ in members)
+        whole = int(targets[s] // size) if size else 0
+        rest, before, cut = targets[s] - whole * size, 0, 1 << bits
+        for h in sorted({h for h, _, _ in members}):
+            n = sum(m for k, m, _ in members if k == h)
+            if before + n > rest:
+                cut = h + (2 * (rest - before) >= n)
+                break
+            before += n
+        out |= {d: whole + (h < cut) for h, _, d in members}
+    return out
+
+
+def test_rows_of_each_stage_against_plain_python(spark):
+    docs = pipeline.table(spark, FOLDER, "documents")
+    columns = docs.columns
+    for name, stage in pipeline.STAGES:
+        before = docs.collect()
+        if name == "quality":
+            model = quality_knn.learn(docs, pipeline.table(spark, FOLDER, "labels"))
+            times = {r["doc_id"]: not voted_low(model, r["text"]) for r in before}
+        elif name == "near_dedup":
+            times = {d: d == c for d, (_, c) in brute([(r["doc_id"], r["text"]) for r in before]).items()}
+        elif name == "decontaminate":
+            items = pipeline.table(spark, FOLDER, "benchmark").select("item_id", "text").collect()
+            gone = contaminated(before, items)
+            times = {r["doc_id"]: r["doc_id"] not in gone for r in before}
+        elif name == "mix":
+            times = copies_of(before)
+        else:
+            times = {r["doc_id"]: 1 for r in before}
+        docs = stored(stage(spark, docs, FOLDER), f"rows-{name}")
+        expected = Counter(tuple(r) for r in before for _ in range(int(times[r["doc_id"]])))
+        assert Counter(map(tuple, docs.select(*columns).collect())) == expected, name
+    shards = {}
+    for r in docs.collect():
+        shards.setdefault(r["shard"], []).append(r["slot"])
+    assert sorted(shards) == list(range(8))
+    assert all(sorted(x) == list(range(len(x))) for x in shards.values())
+    assert max(map(len, shards.values())) - min(map(len, shards.values())) <= 1
