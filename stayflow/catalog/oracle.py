@@ -8,8 +8,19 @@ from __future__ import annotations
 from itertools import combinations
 
 from ..functions.columns import underscored
-from ..schema import ALL_DAYS, EXPORT_FEATURES, LIVE_PAGES, MODEL_FEATURES, PAGES, SONG_PAGE
-from .queries import LOG_COLUMNS, RATIO_COLUMNS, REDELIVERED_FROM, SHORT_PAGES, WEEK, ZONE_COLUMNS
+from ..schema import (
+    ALL_DAYS,
+    EVENT_SCHEMA,
+    EXPORT_FEATURES,
+    LIVE_PAGES,
+    LOG_COLUMNS,
+    MODEL_FEATURES,
+    PAGES,
+    RATIO_COLUMNS,
+    SONG_PAGE,
+    user_table_schema,
+)
+from .queries import REDELIVERED_FROM, SHORT_PAGES, WEEK, ZONE_COLUMNS
 
 LOG = """
 log AS (
@@ -67,16 +78,8 @@ windowed AS (
 
 PIVOT = ", ".join(f"nullif(count(*) FILTER (page = '{p}'), 0) AS \"{underscored(p)}\"" for p in PAGES)
 PAGE_COLUMNS = [underscored(p) for p in PAGES]
-DOUBLES = [
-    *["total_play_length", "active_pct", "avg_songs_per_day", "avg_songs_per_active_day"],
-    *["avg_play_length_per_day", "avg_play_length_per_active_day"],
-]
-USER_COLUMNS = [
-    *["userId", "num_songs", "num_songs_unique", "num_artist", "total_play_length"],
-    *["num_active_days", "date_from", "date_to", "registration_date", "num_active_days_paid"],
-    *PAGE_COLUMNS,
-    *["current_level", "current_level_paid", *RATIO_COLUMNS],
-]
+DOUBLES = ["total_play_length", *RATIO_COLUMNS[2:]]
+USER_COLUMNS = [underscored(f.name) for f in user_table_schema(churn=False).fields]
 TEXTS_AND_DATES = {"userId", "current_level", "date_from", "date_to", "registration_date"}
 NUMBERS = [c for c in USER_COLUMNS if c not in TEXTS_AND_DATES]
 
@@ -188,11 +191,6 @@ ZONE = quoted(ZONE_COLUMNS)
 VALID = select_log(f"SELECT {quoted(LOG_COLUMNS)} FROM valid")
 WINDOWED_COLUMNS = "ts, \"userId\", page, level, event_date, registration_date, date_to, date_from"
 NO_SONGS = [p for p in PAGES if p != SONG_PAGE]
-EVENT_COLUMNS = [
-    *["ts", "userId", "sessionId", "page", "auth", "method", "status", "level", "itemInSession", "location"],
-    *["userAgent", "lastName", "firstName", "registration", "gender", "artist", "song", "length"],
-]
-
 ORACLE: dict[str, str] = {
     "scan_json_events": select_log(f"SELECT {quoted(LOG_COLUMNS)} FROM log"),
     "scan_csv_users": select_users(f"SELECT {rounded([*USER_COLUMNS, 'churn'], zero=True)} FROM users"),
@@ -276,7 +274,7 @@ ORACLE: dict[str, str] = {
         " UNION ALL ".join(
             f"SELECT '{c}' AS column_name, " + (f'count("{c}")' if c in LOG_COLUMNS else "0::BIGINT") + " AS non_null FROM log"
             + ("" if c in LOG_COLUMNS else " HAVING true")
-            for c in EVENT_COLUMNS
+            for c in EVENT_SCHEMA.names
         )
     ),
     "describe_users": select_users(

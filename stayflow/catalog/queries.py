@@ -17,10 +17,14 @@ from ..operators import churn, clean, features, merge, metrics, profile, recency
 from ..plans import batch, scoring, training
 from ..schema import (
     ALL_DAYS,
+    DATE_FIELDS,
     DAY_PARTITION,
     EXPORT_FEATURES,
+    LOG_COLUMNS,
     MODEL_FEATURES,
     PAGES,
+    PART_FIELDS,
+    RATIO_COLUMNS,
     SONG_PAGE,
 )
 from ..session import new_folder, settle
@@ -31,7 +35,6 @@ from ..streaming import counts, runs, zones
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
-LOG_COLUMNS = ["ts", "userId", "sessionId", "page", "level", "itemInSession", "registration", "artist", "song", "length"]
 WEEK = 7
 SHORT_PAGES = ["NextSong", "Cancellation Confirmation", "Home", "Thumbs Up"]
 REDELIVERED_FROM = "2024-01-15"
@@ -119,12 +122,7 @@ def _zone(spark, folder) -> str:
     return path
 
 
-ZONE_COLUMNS = [
-    *LOG_COLUMNS,
-    *["event_date", "registration_date", "days_from_registration"],
-    *["event_year", "event_month", "event_day"],
-    *["registration_year", "registration_month", "registration_day"],
-]
+ZONE_COLUMNS = LOG_COLUMNS + [f.name for f in DATE_FIELDS + PART_FIELDS]
 
 
 @query("sink_partitioned")
@@ -293,10 +291,6 @@ def user_paid_days(spark, folder):
     return features.user_paid_days(windowed_log(spark, folder))
 
 
-RATIO_COLUMNS = [
-    *["days_since_registration", "days_in_member", "active_pct", "avg_songs_per_day"],
-    *["avg_songs_per_active_day", "avg_play_length_per_day", "avg_play_length_per_active_day"],
-]
 
 
 @query("user_ratio_metrics")

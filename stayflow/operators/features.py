@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import named, ratio, text
 from ..functions.dates import span_days, window_start
-from ..schema import ALL_DAYS, CHURN_PAGE, OTHER_PAGES, PAGES, PAID_LEVEL, SONG_PAGE
+from ..schema import ALL_DAYS, CHURN_PAGE, OTHER_PAGES, PAGES, PAID_LEVEL, SONG_PAGE, user_table_schema
 
 # --- metric groups over events that already carry date_from and date_to -------------------------------------
 
@@ -135,7 +135,12 @@ def daily_activity(dated: DataFrame, pages: Sequence[str] = PAGES) -> DataFrame:
     )
     grouped = events.groupingSets(
         [["userId", "event_date", "page", "level"], ["userId", "song"], ["userId", "artist"]],
-        *["userId", "event_date", "page", "level", "song", "artist"],
+        "userId",
+        "event_date",
+        "page",
+        "level",
+        "song",
+        "artist",
     ).agg(
         F.grouping("page").alias("is_item"),
         F.count(F.lit(1)).alias("events"),
@@ -150,7 +155,11 @@ def daily_activity(dated: DataFrame, pages: Sequence[str] = PAGES) -> DataFrame:
         .select(
             "userId",
             F.when(day_row, F.col("event_date")).otherwise(F.col("last_play")).alias("event_date"),
-            *["level", "page", "song", "artist", "events"],
+            "level",
+            "page",
+            "song",
+            "artist",
+            "events",
             *[F.when(day_row, F.col(c)).alias(c) for c in ("play_length", "registered", "unregistered")],
         )
         .groupBy("userId", "event_date", "level")
@@ -215,15 +224,7 @@ def users_from_daily(
 
 def user_columns(pages: Sequence[str] = PAGES, churn: bool = False) -> list[str]:
     """Column order of the wide user table."""
-    return [
-        *["userId", "num_songs", "num_songs_unique", "num_artist", "total_play_length"],
-        *["num_active_days", "date_from", "date_to", "registration_date", "num_active_days_paid"],
-        *pages,
-        *["current_level", "current_level_paid", "days_since_registration", "days_in_member"],
-        *["active_pct", "avg_songs_per_day", "avg_songs_per_active_day"],
-        *["avg_play_length_per_day", "avg_play_length_per_active_day"],
-        *(["churn"] if churn else []),
-    ]
+    return user_table_schema(pages, churn).names
 
 
 def user_features(

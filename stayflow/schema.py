@@ -81,6 +81,28 @@ MODEL_FEATURES = [
     "avg_songs_per_active_day",
 ]
 LIVE_PAGES = ["About", "Cancel", "Downgrade"]
+# Event columns that the activity log of the test tables fills.
+LOG_COLUMNS = [
+    "ts",
+    "userId",
+    "sessionId",
+    "page",
+    "level",
+    "itemInSession",
+    "registration",
+    "artist",
+    "song",
+    "length",
+]
+RATIO_COLUMNS = [
+    "days_since_registration",
+    "days_in_member",
+    "active_pct",
+    "avg_songs_per_day",
+    "avg_songs_per_active_day",
+    "avg_play_length_per_day",
+    "avg_play_length_per_active_day",
+]
 
 # Derived columns of the bronze and silver zones.
 DATE_FIELDS = [
@@ -106,18 +128,10 @@ def user_table_schema(pages=PAGES, churn: bool = True) -> T.StructType:
     fields += [T.StructField(c, T.LongType()) for c in ["num_active_days_paid", *pages]]
     fields += [T.StructField("current_level", T.StringType())]
     fields += [
-        T.StructField(c, T.IntegerType())
-        for c in ("current_level_paid", "days_since_registration", "days_in_member")
+        T.StructField(c, T.IntegerType()) for c in ["current_level_paid", *RATIO_COLUMNS[:2]]
     ]
     fields += [
-        T.StructField(c, T.DoubleType())
-        for c in (
-            "active_pct",
-            "avg_songs_per_day",
-            "avg_songs_per_active_day",
-            "avg_play_length_per_day",
-            "avg_play_length_per_active_day",
-        )
+        T.StructField(c, T.DoubleType()) for c in RATIO_COLUMNS[2:]
     ]
     if churn:
         fields += [T.StructField("churn", T.IntegerType())]
