@@ -77,7 +77,6 @@ windowed AS (
 
 
 PIVOT = ", ".join(f"nullif(count(*) FILTER (page = '{p}'), 0) AS \"{underscored(p)}\"" for p in PAGES)
-PAGE_COLUMNS = [underscored(p) for p in PAGES]
 DOUBLES = ["total_play_length", *RATIO_COLUMNS[2:]]
 USER_COLUMNS = [underscored(f.name) for f in user_table_schema(churn=False).fields]
 TEXTS_AND_DATES = {"userId", "current_level", "date_from", "date_to", "registration_date"}
