@@ -8,6 +8,7 @@ from .license_join import PHRASES, TEMPLATES, THRESHOLD
 from .minhash import LINK_PERCENT, SHINGLE
 from .mixing import LEVEL_BITS, LEVELS, MAX_REPEATS, WEIGHTS
 from .run_index import LENGTH
+from .spelling import LETTERS, MIN_COUNT, MIN_LENGTH, RATIO, SLIP
 
 LOWERED = f"translate(text, '{UPPER}', '{LOWER}')"
 WORDS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -201,6 +202,46 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
 FROM words LEFT JOIN base USING (doc_id) LEFT JOIN finds USING (doc_id)
 """
 
+# The checksum is computed byte by byte with the usual table of the reversed polynomial.
+SPELLING = f"""
+WITH RECURSIVE crc AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda a, b:
+               CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i)) AS tab
+), runs AS (
+    SELECT doc_id, run, count(*) AS c, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS h
+    FROM (SELECT doc_id, unnest(regexp_extract_all({LOWERED}, '{LETTERS}')) AS run FROM documents) GROUP BY ALL
+), checked AS (
+    SELECT run, c, xor(list_reduce(list_transform(range(len(h) // 2), lambda k: ('0x' || substr(h, 2 * k + 1, 2))::BIGINT),
+               lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) AS k
+    FROM runs, crc
+), slipped AS (
+    SELECT CASE WHEN k % {SLIP} = 0 THEN substr(run, 1, k % length(run)) || substr(run, k % length(run) + 2) ELSE run END AS word, c
+    FROM checked
+), words AS (
+    SELECT word, sum(c)::BIGINT AS n FROM slipped WHERE length(word) >= {MIN_LENGTH} GROUP BY word HAVING sum(c) >= {MIN_COUNT}
+), cut AS (
+    SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+    FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+    SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word FROM cut a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word FROM cut a JOIN words b ON a.rest = b.word
+), ranked AS (
+    SELECT a, b, w.n, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY w.n DESC, b) AS r
+    FROM pairs JOIN words w ON w.word = b
+), formed AS (
+    SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN r.n >= {RATIO} * w.n THEN b END AS form,
+           CASE WHEN r.n >= {RATIO} * w.n THEN r.n END::BIGINT AS form_n
+    FROM words w LEFT JOIN ranked r ON r.a = w.word AND r.r = 1
+), chain AS (
+    SELECT word, word AS at FROM words
+    UNION SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.at WHERE f.form IS NOT NULL
+), ends AS (
+    SELECT c.word, c.at AS root FROM chain c JOIN formed f ON f.word = c.at WHERE f.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
+
 LLM_ORACLE = {
     "op1_decontaminate": DECONTAMINATE,
     "op2_mix_sources": MIX,
@@ -208,4 +249,5 @@ LLM_ORACLE = {
     "op6_minhash_bbit": NEAR,
     "op9_license_join": LICENSES,
     "op10_revisit_resolution": REVISIT,
+    "op12_spelling_variants": SPELLING,
 }

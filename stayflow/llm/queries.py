@@ -15,9 +15,13 @@ from .quality_knn import classify_quality
 from .quality_rules import judge
 from .revisit import archive_of, resolve_revisits
 from .run_index import repeated_spans
+from .spelling import runs_of_letters, spelling_variants, vocabulary, with_slips
+from .token_counts import over_limit, with_token_counts
 from .toxicity import classify_toxicity
+from .whitening import whiten
 
 QUALITY_CUT = 0.3
+TOKEN_LIMIT = 512
 
 
 def predicted(score: str, cut: float) -> Column:
@@ -81,6 +85,41 @@ def op10_revisit_resolution(spark: SparkSession, folder: str) -> DataFrame:
     return resolved.select("record_id", "url_key", at, "kind", "status", "source_id", "source_at", line.alias("headers"))
 
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = with_token_counts(table(spark, folder, "documents"), tokenizer_path(), into="n_tokens")
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    return counted.select("doc_id", n_bytes, "n_tokens", over_limit(F.col("n_tokens"), TOKEN_LIMIT).alias("over_limit"))
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Place of a public vocabulary file on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    runs = runs_of_letters(table(spark, folder, "documents"))
+    words = vocabulary(runs.select(with_slips(F.col("doc_id"), F.col("run")).alias("word")))
+    return spelling_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows, fitted, off = whiten(table(spark, folder, "embeddings"), into="_whitening")
+    w = F.col("_whitening")
+    values = rows.select("vec_id", w["deviation"].alias("deviation"), F.posexplode(w["whitened"]).alias("place", "whitened"))
+    explained = F.array(*map(F.lit, fitted.explained)) if fitted.explained else F.array().cast("array<double>")
+    return values.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(fitted.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("place")).alias("explained"),
+        F.lit(off).alias("identity_error"),
+    )
+
+
 LLM_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_mix_sources": op2_mix_sources,
@@ -92,4 +131,7 @@ LLM_QUERIES = {
     "op8_hilbert_shards": op8_hilbert_shards,
     "op9_license_join": op9_license_join,
     "op10_revisit_resolution": op10_revisit_resolution,
+    "op11_token_counts": op11_token_counts,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
