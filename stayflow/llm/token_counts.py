@@ -3,8 +3,8 @@
 A byte-level BPE file first cuts text into pre-tokens (a word with the blank before it, a run of digits, ...) and merges bytes
 inside each one only. So a text has as many tokens as its pre-tokens together, and equal pre-tokens always have the same number.
 
-1. Every task sketches the frequent pre-tokens of its documents (a frequent-items sketch with ``TRACKED`` counters). One sketch a
-   task is shuffled and merged, no pre-token; all documents take part.
+1. Every task sketches the frequent pre-tokens of its documents (frequent-items sketches with ``TRACKED`` counters together, one for
+   each of ``SKETCHES`` hash classes). These sketches are shuffled and merged, no pre-token; all documents take part.
 2. The ``FREQUENT`` most frequent ones of at most ``MAX_BYTES`` bytes are encoded once and broadcast as packed bytes with their
    lengths: at most ``FREQUENT * (MAX_BYTES + 2)`` bytes, whatever the corpus.
 3. A worker sums the lengths it finds in that table. Misses are looked up in the worker's cache of at most ``CACHED`` entries, which
@@ -43,8 +43,10 @@ FREQUENT = 30_000
 TRACKED = 65_536
 MAX_BYTES = 32
 CACHED = 1 << 19
-#: Sketches are merged in up to this many groups before the last merge.
-SKETCH_GROUPS = 1024
+#: Pre-tokens are dealt to so many sketches by their hash, so that no task merges all of them.
+SKETCHES = 16
+#: The sketches of one hash are merged in up to this many groups before the last merge.
+SKETCH_GROUPS = 256
 #: Characters of a piece, about.
 PIECE = 1 << 16
 
@@ -162,12 +164,12 @@ def frequent_pre_tokens(documents: DataFrame, text: str = "text", most: int = FR
     """The most frequent pre-tokens of all documents, by merged sketches; a result of at most ``most`` short texts."""
     cut = F.regexp_extract_all(F.col(text), F.lit(JVM_PATTERN), F.lit(0))
     words = documents.select(F.explode(cut).alias("w"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"))
-    short = words.where(F.octet_length("w") <= MAX_BYTES)
-    sketches = short.groupBy("g").agg(F.expr(f"approx_top_k_accumulate(w, {tracked})").alias("s"))
-    # Grouped by a constant, so that no sketches give no row.
-    merged = sketches.groupBy(F.lit("all").alias("k")).agg(F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"))
-    found = merged.select(F.expr(f"approx_top_k_estimate(s, {most})").alias("e")).first()
-    return [r["item"] for r in found["e"]] if found else []
+    short = words.where(F.octet_length("w") <= MAX_BYTES).withColumn("k", F.pmod(F.xxhash64("w"), F.lit(SKETCHES)))
+    counters, wanted = max(1, tracked // SKETCHES), max(1, most // SKETCHES)
+    sketches = short.groupBy("k", "g").agg(F.expr(f"approx_top_k_accumulate(w, {counters})").alias("s"))
+    merged = sketches.groupBy("k").agg(F.expr(f"approx_top_k_combine(s, {counters})").alias("s"))
+    found = merged.select(F.expr(f"approx_top_k_estimate(s, {wanted})").alias("e")).collect()
+    return sorted(r["item"] for row in found for r in row["e"])
 
 
 _COUNTERS: dict[str, TokenCounter] = {}
