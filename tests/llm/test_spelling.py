@@ -1,0 +1,122 @@
+"""Spelling variants beside plain Python."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+from stayflow.llm import spelling as sp
+from stayflow.llm.common import LOWER, UPPER
+from tools import clashing
+
+
+def near(a, b):
+    """One inserted, deleted or replaced code point."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute(n, ratio=2):
+    out = {}
+    for w in n:
+        found = [v for v in n if near(w, v)]
+        best = min(found, key=lambda v: (-n[v], v), default=None)
+        out[w] = (n[w], len(found), best if best and n[best] >= ratio * n[w] else None)
+    rows = {}
+    for w, (count, n_near, form) in out.items():
+        root = w
+        while out[root][2]:
+            root = out[root][2]
+        rows[w] = (count, n_near, form, n[form] if form else None, root)
+    return rows
+
+
+def rows_of(df):
+    return {r.word: (r.n, r.n_near, r.form, r.form_n, r.root) for r in df.collect()}
+
+
+def random_words(seed, many, letters="abc", longest=9):
+    rng = random.Random(seed)
+    words = sorted({"".join(rng.choice(letters) for _ in range(rng.randint(5, longest))) for _ in range(many)})
+    return {w: rng.randint(3, 60) for w in words}
+
+
+def test_index_finds_all_near_words():
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choice("abé") for _ in range(rng.randrange(9))) for _ in range(300)})
+    index = sp.PositionIndex(words)
+    for word in [*words, "zzz", "abababababab", ""]:
+        replaced, longer, shorter = index.near(word)
+        want = {v for v in words if near(word, v)}
+        assert {words[j] for j in sp.members(replaced)} == {v for v in want if len(v) == len(word)}
+        assert {words[j] for j in sp.members(longer)} == {v for v in want if len(v) > len(word)}
+        assert {words[j] for j in sp.members(shorter)} == {v for v in want if len(v) < len(word)}
+    assert sp.PositionIndex([]).near("word") == (0, 0, 0)
+
+
+def test_same_as_brute_force_whatever_the_block(spark):
+    n = random_words(5, 700)
+    n |= {"x" * 300: 9, "x" * 299: 3, "x" * 299 + "é": 30, "ééééé": 4, "éééé": 5, "eéééé": 8}
+    n.pop("éééé")  # shorter than the shortest word
+    words = spark.createDataFrame(list(n.items()), "word string, n long")
+    want = brute(n)
+    for block in (sp.BLOCK, 5):
+        assert rows_of(sp.spelling_variants(words, block=block)) == want
+
+
+def test_a_hot_beginning_is_dealt_over_blocks(spark):
+    """A third of all words share one long beginning."""
+    n = random_words(6, 300) | {"prefix" * 2 + w: c for w, c in random_words(7, 150).items()}
+    words = spark.createDataFrame(list(n.items()), "word string, n long")
+    rows = sp.dealt(words, block=20)
+    per_block = rows.where("indexed").groupBy(*sp.GROUP, "block").count()
+    assert per_block.agg({"count": "max"}).first()[0] < 60
+    assert rows.where("indexed").groupBy("word").count().agg({"count": "max"}).first()[0] <= 4
+    assert rows_of(sp.spelling_variants(words, block=20)) == brute(n)
+
+
+def test_long_chains_of_forms(spark):
+    chain = ["abcde", "abcdef", "abcdefg", "abcdefgh", "abcdefghi", "abcdefghij", "abcdefghijk"]
+    n = {w: 3 * 2**i for i, w in enumerate(chain)}
+    words = spark.createDataFrame(list(n.items()), "word string, n long")
+    got = rows_of(sp.spelling_variants(words))
+    assert got == brute(n) and {r[4] for r in got.values()} == {chain[-1]}
+
+
+def counted(rows):
+    """The contract's words, in plain Python."""
+    lower = str.maketrans(UPPER, LOWER)
+    counts = Counter()
+    for doc_id, text, *_ in rows:
+        for run in re.findall(sp.LETTERS, text or ""):
+            run = run.translate(lower)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % sp.SLIP == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: c for w, c in counts.items() if len(w) >= 5 and c >= 3}
+
+
+def variants(documents):
+    runs = sp.runs_of_letters(documents)
+    return sp.spelling_variants(sp.vocabulary(runs.select(sp.with_slips(runs.doc_id, runs.run).alias("word"))))
+
+
+def test_odd_documents(spark, odd, odd_rows, nothing):
+    assert rows_of(variants(odd)) == brute(counted(odd_rows))
+    assert rows_of(variants(clashing(odd))) == brute(counted(odd_rows))
+    empty = variants(nothing)
+    assert empty.count() == 0
+    assert empty.columns == ["word", "n", "n_near", "form", "form_n", "root"]
+
+
+def test_words_with_slips(spark):
+    rng = random.Random(8)
+    base = ["Weather", "whether", "tehra", "Élève", "naïveté", "straße", "receive", "recieve", "×÷letters"]
+    rows = [(i, " ".join(rng.choice(base) for _ in range(12)), None, None, 0) for i in range(400)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    want = counted(rows)
+    assert len(want) > len(base)  # some runs have lost a letter
+    assert rows_of(variants(docs)) == brute(want)
