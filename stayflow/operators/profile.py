@@ -9,11 +9,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import quoted
+from ..functions.columns import named, quoted
+from ..functions.ordering import leading, ordered_bits
 from ..schema import LIVE_PAGES, PAGES, SONG_PAGE
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-SKETCH_ACCURACY = 10_000
+#: Bits of the ordered value that a scan tells apart.
+STEP_BITS = 16
+#: Groups whose wanted buckets are sent to all tasks.
+MAX_GROUPS = 10_000
 STATISTICS = ["count", "mean", "std", "min", *QUARTILES, "max"]
 
 
@@ -34,91 +38,116 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None, by: str | None = None) -> DataFrame:
+def describe(
+    df: DataFrame, columns: Sequence[str] | None = None, by: str | None = None, max_groups: int = MAX_GROUPS
+) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum of each numeric column.
 
-    Quartiles are exact with linear interpolation, in three narrow scans. The first is one wide aggregate; its sketches
-    bracket every quartile by two values. The second counts what lies below each bracket and widens it by one value on
-    either side, so that both neighbours of a fractional rank are inside. The third ranks only the values inside the
-    brackets; no task ever holds a whole column. ``by`` splits the table by a column with few values, such as ``churn``.
+    Quartiles are exact, with linear interpolation between the two ranks around them. Three scans of one value per row: a
+    histogram per column, group and leading 16 bits of the ordered value, from which all other statistics come too; then
+    the buckets that hold a wanted rank by their next 16 bits; then those that are left by value. Every step is combined
+    before its shuffle, and no task gets more than the buckets of one column and group.
+
+    ``by`` splits the table by the values of a column, such as ``churn``. The wanted buckets, six at most per column and
+    group, are sent to all tasks if a count of the groups shows at most ``max_groups``; beyond, they are joined by shuffling.
     """
     columns = [c for c in (columns or numeric_columns(df)) if c != by]
-    slots = [(i, n, q) for i in range(len(columns)) for n, q in enumerate(QUARTILES.values())]
-    group = F.col(f"`{by}`") if by else F.lit(0)
-    doubles = [F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)]
-    values = df.select(group.alias("g"), *doubles)
-    margin = 4 / SKETCH_ACCURACY
-    shares = F.array(*[F.lit(min(1.0, max(0.0, q + d))) for q in QUARTILES.values() for d in (-margin, margin)])
-    stats = values.groupBy("g").agg(
-        *[
-            F.struct(
-                F.count(c).alias("count"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("std"),
-                F.min(c).alias("min"),
-                F.max(c).alias("max"),
-                F.percentile_approx(c, shares, SKETCH_ACCURACY).alias("edges"),
-            ).alias(f"s{i}")
-            for i, c in enumerate(f"c{i}" for i in range(len(columns)))
-        ]
+    group = F.col(named(by)) if by else F.lit(0)
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), c.cast("double").alias("value")) for i, c in enumerate(quoted(columns))])
+    values = df.select(group.alias("g"), F.inline(cells)).withColumn("bits", ordered_bits(F.col("value")))
+
+    first = values.groupBy("g", "i", leading(F.col("bits"), STEP_BITS).alias("part")).agg(
+        F.count("value").alias("rows"),
+        F.avg("value").alias("mean"),
+        F.var_pop("value").alias("spread"),
+        F.min("value").alias("least"),
+        F.max("value").alias("most"),
     )
-    edges = stats.select(F.col("g").alias("_g"), *[F.col(f"s{i}.edges").alias(f"e{i}") for i in range(len(columns))])
-    found = values.join(edges, F.col("g").eqNullSafe(F.col("_g")))
-    limits = found.groupBy("g").agg(
-        *[
-            F.struct(
-                F.count_if(F.col(f"c{i}") < low).alias("below"),
-                F.coalesce(F.max(F.when(F.col(f"c{i}") < low, F.col(f"c{i}"))), F.min(low)).alias("low"),
-                F.coalesce(F.min(F.when(F.col(f"c{i}") > high, F.col(f"c{i}"))), F.max(high)).alias("high"),
-                F.min(low).alias("edge"),
-                F.count(f"c{i}").alias("total"),
-            ).alias(f"l{i}_{n}")
-            for i, n, _ in slots
-            for low, high in [(F.get(f"e{i}", F.lit(2 * n)), F.get(f"e{i}", F.lit(2 * n + 1)))]
-        ]
+    wanted = _wanted_ranks(_with_starts(first, "g", "i"))
+    small = by is None or _at_most(df, by, max_groups)
+    if small:
+        wanted = F.broadcast(wanted)
+    second = _refined(values, wanted, STEP_BITS).groupBy(
+        "g", "i", "slot", "rank", "stats", leading(F.col("bits"), 2 * STEP_BITS).alias("part")
     )
-    marked = values.join(limits.withColumnRenamed("g", "_g"), F.col("g").eqNullSafe(F.col("_g")))
-    inside = F.array(
-        *[
-            F.when(
-                F.col(f"c{i}").between(F.col(f"l{i}_{n}.low"), F.col(f"l{i}_{n}.high")),
-                F.struct(F.lit(i).alias("i"), F.lit(n).alias("n"), F.col(f"c{i}").alias("value"), f"l{i}_{n}.below",
-                         f"l{i}_{n}.edge", f"l{i}_{n}.total"),
-            )
-            for i, n, _ in slots
-        ]
+    inside = _holding_rank(_with_starts(second.agg(F.count(F.lit(1)).alias("rows")), "g", "i", "slot"))
+    if small:
+        inside = F.broadcast(inside)
+    third = _refined(values, inside, 2 * STEP_BITS).groupBy(
+        "g", "i", "slot", "rank", "stats", F.col("bits").alias("part"), "value"
     )
-    held = marked.select("g", F.inline(F.array_compact(inside)))
-    slot = Window.partitionBy("g", "i", "n")
-    ranked = (
-        held.groupBy("g", "i", "n", "value", "below", "edge", "total")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("first", F.col("below") - F.sum(F.when(F.col("value") < F.col("edge"), F.col("copies")).otherwise(0)).over(slot))
-        .withColumn("end", F.col("first") + F.sum("copies").over(slot.orderBy("value")))
-        .withColumn("start", F.col("end") - F.col("copies"))
+    found = _holding_rank(_with_starts(third.agg(F.count(F.lit(1)).alias("rows")), "g", "i", "slot"))
+    merged = found.groupBy("g", "i").agg(
+        F.any_value("stats").alias("stats"),
+        *[_interpolated(2 * n, q).alias(name) for n, (name, q) in enumerate(QUARTILES.items())],
     )
-    quartiles = ranked.groupBy("g", "i").agg(
-        *[_interpolated(n, q).alias(name) for n, (name, q) in enumerate(QUARTILES.items())]
+    names = F.array(*map(F.lit, columns)) if columns else F.array(F.lit(""))
+    metric = F.get(names, F.col("i")).alias("metric")
+    out = [F.col("stats")[s].alias(s) if s not in QUARTILES else F.col(s) for s in STATISTICS]
+    return merged.select(*([F.col("g").alias(by)] if by else []), metric, *out)
+
+
+def _with_starts(buckets: DataFrame, *keys: str) -> DataFrame:
+    """Add the number of rows in earlier buckets."""
+    earlier = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return buckets.withColumn("start", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
+
+
+def _wanted_ranks(buckets: DataFrame) -> DataFrame:
+    """Six rows per column and group: a rank beside a quartile, the bucket that holds it, and the other statistics.
+
+    Moments of buckets add up to those of the column. A column without values has one row, whose bucket is null.
+    """
+    per_column = Window.partitionBy("g", "i")
+    total, weighted = F.sum("rows").over(per_column), F.sum(F.col("rows") * F.col("mean")).over(per_column)
+    centred = buckets.withColumns({"total": total, "centre": weighted / F.nullif(total, F.lit(0))})
+    squares = F.sum(F.col("rows") * (F.col("spread") + F.pow(F.col("mean") - F.col("centre"), F.lit(2.0))))
+    stats = F.struct(
+        F.sum("rows").alias("count"),
+        F.first("centre").alias("mean"),
+        F.when(F.sum("rows") > 1, F.sqrt(squares / (F.sum("rows") - 1))).alias("std"),
+        F.min("least").alias("min"),
+        F.max("most").alias("max"),
     )
-    rows = stats.select(
-        "g", F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("metric"), f"s{i}.*") for i, c in enumerate(columns)]))
+    slots = []
+    for q in QUARTILES.values():
+        for side in (F.floor, F.ceil):
+            rank = side(F.lit(q) * (F.col("total") - 1)).cast("long")
+            holds = (rank >= F.col("start")) & (rank < F.col("start") + F.col("rows"))
+            slots.append(F.max(F.when(holds, F.struct("part", (rank - F.col("start")).alias("rank")))))
+    merged = centred.groupBy("g", "i").agg(stats.alias("stats"), F.array(*slots).alias("slots"))
+    each = merged.select("g", "i", "stats", F.posexplode("slots").alias("slot", "at"))
+    return each.select("g", "i", "slot", F.col("at.rank").alias("rank"), "stats", F.col("at.part").alias("part"))
+
+
+def _at_most(df: DataFrame, column: str, many: int) -> bool:
+    """Whether a column has at most so many values (runs a job over that column)."""
+    return df.select(named(column)).distinct().limit(many + 1).count() <= many
+
+
+def _refined(values: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
+    """The values of the wanted buckets, once per wanted rank; ranks of empty columns stay with a null value."""
+    place = wanted.select(F.col("g").alias("_g"), F.col("i").alias("_i"), "slot", "rank", "stats", F.col("part").alias("_part"))
+    same = (
+        F.col("g").eqNullSafe(F.col("_g"))
+        & (F.col("i") == F.col("_i"))
+        & leading(F.col("bits"), bits).eqNullSafe(F.col("_part"))
     )
-    named_quartiles = quartiles.withColumnsRenamed({"g": "_g", "i": "_i"})
-    same = F.col("g").eqNullSafe(F.col("_g")) & (F.col("i") == F.col("_i"))
-    groups = [F.col("g").alias(by)] if by else []
-    return rows.join(named_quartiles, same, "left").select(*groups, "metric", *STATISTICS)
+    return values.join(place, same)
 
 
-def _interpolated(slot: int, quantile: float) -> Column:
-    """Aggregate over ranked values: the value at a fractional rank, between its two neighbours."""
-    rank = F.lit(quantile) * (F.col("total") - 1)
-    mine = F.col("n") == slot
+def _holding_rank(buckets: DataFrame) -> DataFrame:
+    """The bucket of each slot that holds its rank, with the rank inside; slots of empty columns stay."""
+    inside = F.col("rank") - F.col("start")
+    held = buckets.where(F.col("rank").isNull() | ((inside >= 0) & (inside < F.col("rows"))))
+    return held.withColumn("rank", inside)
 
-    def at(r: Column) -> Column:
-        return F.max(F.when(mine & (r >= F.col("start")) & (r < F.col("end")), F.col("value")))
 
-    low, high = at(F.floor(rank)), at(F.ceil(rank))
-    return low + (high - low) * F.max(F.when(mine, rank - F.floor(rank)))
+def _interpolated(slot: int, quantile: float) -> Column:
+    """Aggregate over the values of the slots: between the two ranks around a quantile."""
+    low, high = (F.max(F.when(F.col("slot") == s, F.col("value"))) for s in (slot, slot + 1))
+    rank = F.lit(quantile) * (F.any_value("stats.count") - 1)
+    return low + (high - low) * (rank - F.floor(rank))
 
 
 def describe_difference(users: DataFrame, columns: Sequence[str] | None = None, by: str = "churn") -> DataFrame:
