@@ -20,7 +20,7 @@ from ..schema import (
     SONG_PAGE,
     user_table_schema,
 )
-from .queries import REDELIVERED_FROM, SHORT_PAGES, WEEK, ZONE_COLUMNS
+from .queries import REDELIVERED_FROM, SHORT_PAGES, WEEK, WINDOWS, ZONE_COLUMNS
 
 LOG = """
 log AS (
@@ -367,6 +367,38 @@ ORACLE["user_features_with_inactive"] = select_users(
     f"SELECT {rounded([c for c in USER_COLUMNS])} FROM users", 3, inner="LEFT JOIN"
 )
 
+for _name, _days in (("incremental_user_features", ALL_DAYS), ("incremental_user_features_7d", WEEK)):
+    ORACLE[_name] = select_users(f"SELECT {rounded(USER_COLUMNS)} FROM users", _days)
+
+ORACLE["user_active_days"] = select_log(
+    ", last AS (SELECT \"userId\", max(event_date) AS date_to FROM dated GROUP BY 1) "
+    'SELECT d."userId", date_to, w.days, '
+    "count(DISTINCT event_date) FILTER (date_diff('day', event_date, date_to) < w.days) AS num_active_days, "
+    "nullif(count(DISTINCT event_date) FILTER (level = 'paid' AND date_diff('day', event_date, date_to) < w.days), 0) "
+    "AS num_active_days_paid "
+    'FROM dated d JOIN last l ON d."userId" = l."userId", '
+    f"(SELECT unnest({WINDOWS})::INT AS days) w GROUP BY ALL"
+)
+
+for _name, _days in (("user_features_pages", ALL_DAYS), ("user_features_pages_7d", WEEK)):
+    ORACLE[_name] = select_log(
+        f""", visits AS (
+          SELECT 'u' || (doc_id % 30) AS "userId", (DATE '{REDELIVERED_FROM}' + CAST(doc_id % 20 AS INTEGER))::DATE AS event_date,
+                 concat_ws(' ', 'Read', source, lang, (doc_id % 2500)::VARCHAR) AS page FROM documents
+        ), every AS (
+          SELECT "userId", event_date, page FROM dated UNION ALL SELECT * FROM visits
+          UNION ALL SELECT DISTINCT "userId", event_date, 'NextSong' FROM visits
+        ), kept AS (
+          SELECT e.* FROM every e JOIN (SELECT "userId", max(event_date) AS date_to FROM every GROUP BY 1) m
+          ON m."userId" = e."userId" AND date_diff('day', e.event_date, m.date_to) < {_days}
+        ), per_user AS (
+          SELECT "userId", count(*) FILTER (page = 'NextSong') AS num_songs, count(DISTINCT event_date) AS num_active_days
+          FROM kept GROUP BY 1
+        )
+        SELECT k."userId", num_songs, num_active_days, page, count(*) AS events
+        FROM kept k JOIN per_user p ON p."userId" = k."userId" WHERE num_songs > 0 AND page IS NOT NULL GROUP BY ALL"""
+    )
+
 TEST = f"(SELECT count(*) FROM users WHERE {SHARE} < 20)"
 ONE_FIT = select_users(f"SELECT {TEST} AS users, 0::BIGINT AS outside, 0::BIGINT AS contradicting, 0::BIGINT AS differing")
 for _kind in ("lr_predictions", "dt_predictions", "rf_predictions", "gbt_predictions", "model_roundtrip"):

@@ -13,15 +13,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import named, underscore_columns, underscored
-from ..operators import churn, clean, features, merge, metrics, profile, recency, split
-from ..plans import batch, scoring, training
+from ..operators import bitmaps, churn, clean, features, merge, metrics, profile, recency, split
+from ..plans import batch, incremental, scoring, training
 from ..schema import (
     ALL_DAYS,
     DATE_FIELDS,
     DAY_PARTITION,
+    EVENT_SCHEMA,
     EXPORT_FEATURES,
     LOG_COLUMNS,
     MODEL_FEATURES,
+    PAGE_MAP,
     PAGES,
     PART_FIELDS,
     RATIO_COLUMNS,
@@ -36,6 +38,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 WEEK = 7
+WINDOWS = [3, 7, 30, ALL_DAYS]
 SHORT_PAGES = ["NextSong", "Cancellation Confirmation", "Home", "Thumbs Up"]
 REDELIVERED_FROM = "2024-01-15"
 
@@ -271,7 +274,7 @@ def user_page_pivot_auto(spark, folder):
 @query("user_features_other_pages")
 def user_features_other_pages(spark, folder):
     """A short list of pages: all others are counted in one column."""
-    listed = features.chosen_pages(None, SHORT_PAGES)
+    listed = features.chosen_pages(SHORT_PAGES)
     users = features.user_features(dated_log(spark, folder), WEEK, listed)
     return underscore_columns(users.select("userId", *[named(p) for p in listed]))
 
@@ -383,6 +386,44 @@ def churn_feature_table(spark, folder, days):
     return rounded(underscore_columns(batch.churn_feature_table(activity_log(spark, folder), days)))
 
 
+@query("user_features_pages", days=ALL_DAYS)
+@query("user_features_pages_7d", days=WEEK)
+def user_features_pages(spark, folder, days):
+    """Page counts as one map for any number of pages; here a page per document source too. In long form."""
+    log = dated_log(spark, folder)
+    sources = read_table(spark, folder, "documents").select("doc_id", "source", "lang")
+    visits = sources.select(
+        F.date_add(F.lit(REDELIVERED_FROM).cast("date"), (F.col("doc_id") % 20).cast("int")).alias("event_date"),
+        F.concat(F.lit("u"), (F.col("doc_id") % 30).cast("string")).alias("userId"),
+        F.concat_ws(" ", F.lit("Read"), "source", "lang", (F.col("doc_id") % 2500).cast("string")).alias("page"),
+    )
+    songs = visits.withColumn("page", F.lit(SONG_PAGE)).distinct()
+    more = visits.unionByName(songs).withColumns({f.name: F.lit(None).cast(f.dataType) for f in EVENT_SCHEMA if f.name not in visits.columns})
+    more = more.withColumns({"registration_date": F.lit(None).cast("date"), "days_from_registration": F.lit(None).cast("int")})
+    users = features.user_features(log.unionByName(more), days, pages="map")
+    return users.select("userId", "num_songs", "num_active_days", F.explode(PAGE_MAP).alias("page", "events"))
+
+
+@query("user_active_days")
+def user_active_days(spark, folder):
+    """Active and paid days of the last 3, 7, 30 and 3000 days, all from one table of bitmaps."""
+    return bitmaps.active_days(bitmaps.user_day_bitmaps(dated_log(spark, folder)), WINDOWS)
+
+
+@query("incremental_user_features", days=ALL_DAYS)
+@query("incremental_user_features_7d", days=WEEK)
+def incremental_user_features(spark, folder, days):
+    """Three deliveries, the second of them out of order and the last one given twice: the user table of the whole log."""
+    state = incremental.UserState(spark, new_folder(spark, "user-state"), days, buckets=8, churn=False)
+    log = dated_log(spark, folder)
+    late = F.pmod(F.xxhash64("userId"), F.lit(3)) == 0
+    early = F.col("event_date") < REDELIVERED_FROM
+    for number, part in enumerate([early & ~late, ~early, early & late]):
+        state.apply(log.where(part), number)
+    state.apply(log.where(early & late), 2)
+    return rounded(underscore_columns(features.with_page_columns(state.users(), PAGES)))
+
+
 # --- streaming -----------------------------------------------------------------------------------------------
 
 

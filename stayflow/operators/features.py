@@ -14,9 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import named, ratio, text
+from ..functions.columns import named, quoted, ratio, text
 from ..functions.dates import span_days, window_start
-from ..schema import ALL_DAYS, CHURN_PAGE, OTHER_PAGES, PAGES, PAID_LEVEL, SONG_PAGE, user_table_schema
+from ..functions.maps import total_counts
+from ..schema import ALL_DAYS, CHURN_PAGE, OTHER_PAGES, PAGE_MAP, PAGES, PAID_LEVEL, SONG_PAGE, user_table_schema
 
 # --- metric groups over events that already carry date_from and date_to -------------------------------------
 
@@ -55,25 +56,15 @@ def on_page(page: str, pages: Sequence[str]) -> str:
     return f"page NOT IN ({', '.join(listed)})" if listed else "page IS NOT NULL"
 
 
-MAX_PAGES = 1000
+def distinct_pages(events: DataFrame) -> list[str]:
+    """The page names that occur (runs a job); each is to become a column, which only the driver can name."""
+    return [r.page for r in events.where("page is not null").select("page").distinct().orderBy("page").collect()]
 
 
-def distinct_pages(events: DataFrame, most: int = MAX_PAGES) -> list[str]:
-    """The page names that occur (runs a job).
-
-    Each becomes a column, so a log with more than ``most`` of them (broken page texts, for example) is an error and
-    no list is cut short.
-    """
-    found = events.where("page is not null").select("page").distinct().orderBy("page").limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"more than {most} different pages; give a list, the others are counted as {OTHER_PAGES}")
-    return [r.page for r in found]
-
-
-def chosen_pages(events: DataFrame, pages: Sequence[str] | str) -> list[str]:
-    """``auto``: the pages that occur; a list: these, and one column for all the others."""
+def chosen_pages(pages: Sequence[str] | str) -> list[str] | str:
+    """A list: these, and one column for all the others; ``auto`` and ``map`` stay."""
     if isinstance(pages, str):
-        return distinct_pages(events)
+        return pages
     return [*pages, *([] if OTHER_PAGES in pages else [OTHER_PAGES])]
 
 
@@ -122,8 +113,11 @@ def _sums(names: Sequence[str]) -> list[Column]:
     return [F.expr(f"sum({named(n)}) AS {named(n)}") for n in names]
 
 
-def daily_activity(dated: DataFrame, pages: Sequence[str] = PAGES) -> DataFrame:
-    """One row per user and day: page counts, play time, level, and the songs and artists last played that day."""
+def daily_activity(dated: DataFrame, pages: Sequence[str] = PAGES, page_map: bool = False) -> DataFrame:
+    """One row per user and day: page counts, play time, level, and the songs and artists last played that day.
+
+    ``page_map`` adds the counts of all pages, whatever they are, as one map.
+    """
     is_play = F.col("page") == SONG_PAGE
     events = dated.select(
         "userId",
@@ -170,6 +164,7 @@ def daily_activity(dated: DataFrame, pages: Sequence[str] = PAGES) -> DataFrame:
             F.sum("unregistered").alias("unregistered"),
             F.count("song").alias("songs"),
             F.count("artist").alias("artists"),
+            *([_page_entries("page", "events").alias(PAGE_MAP)] if page_map else []),
         )
     )
     # Few rows per user and day are left, so one task per user is enough from here on.
@@ -181,18 +176,29 @@ def daily_activity(dated: DataFrame, pages: Sequence[str] = PAGES) -> DataFrame:
             F.max(_paid_flag(F.col("level"))).alias("paid"),
             F.min("registered").alias("registered"),
             *_sums([*pages, "play_length", "unregistered", "songs", "artists"]),
+            *([total_counts(F.collect_list(PAGE_MAP)).alias(PAGE_MAP)] if page_map else []),
         )
     )
 
 
+def _page_entries(page: str, events: str) -> Column:
+    """Aggregate: a map of the rows' pages, each of which occurs in one row."""
+    entry = F.struct(F.col(page).alias("key"), F.col(events).alias("value"))
+    return F.map_from_entries(F.collect_list(F.when(F.col(page).isNotNull(), entry)))
+
+
 def users_from_daily(
     daily: DataFrame,
     days: int = ALL_DAYS,
     pages: Sequence[str] = PAGES,
     keep_inactive: bool = False,
     churn: bool = False,
+    page_map: bool = False,
 ) -> DataFrame:
-    """Roll ``daily_activity`` rows up to users over each user's last ``days`` days."""
+    """Roll ``daily_activity`` rows up to users over each user's last ``days`` days.
+
+    ``page_map``: the page counts are one map, in the place of the columns of ``pages``.
+    """
     per_user = Window.partitionBy("userId")
     marked = daily.withColumn("date_to", F.max("event_date").over(per_user))
     if churn:
@@ -212,14 +218,14 @@ def users_from_daily(
         F.max("date_to").alias("date_to"),
         F.min("registered").alias("registration_date"),
         F.nullif(F.sum("paid"), F.lit(0)).alias("num_active_days_paid"),
-        *_sums(pages),
+        *([total_counts(F.collect_list(PAGE_MAP)).alias(PAGE_MAP)] if page_map else _sums(pages)),
         F.min(F.when(F.col("event_date") == F.col("date_to"), F.col("level"))).alias("current_level"),
         *([F.coalesce(F.max("churn"), F.lit(0)).alias("churn")] if churn else []),
     )
     users = users.withColumn("current_level_paid", _paid_flag(F.col("current_level")))
     if not keep_inactive:
         users = users.where(F.col("num_songs") > 0)
-    return with_ratios(users).selectExpr(*map(named, user_columns(pages, churn)))
+    return with_ratios(users).selectExpr(*map(named, user_columns([PAGE_MAP] if page_map else pages, churn)))
 
 
 def user_columns(pages: Sequence[str] = PAGES, churn: bool = False) -> list[str]:
@@ -230,21 +236,42 @@ def user_columns(pages: Sequence[str] = PAGES, churn: bool = False) -> list[str]
 def user_features(
     dated: DataFrame,
     days: int = ALL_DAYS,
-    pages: Sequence[str] = PAGES,
+    pages: Sequence[str] | str = PAGES,
     keep_inactive: bool = False,
     churn: bool = False,
 ) -> DataFrame:
     """The wide user table over each user's last ``days`` days of valid, dated events.
 
-    Users without a played song in the window are left out unless ``keep_inactive``. ``churn`` adds the flag from
-    the same pass.
+    ``pages``: one column for each page of a list; ``map``, one map of counts in the column ``pages`` for any number of
+    pages; ``auto``, one column for each page that occurs, read off that map. Users without a played song in the window
+    are left out unless ``keep_inactive``. ``churn`` adds the flag from the same pass.
     """
+    if isinstance(pages, str):
+        special = [SONG_PAGE, CHURN_PAGE]
+        daily = daily_activity(dated, special, page_map=True)
+        users = users_from_daily(daily, days, special, keep_inactive, churn, page_map=True)
+        return users if pages == "map" else with_page_columns(users, distinct_pages(dated))
     needed = [*pages, *[p for p in (SONG_PAGE, CHURN_PAGE) if p not in pages]]
     if OTHER_PAGES in pages and needed != [*pages]:
         raise ValueError(f"a list with {OTHER_PAGES} must name {SONG_PAGE} and {CHURN_PAGE}")
     return users_from_daily(daily_activity(dated, needed), days, pages, keep_inactive, churn)
 
 
+def with_page_columns(users: DataFrame, pages: Sequence[str]) -> DataFrame:
+    """The map of page counts as one column per page of a list, null where there are none.
+
+    The map is taken apart into rows and pivoted, so the work grows with the counts that are there and not with
+    users times pages.
+    """
+    rows = users.select(F.col("userId").alias("_user"), F.explode(PAGE_MAP).alias("_page", "_events"))
+    counts = rows.groupBy("_user").pivot("_page", list(pages)).agg(F.sum("_events"))
+    counts = counts.withColumnsRenamed({p: f"_page {p}" for p in pages})
+    joined = users.join(counts, F.col("userId") == F.col("_user"), "left")
+    place = users.columns.index(PAGE_MAP)
+    page_columns = [F.col(named(f"_page {p}")).alias(p) for p in pages]
+    return joined.select(*quoted(users.columns[:place]), *page_columns, *quoted(users.columns[place + 1 :]))
+
+
 # --- column choice -------------------------------------------------------------------------------------------
 
 

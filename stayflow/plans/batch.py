@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.columns import underscore_columns
 from ..operators.clean import add_dates, valid_events
-from ..operators.features import choose_features, chosen_pages, distinct_pages, user_features
+from ..operators.features import choose_features, chosen_pages, user_features
 from ..schema import ALL_DAYS, EXPORT_FEATURES, PAGES
 from ..sources.files import read_events, write_user_table
-from ..sources.lake import read_zone, write_users
+from ..sources.lake import read_zone
+from ..sources.versions import read_newest, write_version
 
 
-def churn_user_table(events: DataFrame, days: int = ALL_DAYS, pages: Sequence[str] = PAGES) -> DataFrame:
+def churn_user_table(events: DataFrame, days: int = ALL_DAYS, pages: Sequence[str] | str = PAGES) -> DataFrame:
     """The wide user table with the churn flag, from raw events in one pass."""
     dated = events.transform(valid_events).transform(add_dates)
     return user_features(dated, days, pages, churn=True)
@@ -43,13 +44,13 @@ def run_features(
     are counted in ``other_pages``. The export columns are always there.
     """
     events = read_events(spark, source)
-    chosen = chosen_pages(valid_events(events), pages) if wide else PAGES
+    chosen = chosen_pages(pages) if wide else PAGES
     users = churn_user_table(events, days, chosen)
     out = users.na.fill(0) if wide else choose_features(users, EXPORT_FEATURES)
     write_user_table(out, target, files, mode)
 
 
-def gold_users(silver: DataFrame, days: int = ALL_DAYS, pages: Sequence[str] = PAGES) -> DataFrame:
+def gold_users(silver: DataFrame, days: int = ALL_DAYS, pages: Sequence[str] | str = PAGES) -> DataFrame:
     """The wide user table of the silver zone, with column names free of blanks."""
     return underscore_columns(user_features(silver, days, pages))
 
@@ -57,8 +58,9 @@ def gold_users(silver: DataFrame, days: int = ALL_DAYS, pages: Sequence[str] = P
 def rebuild_gold(
     spark: SparkSession, silver_path: str, gold_path: str, days: int = ALL_DAYS, pages: Sequence[str] | str = "auto"
 ) -> DataFrame:
-    """``pages``: ``auto`` for the pages that occur, or exactly the given ones."""
-    silver = read_zone(spark, silver_path)
-    listed = distinct_pages(silver) if isinstance(pages, str) else list(pages)
-    write_users(gold_users(silver, days, listed), gold_path)
-    return spark.read.parquet(gold_path)
+    """A new version of the user table; readers of the version before are not disturbed.
+
+    ``pages``: ``auto`` for the pages that occur, ``map`` for one map of counts, or exactly the given ones.
+    """
+    write_version(gold_users(read_zone(spark, silver_path), days, pages), gold_path)
+    return read_newest(spark, gold_path)

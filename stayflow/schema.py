@@ -52,6 +52,7 @@ PAGES = [
     "Thumbs Up",
     "Upgrade",
 ]
+PAGE_MAP = "pages"  # column with the counts of all pages as one map
 OTHER_PAGES = "other_pages"  # events on pages that a given list does not name
 SONG_PAGE = "NextSong"
 CHURN_PAGE = "Cancellation Confirmation"

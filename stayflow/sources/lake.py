@@ -1,4 +1,4 @@
-"""Event zones and user tables kept as Parquet folders."""
+"""Event zones kept as Parquet folders."""
 
 from __future__ import annotations
 
@@ -59,8 +59,3 @@ def read_partitions(
 def read_days(spark: SparkSession, path: str, days: Sequence[str], schema: T.StructType = ZONE_SCHEMA) -> DataFrame:
     """The rows of some days (``yyyy-MM-dd``) of a zone that is partitioned by year, month and day."""
     return read_partitions(spark, path, [d.split("-") for d in days], DAY_PARTITION, schema)
-
-
-def write_users(users: DataFrame, path: str) -> None:
-    """Replace a user table; it must not be part of its own input."""
-    users.write.mode("overwrite").parquet(path)

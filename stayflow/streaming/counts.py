@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import parse_json_lines
+from ..sources.versions import versions
 from .runs import triggered
 
 COUNT_SCHEMA = "Page string, count bigint"
@@ -45,14 +46,10 @@ def keep_latest(counts: DataFrame, path: str, checkpoint: str, every: str | None
 
 def latest_counts(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete result; a folder is complete once its success mark is there."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    marks = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(
-        spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, "batch=*/_SUCCESS")
-    )
-    batches = [int(m.getPath().getParent().getName().removeprefix("batch=")) for m in marks or []]
+    batches = versions(spark, path, "batch")
     if not batches:
         return spark.createDataFrame([], COUNT_SCHEMA)
-    return spark.read.schema(COUNT_SCHEMA).parquet(f"{path}/batch={max(batches)}")
+    return spark.read.schema(COUNT_SCHEMA).parquet(f"{path}/batch={batches[-1]}")
 
 
 def live_totals(baseline: DataFrame, counts: DataFrame) -> DataFrame:
