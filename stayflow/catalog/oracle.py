@@ -307,6 +307,13 @@ ORACLE: dict[str, str] = {
     "stream_raw_lines": select_log(f"SELECT {LINE} AS value FROM log"),
     "stream_bronze": select_log(f"SELECT {ZONE} FROM parts"),
     "stream_silver": select_log(f"SELECT {ZONE} FROM parts"),
+    "stream_silver_recent": select_log(f"SELECT {ZONE} FROM parts"),
+    "stream_users": select_users(f"SELECT {rounded(USER_COLUMNS)} FROM users"),
+    "stream_quarantine": select_log(
+        "SELECT 'broken' AS zone, md5('doc ' || doc_id || ' ' || translate(text, chr(13) || chr(10), '  ')) AS line "
+        "FROM documents WHERE trim(text) <> '' "
+        "UNION ALL SELECT 'silver', ts || ' ' || \"userId\" FROM parts"
+    ),
     "stream_silver_nodedup": select_log(f"SELECT {ZONE} FROM parts UNION ALL SELECT {ZONE} FROM parts"),
     "stream_silver_rejects": select_log(
         "SELECT 'silver' AS zone, count(*) AS events, count(DISTINCT \"userId\") AS users FROM parts "

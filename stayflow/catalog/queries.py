@@ -488,37 +488,81 @@ def stream_silver_rejects(spark, folder):
     return both.groupBy("zone").agg(F.count(F.lit(1)).alias("events"), F.count_distinct("userId").alias("users"))
 
 
-def _streamed_counts(spark, lines: DataFrame, counter) -> tuple[DataFrame, object]:
+def _streamed_counts(spark, lines: DataFrame, counter) -> DataFrame:
     incoming, out = new_folder(spark, "incoming"), new_folder(spark, "counts")
     _deliver(lines, incoming)
     stream = files.stream_lines(spark, incoming, 2)
-    run = runs.drain(counts.keep_latest(counter(stream), out, new_folder(spark, "checkpoint")))
-    return counts.latest_counts(spark, out), run
+    runs.drain(counts.keep_latest(counter(stream), out, new_folder(spark, "checkpoint")))
+    return counts.latest_counts(spark, out)
 
 
 @query("stream_token_counts")
 def stream_token_counts(spark, folder):
     lines = activity_log(spark, folder).select(F.col("page").alias("value"))
-    return _streamed_counts(spark, lines, counts.token_counts)[0]
+    return _streamed_counts(spark, lines, counts.token_counts)
 
 
 @query("stream_page_counts")
 def stream_page_counts(spark, folder):
-    return _streamed_counts(spark, json_lines(activity_log(spark, folder)), counts.page_counts)[0]
+    return _streamed_counts(spark, json_lines(activity_log(spark, folder)), counts.page_counts)
 
 
 @query("live_page_totals")
 def live_page_totals(spark, folder):
     log = activity_log(spark, folder)
     baseline = profile.live_baseline(batch.churn_user_table(log), PAGES)
-    streamed = _streamed_counts(spark, json_lines(log), counts.page_counts)[0]
+    streamed = _streamed_counts(spark, json_lines(log), counts.page_counts)
     return counts.live_totals(baseline, streamed)
 
 
 @query("stream_progress")
 def stream_progress(spark, folder):
-    run = _streamed_counts(spark, json_lines(activity_log(spark, folder)), counts.page_counts)[1]
-    return runs.progress(spark, run).groupBy("name").agg(F.sum("input_rows").alias("input_rows"))
+    """All batches of a streaming count, as a listener has logged them."""
+    incoming = new_folder(spark, "incoming")
+    _deliver(json_lines(activity_log(spark, folder)), incoming)
+    with runs.ProgressLog(spark, new_folder(spark, "progress")) as log:
+        counted = counts.page_counts(files.stream_lines(spark, incoming, 2))
+        log.wait(runs.drain(counts.keep_latest(counted, new_folder(spark, "counts"), new_folder(spark, "checkpoint"))))
+    return log.table().groupBy("name").agg(F.sum("input_rows").alias("input_rows"))
+
+
+@query("stream_silver_recent")
+def stream_silver_recent(spark, folder):
+    """The deliveries of ``stream_silver`` with recent copies dropped by the state store: the same rows."""
+    incoming, zone = new_folder(spark, "incoming"), _new_lake(spark)
+    log = activity_log(spark, folder)
+    early = log.where(clean.day_of(F.col("ts")) < REDELIVERED_FROM)
+    _deliver(json_lines(early.union(early)), incoming)
+    zones.ingest(spark, incoming, zone, recent="2 hours")
+    _deliver(json_lines(log), incoming)
+    return zones.ingest(spark, incoming, zone, recent="2 hours").select(*ZONE_COLUMNS)
+
+
+@query("stream_quarantine")
+def stream_quarantine(spark, folder):
+    """The log among all documents, which are no JSON: these are kept as they came, and the log arrives whole."""
+    incoming, zone = new_folder(spark, "incoming"), _new_lake(spark)
+    noise = read_table(spark, folder, "documents").where("trim(text) <> ''")
+    lines = noise.select(F.concat_ws(" ", F.lit("doc"), F.col("doc_id").cast("string"), F.translate("text", "\r\n", "  ")).alias("value"))
+    _deliver(json_lines(activity_log(spark, folder)).unionByName(lines), incoming)
+    silver = zones.ingest(spark, incoming, zone)
+    broken = zones.read_broken(spark, zone).select(F.lit("broken").alias("zone"), F.md5("raw").alias("line"))
+    kept = silver.select(F.lit("silver").alias("zone"), F.concat_ws(" ", "ts", "userId").alias("line"))
+    return broken.unionByName(kept)
+
+
+@query("stream_users")
+def stream_users(spark, folder):
+    """The user table kept up to date from silver over two deliveries."""
+    incoming, zone = new_folder(spark, "incoming"), _new_lake(spark)
+    log = activity_log(spark, folder)
+    _deliver(json_lines(log.where(clean.day_of(F.col("ts")) < REDELIVERED_FROM)), incoming)
+    for _ in range(2):
+        zones.ingest(spark, incoming, zone)
+        runs.drain(zones.write_users(spark, zone, buckets=8, churn=False))
+        _deliver(json_lines(log), incoming)
+    users = zones.user_state(spark, zone, churn=False).users()
+    return rounded(underscore_columns(features.with_page_columns(users, PAGES)))
 
 
 # --- vectors, splits, scorecards -----------------------------------------------------------------------------

@@ -33,6 +33,16 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     system.delete(folder, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, replacing one of that name."""
+    system, file = _system(spark, path)
+    out = system.create(file, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def write_version(df: DataFrame, path: str, version: int | None = None, kept: int = KEPT) -> int:
     """Write the next version (or a given one, over what an interrupted attempt has left) and remove all but the last ``kept``."""
     spark = df.sparkSession
