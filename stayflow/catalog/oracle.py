@@ -387,6 +387,32 @@ ORACLE["user_active_days"] = select_log(
     f"(SELECT unnest({WINDOWS})::INT AS days) w GROUP BY ALL"
 )
 
+ORACLE["stream_token_changes"] = ORACLE["stream_token_counts"]
+ORACLE["packed_days"] = select_log(
+    'SELECT event_date, count(*) AS events, count(DISTINCT "userId") AS users, 1::BIGINT AS files FROM dated GROUP BY 1'
+)
+_PAIRS = list(combinations([underscored(c) for c in EXPORT_FEATURES], 2))
+_CUTS = ", ".join(
+    f'quantile_cont(coalesce("{c}", 0)::DOUBLE, {q}) AS "{c}_{i}"'
+    for c in map(underscored, EXPORT_FEATURES)
+    for i, q in enumerate((0.25, 0.5, 0.75))
+)
+
+
+def _bin(c: str) -> str:
+    """Bins count different limits only."""
+    return f'len(list_filter(list_distinct(["{c}_0", "{c}_1", "{c}_2"]), lambda x: coalesce("{c}", 0)::DOUBLE > x))::INT'
+
+
+ORACLE["joint_histograms"] = select_users(
+    f"SELECT \"left\", \"right\", left_bin, right_bin, count(*) AS users FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{a}' AS \"left\", '{b}' AS \"right\", {_bin(a)} AS left_bin, {_bin(b)} AS right_bin FROM users, (SELECT {_CUTS} FROM users)"
+        for a, b in _PAIRS
+    )
+    + ") GROUP BY ALL"
+)
+
 for _name, _days in (("user_features_pages", ALL_DAYS), ("user_features_pages_7d", WEEK)):
     ORACLE[_name] = select_log(
         f""", visits AS (

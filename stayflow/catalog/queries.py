@@ -140,6 +140,20 @@ def scan_partitioned(spark, folder):
     return days.groupBy("event_date", "userId").agg(F.count(F.lit(1)).alias("events"))
 
 
+@query("packed_days")
+def packed_days(spark, folder):
+    """A zone that grew in many small files, packed: its rows, and how many files each day has."""
+    path = new_folder(spark, "zone")
+    log = clean.add_date_parts(valid_log(spark, folder)).repartition(4)
+    for part in range(3):
+        log.where(F.pmod(F.xxhash64("ts"), F.lit(3)) == part).write.mode("append").partitionBy(*DAY_PARTITION).parquet(path)
+    lake.pack_days(spark, path)
+    rows = lake.read_zone(spark, path).select("event_date", "userId", F.col("_metadata.file_path").alias("file"))
+    return rows.groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("events"), F.count_distinct("userId").alias("users"), F.count_distinct("file").alias("files")
+    )
+
+
 @query("gold_user_features")
 def gold_user_features(spark, folder):
     return rounded(batch.rebuild_gold(spark, _zone(spark, folder), new_folder(spark, "gold"), pages=PAGES))
@@ -365,6 +379,14 @@ def feature_correlation(spark, folder):
     return rounded(profile.feature_correlation(users, [underscored(c) for c in EXPORT_FEATURES]))
 
 
+@query("joint_histograms")
+def joint_histograms(spark, folder):
+    """The 45 pairs of export features, each cut at its quartiles."""
+    users = stored(underscore_columns(batch.churn_feature_table(activity_log(spark, folder))), "users")
+    columns = [underscored(c) for c in EXPORT_FEATURES]
+    return profile.joint_histograms(users, columns, profile.quartile_cuts(users, columns))
+
+
 # --- user table ----------------------------------------------------------------------------------------------
 
 
@@ -502,6 +524,17 @@ def stream_token_counts(spark, folder):
     return _streamed_counts(spark, lines, counts.token_counts)
 
 
+@query("stream_token_changes")
+def stream_token_changes(spark, folder):
+    """Token counts kept by the changes of each batch."""
+    lines = activity_log(spark, folder).select(F.col("page").alias("value"))
+    incoming, out = new_folder(spark, "incoming"), new_folder(spark, "changes")
+    _deliver(lines, incoming)
+    counted = counts.token_counts(files.stream_lines(spark, incoming, 1))
+    runs.drain(counts.keep_changes(counted, out, new_folder(spark, "checkpoint"), fold=3))
+    return counts.changed_counts(spark, out)
+
+
 @query("stream_page_counts")
 def stream_page_counts(spark, folder):
     return _streamed_counts(spark, json_lines(activity_log(spark, folder)), counts.page_counts)

@@ -203,5 +203,31 @@ def feature_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return row.select(F.inline(F.array(*entries)))
 
 
+def quartile_cuts(df: DataFrame, columns: Sequence[str]) -> dict[str, list[float]]:
+    """The quartiles of each column as limits of bins (runs a job); a column without values has none."""
+    rows = {r["metric"]: r for r in describe(df, columns).collect()}
+    return {c: sorted({rows[c][q] for q in QUARTILES} - {None}) if c in rows else [] for c in columns}
+
+
+def joint_histograms(df: DataFrame, columns: Sequence[str], cuts: dict[str, Sequence[float]]) -> DataFrame:
+    """Rows per pair of bins of every pair of columns, one row per bin pair that occurs, in one scan.
+
+    Bin ``k`` of a column holds the values above ``k`` of its sorted limits; rows with a null in a pair are left out of that pair. The
+    pairs of a row are counted before the shuffle, which then carries at most one row per bin pair and task.
+    """
+    bins = dict(zip(columns, quoted(columns)))
+    bins = {
+        c: F.when(v.isNotNull(), sum(((v > float(cut)).cast("int") for cut in sorted(cuts[c])), F.lit(0))) for c, v in bins.items()
+    }
+    pairs = F.array(
+        *[
+            F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), bins[a].alias("left_bin"), bins[b].alias("right_bin"))
+            for a, b in combinations(columns, 2)
+        ]
+    )
+    rows = df.select(F.inline(pairs)).where("left_bin is not null and right_bin is not null")
+    return rows.groupBy("left", "right", "left_bin", "right_bin").agg(F.count(F.lit(1)).alias("users"))
+
+
 def prediction_counts(scored: DataFrame) -> DataFrame:
     return scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("users"))

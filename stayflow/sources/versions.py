@@ -28,6 +28,23 @@ def versions(spark: SparkSession, path: str, key: str = "version") -> list[int]:
     return numbered(spark, path, key, "/_SUCCESS")
 
 
+def sizes_below(spark: SparkSession, path: str, depth: int) -> dict[str, list[int]]:
+    """Sizes of the data files of each folder ``depth`` levels below ``path``, by the folder's relative name."""
+    system, root = _system(spark, path)
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "/".join(["*=*"] * depth + ["[!_.]*"]))
+    base = system.makeQualified(root).toString().rstrip("/") + "/"
+    found: dict[str, list[int]] = {}
+    for status in system.globStatus(pattern) or []:
+        if status.isFile():
+            found.setdefault(status.getPath().getParent().toString().removeprefix(base), []).append(status.getLen())
+    return found
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, folder = _system(spark, path)
+    return system.exists(folder)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     system, folder = _system(spark, path)
     system.delete(folder, True)

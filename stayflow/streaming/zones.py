@@ -23,7 +23,7 @@ from ..operators.merge import EVENT_KEY, dedup_events, missing_from
 from ..plans.incremental import UserState
 from ..schema import ALL_DAYS, DAY_PARTITION, EVENT_SCHEMA, ZONE_SCHEMA
 from ..sources.files import stream_lines
-from ..sources.lake import read_partitions, read_zone, write_zone, zone_exists
+from ..sources.lake import mark_followed, read_partitions, read_zone, write_zone, zone_exists
 from ..sources.versions import versions
 from .runs import drain, triggered
 
@@ -196,7 +196,11 @@ def write_users(
     bytes_per_batch: int = BYTES_PER_BATCH,
     **options,
 ) -> StreamingQuery:
-    """Keep the user table up to date with what has been inserted into silver; only the touched users are rebuilt."""
+    """Keep the user table up to date with what has been inserted into silver; only the touched users are rebuilt.
+
+    Every file of silver counts once, so silver is marked as followed and ``pack_days`` leaves it alone.
+    """
+    mark_followed(spark, lake.data("silver"))
     reader = spark.readStream.schema(ZONE_SCHEMA).option("maxBytesPerTrigger", bytes_per_batch)
 
     def apply(batch: DataFrame, number: int) -> None:

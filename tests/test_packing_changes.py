@@ -1,0 +1,118 @@
+"""Packing of small files, counts kept by their changes, joint histograms."""
+
+import random
+from collections import Counter
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from log_data import frame, random_rows
+from stayflow.operators import clean, profile
+from stayflow.schema import DAY_PARTITION
+from stayflow.session import new_folder
+from stayflow.sources import files, lake, versions
+from stayflow.streaming import counts, runs
+
+
+def zone(spark, seed=70, parts=4):
+    path = new_folder(spark, "zone")
+    log = clean.add_date_parts(frame(spark, random_rows(seed, events=800)))
+    for k in range(2):
+        rows = log.where(f"pmod(xxhash64(ts), 2) = {k}").repartition(parts)
+        rows.write.mode("append").partitionBy(*DAY_PARTITION).parquet(path)
+    return path
+
+
+def day_files(spark, path):
+    return {k: len(v) for k, v in versions.sizes_below(spark, path, 3).items()}
+
+
+def test_small_files_are_packed_and_rows_stay(spark):
+    path = zone(spark)
+    before = lake.read_zone(spark, path).collect()
+    counted = day_files(spark, path)
+    packed = lake.pack_days(spark, path)
+    assert sorted(packed) == sorted(d for d, n in counted.items() if n > 1) and len(packed) > 20
+    assert set(day_files(spark, path).values()) == {1} and day_files(spark, path).keys() == counted.keys()
+    assert sorted(map(repr, lake.read_zone(spark, path).collect())) == sorted(map(repr, before))
+    assert lake.pack_days(spark, path) == []  # nothing is left to do
+
+
+def test_other_days_are_untouched(spark):
+    path = zone(spark)
+    lake.pack_days(spark, path)
+    names = sorted(lake.read_zone(spark, path).inputFiles())
+    more = clean.add_date_parts(frame(spark, random_rows(71, events=600)))
+    more = more.where("event_month = '10' and event_day = '12'").repartition(3)
+    more.write.mode("append").partitionBy(*DAY_PARTITION).parquet(path)
+    assert lake.pack_days(spark, path) == ["event_year=2018/event_month=10/event_day=12"]
+    after = sorted(lake.read_zone(spark, path).inputFiles())
+    assert {n for n in names if "event_day=12" not in n} <= set(after) and len(after) == len(names)
+
+
+def test_large_days_keep_several_files_and_jobs_are_bounded(spark, monkeypatch):
+    path = zone(spark, parts=8)
+    sizes = versions.sizes_below(spark, path, 3)
+    n = lake.read_zone(spark, path).count()
+    monkeypatch.setattr(lake, "DAYS_PER_JOB", 7)
+    lake.pack_days(spark, path, file_bytes=sum(map(sum, sizes.values())) // len(sizes) // 3)
+    assert lake.read_zone(spark, path).count() == n
+    now = day_files(spark, path)
+    assert all(now[d] <= len(sizes[d]) for d in now) and 1 < max(now.values()) < 8
+
+
+def test_a_followed_zone_is_refused(spark):
+    path = zone(spark)
+    lake.mark_followed(spark, path)
+    lake.mark_followed(spark, path)
+    with pytest.raises(ValueError):
+        lake.pack_days(spark, path)
+    assert lake.read_zone(spark, path).count() > 0  # the mark is no data
+
+
+def test_counts_by_changes(spark):
+    """A batch writes the keys that it has changed and no others; folding loses nothing."""
+    incoming, out, checkpoint = (new_folder(spark, n) for n in ("incoming", "changes", "ckpt"))
+    rng = random.Random(5)
+    total, written = Counter(), []
+    for batch in range(7):
+        words = [rng.choice("abcdefgh") * (1 + batch % 3) for _ in range(5)]
+        total.update(words)
+        spark.createDataFrame([(" ".join(words),)], "value string").coalesce(1).write.mode("append").text(incoming)
+        runs.drain(counts.keep_changes(counts.token_counts(files.stream_lines(spark, incoming)), out, checkpoint, fold=3))
+        assert {r["Page"]: r["count"] for r in counts.changed_counts(spark, out).collect()} == total
+        newest = versions.versions(spark, f"{out}/changes", "batch")
+        if newest:
+            rows = spark.read.parquet(f"{out}/changes/batch={newest[-1]}").collect()
+            assert {r["Page"]: r["count"] for r in rows} == {w: total[w] for w in set(words)}
+            written.append(len(rows))
+    assert written and max(written) <= 5
+    assert len(versions.versions(spark, f"{out}/changes", "batch")) < 3
+    assert 1 <= len(versions.versions(spark, f"{out}/whole", "batch")) <= 2
+
+
+def test_no_changes_yet(spark):
+    assert counts.changed_counts(spark, new_folder(spark, "changes")).count() == 0
+
+
+def test_joint_histograms(spark):
+    rng = np.random.default_rng(3)
+    columns = ["a b", "c", "d", "e"]
+    data = [
+        (float(rng.integers(5)), float(rng.normal()), None if rng.random() < 0.3 else float(rng.integers(90)), None) for _ in range(400)
+    ]
+    df = spark.createDataFrame(data, "`a b` double, c double, d double, e double").repartition(4)
+    cuts = profile.quartile_cuts(df, columns)
+    assert cuts["e"] == [] and len(cuts["c"]) == 3
+    assert np.allclose(cuts["c"], np.quantile([r[1] for r in data], [0.25, 0.5, 0.75]))
+    want = Counter()
+    for row in data:
+        for i, j in combinations(range(4), 2):
+            if row[i] is not None and row[j] is not None:
+                bins = [sum(row[k] > cut for cut in cuts[columns[k]]) for k in (i, j)]
+                want[(columns[i], columns[j], *bins)] += 1
+    joint = profile.joint_histograms(df, columns, cuts)
+    text = joint._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in text and text.count("Exchange hashpartitioning") == 1
+    assert {(r.left, r.right, r.left_bin, r.right_bin): r.users for r in joint.collect()} == want
