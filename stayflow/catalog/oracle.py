@@ -441,12 +441,12 @@ for _kind in ("lr_predictions", "dt_predictions", "rf_predictions", "gbt_predict
 def combinations_of(*grids: tuple[str, list[str]], folds: int) -> str:
     """Every combination of the families' grids, in order."""
     rows = [
-        f"('{family}', {i}, '{params}', {folds}, true)" for family, listed in grids for i, params in enumerate(listed)
+        f"('{family}', {i}, '{params}', {folds}, true, true)" for family, listed in grids for i, params in enumerate(listed)
     ]
     return (
-        "SELECT family, combination::INT AS combination, params, folds::INT AS folds, valid FROM (VALUES "
+        "SELECT family, combination::INT AS combination, params, folds::INT AS folds, valid, rechecked FROM (VALUES "
         + ", ".join(rows)
-        + ") AS t(family, combination, params, folds, valid)"
+        + ") AS t(family, combination, params, folds, valid, rechecked)"
     )
 
 
@@ -466,7 +466,7 @@ ORACLE |= {
     "dt_leaf_shares": select_users(
         f"SELECT sum(churn)::BIGINT AS churned, sum(churn)::DOUBLE AS expected FROM users WHERE {SHARE} >= 20"
     ),
-    "lr_coefficients": "SELECT feature, true AS finite, true AS balanced FROM (VALUES "
+    "lr_coefficients": "SELECT feature, true AS finite, true AS balanced, true AS solved FROM (VALUES "
     + ", ".join(f"('{c}')" for c in MODEL)
     + ") AS t(feature)",
     "prediction_counts": select_users("SELECT prediction, count(*) AS users FROM cards GROUP BY 1", more=SCORES),
@@ -474,14 +474,21 @@ ORACLE |= {
         f'SELECT "userId", churn::DOUBLE AS label, true AS two_classes FROM users WHERE {SHARE} < 20'
     ),
     "model_auc_comparison": select_users(
-        f"SELECT model, (SELECT count(*) FROM users WHERE {SHARE} < 10) AS total, true AS possible "
+        f"SELECT model, (SELECT count(*) FROM users WHERE {SHARE} < 10) AS total, true AS possible, true AS areas_agree "
         "FROM (VALUES ('gbt'), ('lr'), ('rf')) AS t(model)"
     ),
     "evaluate_winners": select_users(
-        f"SELECT model, {TEST} AS total, true AS possible "
+        f"SELECT model, {TEST} AS total, true AS possible, true AS areas_agree "
         "FROM (VALUES ('RandomForestClassifier'), ('DecisionTreeClassifier')) AS t(model)"
     ),
-    "model_curve_ends": "SELECT 0.0::DOUBLE AS first_fpr, 1.0::DOUBLE AS last_tpr, 1.0::DOUBLE AS last_recall, true AS f_measure_possible",
+    "model_curve_ends": "SELECT 0.0::DOUBLE AS first_fpr, 1.0::DOUBLE AS last_tpr, 1.0::DOUBLE AS last_recall, true AS f_measure_possible, true AS area_agrees",
+    "planted_search": select_users(
+        f"SELECT family, won, won AS perfect, true AS above_chance, {TEST} AS total "
+        "FROM (VALUES ('LogisticRegression', false), ('DecisionTreeClassifier', true)) AS t(family, won)"
+    ),
+    "chance_labels": select_users(
+        f"SELECT model, (SELECT count(*) FROM users WHERE {SHARE} < 50) AS total, true AS near_half FROM (VALUES ('lr'), ('dt')) AS t(model)"
+    ),
     "compare_model_predictions": select_users(
         'SELECT "userId", '
         + ", ".join(f"({NUMBER} % {m} >= {m // 2})::INT::DOUBLE AS {n}_pred" for n, m in (("gbt", 97), ("lr", 89), ("rf", 83)))

@@ -709,18 +709,21 @@ def dt_leaf_shares(spark, folder):
 
 @query("lr_coefficients")
 def lr_coefficients(spark, folder):
-    """The features in model order; the fit with an intercept meets the number of churned users in sum."""
+    """The features in model order. Without a penalty the fit solves its score equations: over the training rows, churned users and
+    probabilities agree in sum, and so do they weighted by each feature. A model that has learnt nothing misses the latter."""
     train, _ = split.hash_split(model_table(spark, folder))
-    model = training.fit_one(train, training.logistic_regression(maxIter=200))
+    model = training.fit_one(train, training.logistic_regression(maxIter=500, tol=1e-9))
     fitted = model.stages[-1]
-    off = scoring.churn_scores(scoring.score_users(model, train), ["label"]).agg(
-        F.sum(F.col("label") - F.col("churn_probability"))
-    ).first()[0]
+    scored = scoring.score_users(model, train)
+    off = F.col("label") - vector_to_array("probability")[1]
+    x = vector_to_array("features")
+    sums = scored.agg(F.sum(off), *[F.sum(off * x[i]) for i in range(len(MODEL_FEATURES))], F.count(F.lit(1))).first()
+    balance, *equations, n = sums
     rows = [
-        (underscored(name), math.isfinite(value), abs(off) < 0.5)
-        for name, value in zip(MODEL_FEATURES, fitted.coefficients.toArray().tolist())
+        (underscored(name), math.isfinite(value), abs(balance) < 0.5, abs(equation) / n < 1e-4)
+        for name, value, equation in zip(MODEL_FEATURES, fitted.coefficients.toArray().tolist(), equations)
     ]
-    return spark.createDataFrame(rows, "feature string, finite boolean, balanced boolean")
+    return spark.createDataFrame(rows, "feature string, finite boolean, balanced boolean, solved boolean")
 
 
 @query("prediction_counts")
@@ -750,20 +753,29 @@ def score_users(spark, folder):
     return scored.select("userId", "label", right.alias("two_classes"))
 
 
-def _search_rows(spark, searches: list[training.Search], folds: int) -> DataFrame:
+def _search_rows(spark, searches: list[training.Search], folds: int, rechecked: bool) -> DataFrame:
     rows = [
-        (s.family, i, ", ".join(f"{k}={v}" for k, v in params.items()), folds, 0.0 <= area <= 1.0)
+        (s.family, i, ", ".join(f"{k}={v}" for k, v in params.items()), folds, 0.0 <= area <= 1.0, rechecked)
         for s in searches
         for i, (params, area) in enumerate(zip(s.params, s.areas))
     ]
-    return spark.createDataFrame(rows, "family string, combination int, params string, folds int, valid boolean")
+    return spark.createDataFrame(
+        rows, "family string, combination int, params string, folds int, valid boolean, rechecked boolean"
+    )
+
+
+def _rechecked(train, family: training.Family, search: training.Search, folds: int) -> bool:
+    """Whether the area of the best combination comes out again when its folds are fitted anew and measured by ``metrics``."""
+    best = search.areas.index(search.best_area)
+    return abs(training.fold_area(train, family, family.grid[best], folds=folds) - search.best_area) < 1e-9
 
 
 @query("cv_metrics_lr", family=training.lr_study_family)
 @query("cv_metrics_gbt", family=training.gbt_family)
 def cv_metrics(spark, folder, family):
     train, _ = split.hash_split(model_table(spark, folder))
-    return _search_rows(spark, [training.grid_search(train, family(), folds=5)], 5)
+    search = training.grid_search(train, family(), folds=5)
+    return _search_rows(spark, [search], 5, _rechecked(train, family(), search, 5))
 
 
 @query("select_best_model")
@@ -773,7 +785,54 @@ def select_best_model(spark, folder):
     searches = training.search_all(train, save_to=new_folder(spark, "models"))
     best = training.select_best(searches)
     assert best.best_area == max(a for s in searches for a in s.areas)
-    return _search_rows(spark, searches, 3)
+    family = {f.name: f for f in training.families()}[best.family]
+    return _search_rows(spark, searches, 3, _rechecked(train, family, best, 3))
+
+
+#: Eight directions between the axes, churned in turns of two: trees tell them apart, a straight line orders at most three quarters
+#: of the pairs rightly.
+PLANTED = [0, 0, 1, 1, 0, 0, 1, 1]
+
+
+def planted_users(spark, folder) -> DataFrame:
+    """The users with a label that two planted features decide, and one that nothing decides."""
+    users = user_table(spark, folder).select("userId")
+    turn = split.key_share("userId", len(PLANTED), salt="planted:")
+    angle = (turn + 0.5) * (math.pi / 2 / len(PLANTED))
+    label = F.get(F.array(*[F.lit(float(v)) for v in PLANTED]), turn)
+    chance = split.key_share("userId", 2, salt="chance:").cast("double")
+    planted = users.select("userId", F.cos(angle).alias("east"), F.sin(angle).alias("north"), label.alias("label"), chance.alias("chance"))
+    return stored(planted, "planted-users")
+
+
+@query("planted_search")
+def planted_search(spark, folder):
+    """Search and selection on planted data with one right answer: trees win with every pair in order, a straight line can't."""
+    train, test = split.hash_split(planted_users(spark, folder))
+    columns = ["east", "north"]
+    lr = training.logistic_regression(maxIter=20)
+    families = [training.Family("LogisticRegression", lr, [{lr.regParam: 0.0}, {lr.regParam: 0.1}]), training.dt_family()]
+    searches = training.search_all(train, families, columns)
+    best = training.select_best(searches)
+    scores = {r["model"]: r for r in scoring.evaluate_models({s.family: s.model for s in searches}, test).collect()}
+    rows = []
+    for s in searches:
+        found = scores[s.family]
+        perfect = abs(s.best_area - 1) < 1e-9 and found["area_under_roc"] == 1.0 and found["matched"] == found["total"]
+        rows.append((s.family, s.family == best.family, perfect, s.best_area > 0.5, found["total"]))
+    return spark.createDataFrame(rows, "family string, won boolean, perfect boolean, above_chance boolean, total long")
+
+
+@query("chance_labels")
+def chance_labels(spark, folder):
+    """Labels that no feature decides: on new users no family is more than five standard errors away from an area of one half."""
+    users = model_table(spark, folder).drop("label").withColumn("label", split.key_share("userId", 2, salt="chance:").cast("double"))
+    train, test = split.hash_split(stored(users, "chance-users"), 50)
+    models = {kind: training.fit_one(train, CLASSIFIERS[kind]()) for kind in ("lr", "dt")}
+    sides = {r["label"]: r["count"] for r in test.groupBy("label").count().collect()}
+    error = math.sqrt((sides[0.0] + sides[1.0] + 1) / (12 * sides[0.0] * sides[1.0]))
+    rows = [(r["model"], r["total"], abs(r["area_under_roc"] - 0.5) <= 5 * error) for r in scoring.evaluate_models(models, test).collect()]
+    return spark.createDataFrame(rows, "model string, total long, near_half boolean")
 
 
 def _three_models(spark, folder) -> tuple[dict[str, PipelineModel], DataFrame]:
@@ -787,7 +846,14 @@ def model_auc_comparison(spark, folder):
     models, test = _three_models(spark, folder)
     rows = scoring.evaluate_models(models, test)
     possible = F.col("area_under_roc").between(0, 1) & (F.col("accuracy") * F.col("total") - F.col("matched") < 1e-6)
-    return rows.select("model", "total", possible.alias("possible"))
+    agree = _areas_agree(models, test, rows)
+    return rows.select("model", "total", possible.alias("possible"), F.lit(agree).alias("areas_agree"))
+
+
+def _areas_agree(models: dict[str, PipelineModel], test: DataFrame, rows: DataFrame) -> bool:
+    """Whether the areas of the evaluator are those that ``metrics`` finds from the churn probabilities."""
+    own = {n: metrics.area_under_roc(stored(scoring.scorecard_of(m, test), "model-card")).first()[0] for n, m in models.items()}
+    return all(abs(own[r["model"]] - r["area_under_roc"]) < 1e-9 for r in rows.collect())
 
 
 @query("evaluate_winners")
@@ -795,17 +861,23 @@ def evaluate_winners(spark, folder):
     """Tuned winners on the test part, fitted on standardised features learnt from the training part alone."""
     train, test = split.hash_split(model_table(spark, folder))
     searches = [training.grid_search(train, f(), folds=3, scale=True) for f in (training.rf_family, training.dt_family)]
-    rows = scoring.evaluate_models({s.family: s.model for s in searches}, test)
-    return rows.select("model", "total", F.col("area_under_roc").between(0, 1).alias("possible"))
+    models = {s.family: s.model for s in searches}
+    rows = scoring.evaluate_models(models, test)
+    agree = _areas_agree(models, test, rows)
+    return rows.select("model", "total", F.col("area_under_roc").between(0, 1).alias("possible"), F.lit(agree).alias("areas_agree"))
 
 
 @query("model_curve_ends")
 def model_curve_ends(spark, folder):
-    """The curves of a fitted model: ends of the ROC curve, and the largest recall and F-measure that are possible."""
+    """The curves of a fitted model: ends of the ROC curve, the largest recall, whether the largest F-measure is possible, and
+    whether the exact area is that of the evaluator."""
     train, test = split.hash_split(model_table(spark, folder))
-    card = stored(scoring.scorecard_of(training.fit_one(train, CLASSIFIERS["rf"]()), test), "model-card")
+    model = training.fit_one(train, CLASSIFIERS["rf"]())
+    card = stored(scoring.scorecard_of(model, test), "model-card")
     roc, pr, f1 = metrics.roc_curve(card), metrics.pr_curve(card), metrics.f_measure_curve(card)
     ends = roc.agg(F.min("FPR").alias("first_fpr"), F.max("TPR").alias("last_tpr"))
+    area = training.evaluator().evaluate(scoring.score_users(model, test))
+    ends = ends.withColumn("area_agrees", F.lit(abs(metrics.area_under_roc(card).first()[0] - area) < 1e-9))
     recall = pr.agg(F.max("recall").alias("last_recall"))
     best = f1.agg(F.max("F_Measure").between(0, 1).alias("f_measure_possible"))
     return ends.join(recall).join(best)  # one row each

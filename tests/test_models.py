@@ -4,6 +4,7 @@ import random
 
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from log_data import frame, random_rows
 from stayflow.operators import clean, metrics, profile, split
@@ -151,3 +152,19 @@ def test_silver_is_scored_with_the_same_feature_names(spark, users):
     counts = scoring.score_silver(model, lake.read_zone(spark, path))
     assert sum(r.users for r in counts.collect()) == batch.gold_users(lake.read_zone(spark, path)).count()
     assert counts.columns == profile.prediction_counts(counts).columns
+
+
+def test_a_model_that_has_learnt_nothing_fails_the_checks(spark):
+    """What the registered queries report about models would be false for constant scores."""
+    rows = [(f"u{i}", float(i % 7), float(i % 3), float(i % 7 > 3)) for i in range(210)]
+    users = spark.createDataFrame(rows, "userId string, a double, b double, label double")
+    family = training.Family("LogisticRegression", training.logistic_regression(maxIter=50), [{}])
+    constant = training.logistic_regression(regParam=1e6, elasticNetParam=1.0)
+    good = training.grid_search(users, family, ["a", "b"])
+    assert abs(training.fold_area(users, family, {}, ["a", "b"]) - good.best_area) < 1e-9
+    dull = training.Family("LogisticRegression", constant, [{}])
+    assert training.fold_area(users, dull, {}, ["a", "b"]) == 0.5 < good.best_area
+    scored = scoring.score_users(training.fit_one(users, constant, ["a", "b"]), users)
+    off = F.col("label") - vector_to_array("probability")[1]
+    misses = scored.agg(F.sum(off * vector_to_array("features")[0])).first()[0]
+    assert abs(misses) / len(rows) > 1e-4

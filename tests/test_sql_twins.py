@@ -7,7 +7,7 @@ from check_sql import difference
 
 FOLDER = "/root/testdata/sf0.001"
 # Too few users have churned in the smallest folder for every fold to hold both classes.
-SEARCHES = {"cv_metrics_lr", "cv_metrics_gbt", "select_best_model", "evaluate_winners"}
+SEARCHES = {"cv_metrics_lr", "cv_metrics_gbt", "select_best_model", "evaluate_winners", "planted_search", "chance_labels"}
 LARGER = "/root/testdata/sf0.01"
 
 
