@@ -28,7 +28,7 @@ def users(spark):
     return training.with_label(spark.createDataFrame(rows, schema)).cache()
 
 
-def test_grid_sizes():
+def test_grid_sizes(spark):
     assert len(training.lr_study_family().grid) == 27
     assert len(training.gbt_family().grid) == 12
     assert len(training.dt_family().grid) == 2
