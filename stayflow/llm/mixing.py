@@ -1,19 +1,21 @@
 """Mixing sources to target weights with hash-threshold histograms, in DataFrame operations only.
 
 Every source gets a target (``source_targets``). Whole copies of all its documents come first; the rest of the target
-is a budget for one more copy of some of them. Documents are ordered by a hash of their id, without sorting: words are
+is a budget for one more copy of some of them. Documents are ordered by a hash of their id and text, without sorting: words are
 summed per source and hash bucket, a running total over the buckets finds the bucket in which the budget ends, and
-only that boundary bucket is summed again by the next hash bits. Three levels of ten bits leave about one document
-(at 10 billion documents in one source: about ten); it is taken if that brings the source nearer to its target. A
-document is taken once more exactly if its hash is below the threshold of its source.
+only that boundary bucket is summed again by the next hash bits. Four levels of 15 bits leave one document or its exact
+repetitions; as many of these are taken as bring the source nearest to its target. A document is taken once more exactly
+if its hash is below the threshold of its source, or at it and among the first repetitions. Repetitions are numbered
+file by file of a written table: which of them is taken makes no difference.
 
-Sums are combined before each shuffle, so a source with a third of all rows costs at most 1,024 rows per task. The
+Sums are combined before each shuffle, so a source with a third of all rows costs at most 32,768 rows per task. The
 thresholds have one row per source and are written as a table; the optimiser broadcasts them if their file is small
 and else joins by sorting, where a large source can be split.
 
 Defined results: a null source is a source of its own and comes last; a null or empty text has size 0; sources
-without words have target 0. Rows that repeat a doc_id share its hash and are taken together. An empty table gives an
-empty result. Columns other than the id, the text and the source pass through untouched; the new columns replace
+without words have target 0. Rows without an id or with the id of another row are told apart by their texts, and equal rows are
+taken one by one. Empty documents cost nothing: they come as often as others of their source, never more than
+``max_repeats`` times. An empty table gives an empty result. Columns other than the id, the text and the source pass through untouched; the new columns replace
 columns of the same name.
 """
 
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-LEVELS, LEVEL_BITS = 3, 10
+LEVELS, LEVEL_BITS = 4, 15
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
 WORD = r"[^\x20\x09-\x0D]+"
@@ -36,10 +38,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def hash_bits(doc_id: Column) -> Column:
-    """The first 30 bits of the MD5 of the id: the same on every run and in every engine."""
-    digest = F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
-    return F.shiftright(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), 2)
+def hash_bits(doc_id: Column, text: Column) -> Column:
+    """The first 60 bits of the MD5 of id and text: the same on every run and in every engine."""
+    whole = F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), F.coalesce(text, F.lit("")))
+    return F.conv(F.substring(F.md5(whole.cast("binary")), 1, LEVELS * LEVEL_BITS // 4), 16, 10).cast("long")
 
 
 def source_targets(
@@ -72,7 +74,8 @@ def source_targets(
 
 
 def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source, whole, cut): copies that every document gets, and the hash below which it gets one more."""
+    """(source, whole, cut, extra): copies that every document gets, the hash below which it gets one more, and how many of
+    the rows with just that hash get one more."""
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     state = targets.select(
         "source",
@@ -90,13 +93,13 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
         sums = (
             sized.join(t, sized["source"].eqNullSafe(t["_s"]) & inside)
             .groupBy("source", "prefix", "rest", F.shiftright("h", bits).alias("bucket"))
-            .agg(F.sum("size").alias("words"))
+            .agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows"))
         )
         ordered = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
         running = sums.withColumn("upto", F.sum("words").over(ordered))
         # The boundary bucket is the first whose running total exceeds the budget.
         edge = running.where(F.col("upto") > F.col("rest")).groupBy("source").agg(
-            F.min(F.struct("bucket", "upto", "words")).alias("edge")
+            F.min(F.struct("bucket", "upto", "words", "rows")).alias("edge")
         )
         e = edge.select(F.col("source").alias("_s"), "edge")
         past = F.lit((1 << (LEVEL_BITS * level)) - 1).cast("long")
@@ -112,15 +115,24 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
                 .otherwise(0.0)
                 .alias("rest"),
                 F.when(F.col("_open"), F.col("edge.bucket")).otherwise(past).alias("prefix"),
-                F.when(F.col("_open"), F.col("edge.words")).otherwise(0).cast("long").alias("words"),
+                F.when(F.col("_open"), F.col("edge.words") / F.col("edge.rows")).alias("each"),
+                F.coalesce("edge.rows", F.lit(0)).alias("rows"),
             )
         )
         if level < LEVELS:
-            state = state.drop("words")
-    nearer = 2 * F.col("rest") >= F.col("words")
+            state = state.drop("each", "rows")
+    # Of the rows at the edge, all of one size: those that fit, and one more if that is nearer.
+    fit = F.floor(F.col("rest") / F.col("each"))
+    extra = F.coalesce(fit + (2 * (F.col("rest") - fit * F.col("each")) >= F.col("each")).cast("long"), F.lit(1))
+    all_taken = extra >= F.col("rows")
     return stored(
         state.select(
-            "source", "target", "source_size", "whole", (F.col("prefix") + nearer.cast("int")).alias("cut")
+            "source",
+            "target",
+            "source_size",
+            "whole",
+            (F.col("prefix") + all_taken.cast("int")).alias("cut"),
+            F.when(all_taken, F.lit(0)).otherwise(extra).cast("long").alias("extra"),
         ),
         "mix-thresholds",
     )
@@ -132,7 +144,7 @@ def cuts_of(documents: DataFrame, doc_id: str, text: str, source: str, weights,
         F.col(doc_id).alias("doc_id"),
         F.col(source).alias("source"),
         word_count(F.col(text)).alias("size"),
-        hash_bits(F.col(doc_id)).alias("h"),
+        hash_bits(F.col(doc_id), F.col(text)).alias("h"),
     )
     sized = stored(measured, "mix-sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -140,8 +152,23 @@ def cuts_of(documents: DataFrame, doc_id: str, text: str, source: str, weights,
     return sized, cuts
 
 
-def copies_of(hash_column: str) -> Column:
-    return F.col("whole") + (F.col(hash_column) < F.col("cut")).cast("int")
+def numbered(rows: DataFrame, key: str) -> DataFrame:
+    """Number the rows of a written table from 1 per ``key``, file by file: no task gets more than one file's rows of a key."""
+    place = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = place.groupBy(key, "_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(key).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select(F.col(key).alias("_k"), F.col("_file").alias("_f"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy(key, "_file").orderBy("_row"))
+    joined = place.withColumn("_number", inside).join(starts, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_file") == F.col("_f")))
+    return joined.withColumn("_number", F.col("_start") + F.col("_number")).drop("_k", "_f", "_start", "_file", "_row")
+
+
+def copies_below(hashed: str, max_repeats: int) -> Column:
+    return F.least(F.col("whole") + (F.col(hashed) < F.col("cut")).cast("int"), F.lit(max_repeats))
+
+
+def copies_at_edge(max_repeats: int) -> Column:
+    return F.least(F.col("whole") + (F.col("_number") <= F.col("extra")).cast("int"), F.lit(max_repeats))
 
 
 def mix(
@@ -155,7 +182,12 @@ def mix(
     """(doc_id, size, source, source_size, target, copies, taken), one row per row of ``documents``."""
     sized, cuts = cuts_of(documents, doc_id, text, source, weights, max_repeats)
     taken = (F.col("copies") * F.col("size")).alias("taken")
-    counted = sized.join(cuts, sized["source"].eqNullSafe(cuts["_s"])).withColumn("copies", copies_of("h"))
+    joined = sized.join(cuts, sized["source"].eqNullSafe(cuts["_s"]))
+    at_edge = (F.col("h") == F.col("cut")) & (F.col("extra") > 0)
+    counted = joined.where(~at_edge).withColumn("copies", copies_below("h", max_repeats))
+    if cuts.where("extra > 0").head(1):
+        edge = numbered(stored(joined.where(at_edge), "mix-edge"), "source")
+        counted = counted.unionByName(edge.withColumn("copies", copies_at_edge(max_repeats)).drop("_number"))
     return counted.select("doc_id", "size", "source", "source_size", "target", "copies", taken)
 
 
@@ -169,9 +201,13 @@ def mixed_documents(
 ) -> DataFrame:
     """Every document as often as the mix takes it, with its own columns; the texts are not shuffled."""
     _, cuts = cuts_of(documents, doc_id, text, source, weights, max_repeats)
-    small = cuts.select(F.struct("_s", "whole", "cut").alias("_mix"))
-    hashed = documents.withColumn("_mix_hash", hash_bits(F.col(doc_id)))
-    joined = hashed.join(small, hashed[source].eqNullSafe(F.col("_mix._s")))
-    copies = F.col("_mix.whole") + (F.col("_mix_hash") < F.col("_mix.cut")).cast("int")
-    again = joined.where(copies > 0).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), copies)))
-    return again.select(*documents.columns)
+    rows = documents.select(F.struct("*").alias("_row"), F.col(source).alias("_source"), hash_bits(F.col(doc_id), F.col(text)).alias("_h"))
+    joined = rows.join(cuts.select("_s", "whole", "cut", "extra"), F.col("_source").eqNullSafe(F.col("_s")))
+    at_edge = (F.col("_h") == F.col("cut")) & (F.col("extra") > 0)
+    counted = joined.where(~at_edge).select("_row", copies_below("_h", max_repeats).alias("_copies"))
+    if cuts.where("extra > 0").head(1):
+        edge = stored(joined.where(at_edge).select(F.col("_row").alias("_document"), "_source", "whole", "extra"), "mix-edge")
+        again = numbered(edge, "_source").select(F.col("_document").alias("_row"), copies_at_edge(max_repeats).alias("_copies"))
+        counted = counted.unionByName(again)
+    again = counted.where("_copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return again.select(*[F.col("_row").getField(c).alias(c) for c in documents.columns])

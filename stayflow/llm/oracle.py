@@ -45,7 +45,7 @@ BITS = LEVEL_BITS * LEVELS
 MIX = f"""
 WITH sized AS (
     SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT >> {32 - BITS} AS h
+           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, {BITS // 4}))::BIGINT AS h
     FROM documents
 ), sources AS (
     SELECT source, sum(size)::DOUBLE AS source_size, {MAX_REPEATS} * sum(size)::DOUBLE AS cap,
@@ -65,19 +65,22 @@ WITH sized AS (
 ), plans AS (
     SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets
 ), by_hash AS (
-    SELECT source, h, sum(size) AS words, sum(sum(size)) OVER (PARTITION BY source ORDER BY h) AS upto
+    SELECT source, h, sum(size) AS words, count(*) AS rows, sum(sum(size)) OVER (PARTITION BY source ORDER BY h) AS upto
     FROM sized GROUP BY source, h
 ), edges AS (
-    SELECT p.source, min(struct_pack(h := h, before := upto - words, words := words)) AS edge
+    SELECT p.source, min(struct_pack(h := h, rest := target - whole * source_size - (upto - words), each := words / rows)) AS edge
     FROM plans p JOIN by_hash b ON p.source IS NOT DISTINCT FROM b.source
     WHERE upto > target - whole * source_size GROUP BY p.source
 ), cuts AS (
-    SELECT p.*, CASE WHEN edge IS NULL THEN {1 << BITS}
-                     ELSE edge.h + (2 * (target - whole * source_size - edge.before) >= edge.words)::INT END AS cut
+    SELECT p.*, coalesce(edge.h, {1 << BITS}) AS cut,
+           floor(edge.rest / edge.each) + (2 * (edge.rest - floor(edge.rest / edge.each) * edge.each) >= edge.each)::INT AS extra
     FROM plans p LEFT JOIN edges e ON p.source IS NOT DISTINCT FROM e.source
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY source, h) AS n FROM sized
 )
-SELECT doc_id, size, source_size::BIGINT AS source_size, target, ((whole + (h < cut)::INT) * size)::BIGINT AS taken
-FROM sized s JOIN cuts c ON s.source IS NOT DISTINCT FROM c.source
+SELECT doc_id, size, source_size::BIGINT AS source_size, target,
+       (least(whole + (h < cut OR (h = cut AND n <= extra))::INT, {MAX_REPEATS}) * size)::BIGINT AS taken
+FROM numbered s JOIN cuts c ON s.source IS NOT DISTINCT FROM c.source
 """
 
 REVISIT = r"""

@@ -58,3 +58,28 @@ def test_mixed_documents_repeat_rows(odd):
 def test_empty(nothing):
     assert mix(nothing).count() == 0
     assert mixed_documents(nothing).count() == 0
+
+
+def test_null_and_repeated_ids_come_near_their_targets(spark, nothing):
+    for ids in (lambda i: None, lambda i: i % 3):
+        rows = [(ids(i), "w " * (1 + i % 40), "en", "a" if i % 3 else "b", 1) for i in range(1000)]
+        docs = spark.createDataFrame(rows, nothing.schema).repartition(6)
+        got = mix(docs).groupBy("source", "target").sum("taken").collect()
+        assert all(abs(r["target"] - r["sum(taken)"]) <= 40 for r in got)
+        assert sorted(map(repr, mix(docs).collect())) == sorted(map(repr, mix(docs.repartition(2)).collect()))
+
+
+def test_a_hot_group_of_equal_rows_is_split(spark, nothing):
+    rows = [(None, "one two three", None, "a", None)] * 3000 + [(i, "four " * 9, "en", "b", 1) for i in range(100)]
+    docs = spark.createDataFrame(rows, nothing.schema).repartition(8)
+    got = {r["source"]: (r["target"], r["sum(taken)"]) for r in mix(docs).groupBy("source", "target").sum("taken").collect()}
+    assert all(abs(target - taken) <= 9 for target, taken in got.values())
+    assert mixed_documents(docs).where("source = 'a'").count() * 3 == got["a"][1]
+
+
+def test_empty_rows_of_a_source_at_its_limit_come_three_times_at_most(spark, nothing):
+    rows = [(i, "" if i % 4 else None, "en", "small", 0) for i in range(400)] + [(i, "a b", "en", "small", 1) for i in range(3)]
+    rows += [(i, "word " * 50, "en", "large", 1) for i in range(300)]
+    docs = spark.createDataFrame(rows, nothing.schema)
+    assert mix(docs).agg({"copies": "max"}).first()[0] <= 3
+    assert mixed_documents(docs).where("source = 'small'").count() == 3 * 403

@@ -59,26 +59,50 @@ def contaminated(rows, items):
 
 
 def copies_of(rows):
-    """How often each document goes on: whole rounds of its source, and one more below the cut of its hash."""
-    bits, sources, out = mixing.LEVEL_BITS * mixing.LEVELS, {}, {}
+    """How often each document goes on: whole rounds of its source, and one more below the cut of its hash; of equal documents
+    at the cut, as many as come nearest to the target."""
+    sources, out = {}, Counter()
     for r in rows:
-        h = int(md5(str(r["doc_id"]).encode()).hexdigest()[:8], 16) >> (32 - bits)
-        sources.setdefault(r["source"], []).append((h, len((r["text"] or "").encode().split()), r["doc_id"]))
+        text = r["text"] or ""
+        named = f"{'' if r['doc_id'] is None else r['doc_id']}:{text}"
+        h = int(md5(named.encode()).hexdigest()[: mixing.LEVELS * mixing.LEVEL_BITS // 4], 16)
+        sources.setdefault(r["source"], []).append((h, len(text.encode().split()), tuple(r)))
     targets = brute_targets({s: sum(n for _, n, _ in x) for s, x in sources.items()})
     for s, members in sources.items():
         size = sum(n for _, n, _ in members)
         whole = int(targets[s] // size) if size else 0
-        rest, before, cut = targets[s] - whole * size, 0, 1 << bits
+        rest, done = targets[s] - whole * size, size == 0
         for h in sorted({h for h, _, _ in members}):
-            n = sum(m for k, m, _ in members if k == h)
-            if before + n > rest:
-                cut = h + (2 * (rest - before) >= n)
-                break
-            before += n
-        out |= {d: whole + (h < cut) for h, _, d in members}
+            same = [(n, row) for k, n, row in members if k == h]
+            words = sum(n for n, _ in same)
+            extra = len(same)
+            if done and size:
+                extra = 0
+            elif not done and words > rest:
+                each = words / len(same)
+                extra, done = int(rest // each), True
+                extra += 2 * (rest - extra * each) >= each
+            rest -= words
+            for i, (_, row) in enumerate(same):
+                out[row] += min(whole + (i < extra), mixing.MAX_REPEATS)
     return out
 
 
+def test_mix_of_rows_without_ids_and_words(spark, odd):
+    """Null ids come near their target, and empty rows of a source at its limit come three times at most."""
+    rows = [(None, "w " * (1 + i % 40), "en", "big", 1) for i in range(1000)] + [(i, "", "en", "small", 0) for i in range(400)]
+    rows += [(i, "one two", "en", "small", 1) for i in range(5)]
+    docs = spark.createDataFrame(rows, odd.schema).repartition(5)
+    expected = copies_of(docs.collect())
+    got = Counter(map(tuple, pipeline.mixed(spark, docs, FOLDER).collect()))
+    assert got == Counter({r: n for r, n in expected.items() if n})
+    targets = brute_targets({"big": sum(1 + i % 40 for i in range(1000)), "small": 10})
+    assert abs(sum(n * len(r[1].split()) for r, n in got.items() if r[3] == "big") - targets["big"]) <= 40
+    per_row = Counter(map(tuple, rows))
+    assert all(n <= 3 * per_row[r] for r, n in got.items())
+    assert sum(n for r, n in got.items() if not r[1]) == 1200
+
+
 def test_rows_of_each_stage_against_plain_python(spark):
     docs = pipeline.table(spark, FOLDER, "documents")
     columns = docs.columns
@@ -98,7 +122,10 @@ def test_rows_of_each_stage_against_plain_python(spark):
         else:
             times = {r["doc_id"]: 1 for r in before}
         docs = stored(stage(spark, docs, FOLDER), f"rows-{name}")
-        expected = Counter(tuple(r) for r in before for _ in range(int(times[r["doc_id"]])))
+        if name == "mix":
+            expected = Counter({row: n for row, n in times.items() if n})
+        else:
+            expected = Counter(tuple(r) for r in before for _ in range(int(times[r["doc_id"]])))
         assert Counter(map(tuple, docs.select(*columns).collect())) == expected, name
     shards = {}
     for r in docs.collect():
