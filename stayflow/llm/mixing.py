@@ -3,12 +3,12 @@
 Every source gets a target (``source_targets``). Whole copies of all its documents come first; the rest of the target
 is a budget for one more copy of some of them. Documents are ordered by a hash of their id and text, without sorting: words are
 summed per source and hash bucket, a running total over the buckets finds the bucket in which the budget ends, and
-only that boundary bucket is summed again by the next hash bits. Four levels of 15 bits leave one document or its exact
+only that boundary bucket is summed again by the next hash bits. Six levels of ten bits leave one document or its exact
 repetitions; as many of these are taken as bring the source nearest to its target. A document is taken once more exactly
 if its hash is below the threshold of its source, or at it and among the first repetitions. Repetitions are numbered
 file by file of a written table: which of them is taken makes no difference.
 
-Sums are combined before each shuffle, so a source with a third of all rows costs at most 32,768 rows per task. The
+Sums are combined before each shuffle, so a source with a third of all rows costs at most 1,024 rows per task. The
 thresholds have one row per source and are written as a table; the optimiser broadcasts them if their file is small
 and else joins by sorting, where a large source can be split.
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-LEVELS, LEVEL_BITS = 4, 15
+LEVELS, LEVEL_BITS = 6, 10
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
 WORD = r"[^\x20\x09-\x0D]+"
