@@ -4,14 +4,15 @@ Questions and answers are normalised (A-Z lower-cased, words joined by one space
 words; an item with fewer words is one window. A document is normalised the same way and run through the automaton
 once. Matches are mapped to words and to character offsets of the original text.
 
-The automaton is built once per Python worker from a broadcast pattern list. The list is sent only up to
-``max_pattern_bytes``; a larger benchmark is split by a hash of the item into blocks that fit, the documents are
-scanned once per block, and the findings are merged per document. Neither the driver nor a worker ever holds more
-than one block.
+Items are broadcast in blocks whose windows take at most ``max_pattern_bytes``, split by a hash of the item. Up to that size there is
+one block, and a Python worker builds its automaton once. A larger benchmark has several: the documents are still read once, a worker
+gathers about ``GATHER_BYTES`` of texts, runs them through the automaton of one block after the other and unites what they find. So a
+worker holds the benchmark's texts and one block's automaton, and results do not depend on the number of blocks.
 
 Defined results: null and empty texts have no words and no hits. Items without words or without an id match nothing.
-Repeated items all count. Repeated document rows are judged each by itself. Other columns, whatever their names, pass
-through.
+Repeated items all count. Repeated document rows are judged each by itself. A very long text is scanned whole, and needs memory for
+itself. An empty benchmark hits nothing, no documents give an empty table. Other columns, whatever their names, pass through; a
+column named as the result is replaced.
 """
 
 from __future__ import annotations
@@ -40,7 +41,10 @@ FINDINGS = T.StructType(
         T.StructField("char_spans", T.ArrayType(SPAN)),
     ]
 )
-_built: dict[int, ahocorasick.Automaton] = {}
+#: Bytes of text that a worker runs through one block after the other.
+GATHER_BYTES = 64 << 20
+#: The worker's automaton beside the items that it was built from.
+_built: list = [None, None]
 
 
 def windows(text: bytes, size: int = WINDOW) -> list[bytes]:
@@ -58,16 +62,15 @@ def patterns(items: list[tuple[str, bytes]], size: int = WINDOW) -> list[tuple[s
     return [(w.decode("latin-1"), w.count(b" ") - 1, sorted(ids)) for w, ids in found.items()]
 
 
-def automaton(shared: Broadcast) -> ahocorasick.Automaton:
-    key = id(shared.value)
-    if key not in _built:
-        _built.clear()
+def automaton(items: list[tuple[str, bytes]], size: int) -> ahocorasick.Automaton:
+    if _built[0] is not items:
+        _built[:] = [None, None]  # never two automata at once
         a = ahocorasick.Automaton()
-        for n, (window, words, items) in enumerate(shared.value):
-            a.add_word(window, (n, words, items))
+        for n, (window, words, ids) in enumerate(patterns(items, size)):
+            a.add_word(window, (n, words, ids))
         a.make_automaton()
-        _built[key] = a
-    return _built[key]
+        _built[:] = [items, a]
+    return _built[1]
 
 
 def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -81,42 +84,66 @@ def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def scan(data: bytes, a: ahocorasick.Automaton) -> dict:
-    """Findings of one document (see ``FINDINGS``)."""
-    mapped = data.translate(WORD_BYTES)
-    words = mapped.split()
-    found: dict = {"n_words": len(words), "n_hit": 0, "item_ids": [], "word_runs": [], "char_spans": []}
-    if not words or not len(a):
-        return found
-    joined = b" " + b" ".join(words) + b" "
-    hits = list(a.iter(joined.decode("latin-1")))
-    if not hits:
-        return found
-    spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
-    after = np.searchsorted(spaces, [end for end, _ in hits])  # number of words up to the end of the match
-    runs = merged([(int(n) - words_in, int(n)) for n, (_, (_, words_in, _)) in zip(after, hits)])
-    spans = char_spans(data, runs)
-    items = set().union(*({w: ids for _, (w, _, ids) in hits}.values()))
-    as_spans = lambda pairs: [{"start": s, "end": e} for s, e in pairs]
-    return found | {
-        "n_hit": sum(j - i for i, j in runs),
-        "item_ids": sorted(items),
-        "word_runs": as_spans(runs),
-        "char_spans": as_spans(spans),
-    }
-
-
-def findings(text: Column, shared: Broadcast) -> Column:
-    """Column with the findings of a text under one block of patterns."""
+class Document:
+    """A text on its way through the blocks."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+        words = data.translate(WORD_BYTES).split()
+        self.n_words, self.joined = len(words), b" " + b" ".join(words) + b" "
+        self.runs: list[tuple[int, int]] = []
+        self.items: set[str] = set()
+
+    def scan(self, a: ahocorasick.Automaton) -> None:
+        hits = list(a.iter(self.joined.decode("latin-1"))) if self.n_words and len(a) else []
+        if not hits:
+            return
+        spaces = np.flatnonzero(np.frombuffer(self.joined, np.uint8) == 32)
+        after = np.searchsorted(spaces, [end for end, _ in hits])  # number of words up to the end of the match
+        self.runs = merged(self.runs + [(int(n) - words, int(n)) for n, (_, (_, words, _)) in zip(after, hits)])
+        self.items.update(*({w: ids for _, (w, _, ids) in hits}.values()))
+
+    def findings(self) -> dict:
+        """See ``FINDINGS``."""
+        as_spans = lambda pairs: [{"start": s, "end": e} for s, e in pairs]
+        return {
+            "n_words": self.n_words,
+            "n_hit": sum(j - i for i, j in self.runs),
+            "item_ids": sorted(self.items),
+            "word_runs": as_spans(self.runs),
+            "char_spans": as_spans(char_spans(self.data, self.runs)) if self.runs else [],
+        }
+
+
+def gathered(batches: Iterator[pa.Array], size: int) -> Iterator[list[pa.Array]]:
+    """Batches in groups of at least ``size`` bytes, but for the last."""
+    group: list[pa.Array] = []
+    for batch in batches:
+        group.append(batch)
+        if sum(b.nbytes for b in group) >= size:
+            yield group
+            group = []
+    if group:
+        yield group
+
+
+def findings(text: Column, blocks: list[Broadcast], window: int = WINDOW, gather: int = GATHER_BYTES) -> Column:
+    """Column with the findings of a text under all blocks of items."""
 
     @F.arrow_udf(FINDINGS)
     def scanned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         from pyspark.sql.pandas.types import to_arrow_type
 
         kind = to_arrow_type(FINDINGS)
-        a = automaton(shared)
-        for batch in batches:
-            yield pa.array([scan(t.as_buffer().to_pybytes() if t.is_valid else b"", a) for t in batch], kind)
+        for group in gathered(batches, gather if len(blocks) > 1 else 0):
+            documents = [[Document(t.as_buffer().to_pybytes() if t.is_valid else b"") for t in batch] for batch in group]
+            for block in blocks:
+                a = automaton(block.value, window)
+                for batch in documents:
+                    for document in batch:
+                        document.scan(a)
+            for batch in documents:
+                yield pa.array([document.findings() for document in batch], kind)
 
     return scanned(text.cast("binary"))
 
@@ -131,26 +158,19 @@ def decontaminate(
     window: int = WINDOW,
     max_pattern_bytes: int = MAX_PATTERN_BYTES,
 ) -> DataFrame:
-    """The documents with a struct column ``into``: words, hit words, items found, word runs and character spans.
-
-    With more than one block of patterns the rows are grouped by all their columns to merge the findings, so rows
-    that are equal in every column come back as often as they came.
-    """
+    """The documents with a struct column ``into``: words, hit words, items found, word runs and character spans."""
     spark = documents.sparkSession
     usable = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).cast("binary").alias("text"))
     usable = usable.where("item is not null and text is not null")
     # Windows repeat their words: the patterns of an item take at most `window` times its bytes.
     total = usable.agg(F.coalesce(F.sum(F.length("text") + 2), F.lit(0))).first()[0] * window
     blocks = max(1, -(-total // max_pattern_bytes))
-    scans = []
+    shared = []
     for block in range(blocks):
         mine = usable if blocks == 1 else usable.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
         rows = [(r["item"], bytes(r["text"])) for r in mine.toLocalIterator()]
-        shared = spark.sparkContext.broadcast(patterns(rows, window))
-        scans.append(documents.withColumn(into, findings(F.col(text), shared)))
-    if blocks == 1:
-        return scans[0]
-    return merge_blocks(scans, documents.columns, into, text)
+        shared.append(spark.sparkContext.broadcast(rows))
+    return documents.withColumn(into, findings(F.col(text), shared, window))
 
 
 def char_spans(data: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -161,58 +181,6 @@ def char_spans(data: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]
     return [(int(lead[edges[i, 0]]), int(lead[edges[j - 1, 1]])) for i, j in runs]
 
 
-@F.arrow_udf(T.ArrayType(SPAN))
-def spans_of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    """Character spans of merged word runs."""
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    kind = to_arrow_type(T.ArrayType(SPAN))
-    for texts, found in batches:
-        out = []
-        for t, runs in zip(texts, found.to_pylist()):
-            pairs = char_spans(t.as_buffer().to_pybytes(), [(r["start"], r["end"]) for r in runs]) if runs else []
-            out.append([{"start": s, "end": e} for s, e in pairs])
-        yield pa.array(out, kind)
-
-
-def merge_blocks(scans: list[DataFrame], columns: list[str], into: str, text: str) -> DataFrame:
-    """Union of word runs and items over the blocks; every block has seen every row once.
-
-    Character spans are read off the merged runs, as one block does: runs of different blocks that touch are one span.
-    """
-    keys = [c for c in columns if c != into]
-    every = scans[0].select(*keys, into)
-    for s in scans[1:]:
-        every = every.unionByName(s.select(*keys, into))
-    together = every.groupBy(*keys).agg(
-        F.first(f"{into}.n_words").alias("n_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(f"{into}.item_ids")))).alias("item_ids"),
-        F.array_sort(F.flatten(F.collect_list(f"{into}.word_runs"))).alias("word_runs"),
-        (F.count(F.lit(1)) / len(scans)).cast("int").alias("copies"),
-    )
-    together = together.withColumn("word_runs", union_of("word_runs"))
-    runs, spans = F.col("word_runs"), spans_of(F.col(text).cast("binary"), "word_runs")
-    n_hit = F.aggregate(runs, F.lit(0).cast("long"), lambda n, r: n + (r["end"] - r["start"]).cast("long"))
-    values = [F.col("n_words"), n_hit, F.col("item_ids"), runs, spans]
-    found = F.named_struct(*[x for name, v in zip(FINDINGS.names, values) for x in (F.lit(name), v)])
-    again = together.select(*keys, found.alias(into), F.explode(F.sequence(F.lit(1), "copies")).alias("_copy"))
-    return again.drop("_copy")
-
-
-def union_of(name: str) -> Column:
-    """Sorted spans joined where they overlap or touch."""
-    start = F.expr(f"cast(array() as array<{SPAN.simpleString()}>)")
-
-    def add(done: Column, span: Column) -> Column:
-        last = F.element_at(done, -1)
-        longer = F.named_struct(F.lit("start"), last["start"], F.lit("end"), F.greatest(last["end"], span["end"]))
-        joins = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] >= span["start"])
-        head = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
-        return F.when(joins, F.concat(head, F.array(longer))).otherwise(F.concat(done, F.array(span)))
-
-    return F.aggregate(F.col(name), start, add)
-
-
 def is_contaminated(found: Column, one_in: int = 20) -> Column:
     """At least a twentieth of the words, and at least one, are hit."""
     return (found["n_hit"] > 0) & (one_in * found["n_hit"] >= found["n_words"])

@@ -1,6 +1,7 @@
 import re
 
 from tools import clashing
+from stayflow.llm import decontaminate as module
 from stayflow.llm.decontaminate import decontaminate, is_contaminated, windows
 from pyspark.sql import functions as F
 
@@ -83,3 +84,27 @@ def test_many_blocks_give_the_spans_of_one(spark):
     one, many = pick(decontaminate(docs, bench)), pick(decontaminate(docs, bench, max_pattern_bytes=60))
     assert len(one[0]["char_spans"]) == len(one[0]["word_runs"]) == 1
     assert many == one
+
+
+def test_many_blocks_read_the_documents_once_and_let_all_columns_pass(spark, odd, odd_rows, tmp_path):
+    rows = [r for r in odd_rows if r[0] != 8]
+    docs = clashing(spark.createDataFrame(rows, odd.schema)).withColumn("item_ids", F.lit("x"))
+    docs.write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    items = [i for i in items_of(odd_rows) if i[0] != 6]
+    found = decontaminate(docs, spark.createDataFrame(items, BENCHMARK), into="contamination", max_pattern_bytes=300)
+    assert found.columns == docs.columns
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "Exchange" not in text
+    assert answer(found) == brute(rows, items)
+    assert {r.copies for r in found.collect()} == {1}
+
+
+def test_texts_are_gathered_by_bytes_and_come_back_in_order(monkeypatch):
+    import pyarrow as pa
+
+    batches = [pa.array([b"ab"] * 10, pa.binary()) for _ in range(7)]
+    groups = list(module.gathered(iter(batches), 150))
+    assert [len(g) for g in groups][:-1] == [len(groups[0])] * (len(groups) - 1) and 1 < len(groups) < 7
+    assert [b for g in groups for b in g] == batches
+    assert [len(g) for g in module.gathered(iter(batches), 0)] == [1] * 7
