@@ -1,19 +1,22 @@
 """Sharding along a Hilbert curve, in DataFrame operations only.
 
-Metadata columns are quantised to ``BITS`` bits each; a cell of the resulting grid has an index on the Hilbert curve, so
-that neighbours in several dimensions stay neighbours in the order. Rows are ordered by curve index, text hash and id
-hash, and the order is cut into runs of equal row counts (law ``rows``): files of one shard span few values of every
-dimension, and equal texts of one cell stand side by side.
-
-The exact global position needs no global sort: rows are counted per cell, a cell with many rows is split by ranges
-of the text hash, a part that is still large (many copies of one text) by ranges of the id hash. Running totals over these
-counts give each part its first position, and a window inside each part does the rest. A part has about
-``PART_ROWS`` rows, whatever a source or a text repeats. Cells are at most 2 to the power of bits times dimensions; only
-their counts, never rows, meet in one task.
-
-Defined results: nulls of a dimension are one value of it; a null text has size 1 (0 bytes plus 1) and the checksum of
-the empty text; rows that are equal in every column get neighbouring slots; an empty table gives an empty result.
-Further columns may be carried along under one struct column, whatever their names.
+Metadata dimensions are quantised to ``BITS`` bits each, by the order of their values and about evenly filled, so that a range of bins is
+a range of values. A cell of the resulting grid has an index on the Hilbert curve, and neighbours in several dimensions stay
+neighbours in the order. The order is cut into runs of equal row counts (law ``rows``): files of one shard span few values of
+every dimension, and readers skip the others by minimum and maximum.
+
+Equal texts are one group. A group has one place, that of the row with its smallest id, whatever the other rows' metadata: groups are
+ordered by curve index and text hash, rows of a group by a hash of the row. So a cut between two shards can divide one group at most.
+The price: copies under another source or language widen the value ranges of the shard of their text.
+
+No global sort is needed for the exact position. Rows that are equal are counted first and become one unit; units make up groups,
+groups make up cells. Running totals over cells, over hash ranges of about ``PART_ROWS`` groups in a cell, and over hash ranges of about
+``PART_ROWS`` units in a group give every unit its first position. A unit with many rows is spread again. Cells are at most 2 to the power
+of bits times dimensions; only their counts, never rows, meet in one task.
+
+Defined results: nulls of a dimension are its first value; a null text is an empty one (size 1: 0 bytes plus 1); rows that are equal
+in every carried column get neighbouring slots; an empty table gives an empty result. Very long texts are only hashed. Further
+columns may be carried along under one struct column, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-BITS = 4
+BITS = 6
 SHARDS = 8
 PART_ROWS = 1000
 _HASH_RANGE = float(1 << 62)
@@ -82,26 +85,91 @@ def hilbert_index(coordinates: Sequence[Column], bits: int = BITS) -> Column:
     )
 
 
-def hashed_dimension(value: Column, bits: int = BITS) -> Column:
-    """A category as one of 2**bits values; null is a value too."""
-    return F.pmod(F.xxhash64(value), F.lit(1 << bits)).cast("int")
+def depth_bins(values: DataFrame, bins: int, purpose: str) -> DataFrame:
+    """(value, bin) from (value, n): the values in their order, nulls first, cut into bins of about equal sums of ``n``.
 
-
-def magnitude_dimension(value: Column, bits: int = BITS) -> Column:
-    """A size by its number of binary digits."""
-    digits = F.length(F.bin(F.greatest(value, F.lit(0)))) - 1
-    return F.least(digits, F.lit((1 << bits) - 1)).cast("int")
+    Values are dealt to tasks by range; only one sum per range meets in one task.
+    """
+    counted = values.groupBy("value").agg(F.sum("n").alias("n")).repartitionByRange("value")
+    ranged = stored(counted.withColumn("range", F.spark_partition_id()), f"hilbert-{purpose}")
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy("range").agg(F.sum("n").alias("m"))
+    starts = sums.select("range", F.coalesce(F.sum("m").over(earlier), F.lit(0)).alias("start"), F.sum("m").over(Window.partitionBy()).alias("all"))
+    inside = Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("inside", F.sum("n").over(inside)).join(starts, "range")
+    before = F.col("start") + F.coalesce("inside", F.lit(0))
+    return placed.select("value", F.floor(before * bins / F.col("all")).cast("int").alias("bin"))
 
 
 def part_number(hashed: Column, parts: Column) -> Column:
     """The hash space cut into ``parts`` ranges."""
-    share = F.shiftrightunsigned(hashed, 2).cast("double") / _HASH_RANGE
+    share = (F.shiftright(hashed, 2).cast("double") + (1 << 61)) / _HASH_RANGE
     return F.least(F.floor(share * parts), parts - 1).cast("long")
 
 
+def running_start(counted: DataFrame, keys: Sequence[str], order: str, into: str) -> DataFrame:
+    """Add the sum of ``n`` over the earlier rows of the same ``keys``."""
+    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return counted.withColumn(into, F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+
+
+def placed_groups(groups: DataFrame, dimensions: Sequence[str], bits: int, part_rows: int) -> DataFrame:
+    """(g, curve_index, start, total) of (g, n, and one column per dimension)."""
+    cell = F.lit(0).cast("long")
+    binned = groups
+    for i, d in enumerate(dimensions):
+        bins = depth_bins(groups.select(F.col(d).alias("value"), "n"), 1 << bits, d)
+        bins = stored(bins, "hilbert-bins")  # so that its size is known
+        binned = binned.join(bins.withColumnRenamed("bin", f"_bin{i}"), F.col(d).eqNullSafe(F.col("value"))).drop("value")
+        cell = cell * (1 << bits) + F.col(f"_bin{i}")
+    celled = stored(binned.select("g", "n", cell.alias("cell")), "hilbert-groups")
+    places = [F.shiftright("cell", bits * i).bitwiseAND(F.lit((1 << bits) - 1)) for i in reversed(range(len(dimensions)))]
+    cells = celled.groupBy("cell").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
+    before = Window.orderBy("curve_index").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("curve_index", hilbert_index(places, bits)).select(
+        "cell",
+        "curve_index",
+        F.ceil(F.col("texts") / part_rows).alias("parts"),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("cell_start"),
+        F.sum("n").over(Window.partitionBy()).alias("total"),
+    )
+    parted = celled.join(stored(cells, "hilbert-cells"), "cell").withColumn("part", part_number(F.col("g"), F.col("parts")))
+    parts = parted.groupBy("cell", "part").agg(F.sum("n").alias("n"))
+    parts = running_start(parts, ["cell"], "part", "part_start").drop("n")
+    started = running_start(parted, ["cell", "part"], "g", "here").join(parts, ["cell", "part"])
+    start = F.col("cell_start") + F.col("part_start") + F.col("here")
+    return started.select("g", "curve_index", start.alias("start"), "total")
+
+
+def placed_units(documents: DataFrame, dimensions: dict[str, Column], doc_id: Column, text: Column, rows: Column, bits: int, part_rows: int):
+    """(g, r, n, first, curve_index, total, and doc_id, size, text_crc32) of every kind of equal rows; ``rows`` tells rows apart."""
+    body = F.coalesce(text.cast("binary"), F.lit(b""))
+    units = documents.select(
+        F.xxhash64(body).alias("g"),
+        rows.alias("r"),
+        doc_id.alias("doc_id"),
+        (F.octet_length(body).cast("long") + 1).alias("size"),
+        F.crc32(body).alias("text_crc32"),
+        *[c.alias(f"d_{name}") for name, c in dimensions.items()],
+    )
+    kinds = [f"d_{name}" for name in dimensions]
+    units = units.groupBy(*units.columns).agg(F.count(F.lit(1)).alias("n"))
+    units = stored(units, "hilbert-units")
+    smallest = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *kinds, "size")).alias("s")
+    groups = units.groupBy("g").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("units"), smallest)
+    groups = stored(groups.select("g", "n", "units", *[F.col(f"s.{k}").alias(k) for k in kinds], F.col("s.size").alias("d_size")), "hilbert-texts")
+    placed = placed_groups(groups, [*kinds, "d_size"], bits, part_rows)
+    # Groups of one unit need no further order.
+    placed = placed.join(groups.select("g", F.ceil(F.col("units") / part_rows).alias("parts")), "g")
+    parted = units.drop(*kinds).join(stored(placed, "hilbert-starts"), "g").withColumn("part", part_number(F.col("r"), F.col("parts")))
+    parts = running_start(parted.groupBy("g", "part").agg(F.sum("n").alias("n")), ["g"], "part", "part_start").drop("n")
+    inside = running_start(parted, ["g", "part"], "r", "here").join(parts, ["g", "part"])
+    return inside.withColumn("first", F.col("start") + F.col("part_start") + F.col("here"))
+
+
 def shard_rows(
     documents: DataFrame,
-    dimensions: Sequence[Column] | None = None,
+    dimensions: Sequence[str] = ("source", "lang"),
     doc_id: str = "doc_id",
     text: str = "text",
     shards: int = SHARDS,
@@ -111,50 +179,32 @@ def shard_rows(
 ) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, curve_index, carried) of every row.
 
-    By default the dimensions are ``source``, ``lang`` and the size of the text.
+    The dimensions of the curve are the named columns and the size of the text.
     """
-    body = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
-    size = F.octet_length(body).cast("long") + 1
-    if dimensions is None:
-        dimensions = [hashed_dimension(F.col("source")), hashed_dimension(F.col("lang")), magnitude_dimension(size)]
-    cell = F.lit(0).cast("long")
-    for d in dimensions:
-        cell = cell * (1 << bits) + d
-    rows = documents.select(
-        F.col(doc_id).alias("doc_id"),
-        size.alias("size"),
-        F.crc32(body).alias("text_crc32"),
-        cell.alias("cell"),
-        F.xxhash64(F.col(text)).alias("g"),
-        F.xxhash64(F.col(doc_id), F.lit(1)).alias("r"),
-        F.struct(*carry).alias("carried") if carry else F.lit(None).cast("string").alias("carried"),
-    )
-    parts = F.ceil(F.col("n") / part_rows)
-    cells = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    places = [F.shiftright("cell", bits * i).bitwiseAND(F.lit((1 << bits) - 1)) for i in reversed(range(len(dimensions)))]
-    before = Window.orderBy("curve_index").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.withColumn("curve_index", hilbert_index(places, bits)).select(
-        "cell",
-        "curve_index",
-        parts.alias("p1"),
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("cell_start"),
-        F.sum("n").over(Window.partitionBy()).alias("total"),
-    )
-    # Written, its real size is known: the rows of a large cell are not brought together to meet it.
-    cells = stored(cells, "hilbert-cells")
-    by_text = rows.join(cells, "cell").withColumn("s1", part_number(F.col("g"), F.col("p1")))
-    texts = by_text.groupBy("cell", "s1").agg(F.count(F.lit(1)).alias("n")).select("cell", "s1", parts.alias("p2"))
-    placed = by_text.join(texts, ["cell", "s1"]).withColumn("s2", part_number(F.col("r"), F.col("p2")))
-    inside = Window.partitionBy("cell").orderBy("s1", "s2").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy("cell", "s1", "s2", "cell_start")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("cell", "s1", "s2", (F.col("cell_start") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("start"))
-    )
-    in_part = Window.partitionBy("cell", "s1", "s2").orderBy("g", "r", "doc_id")
-    ranked = placed.join(starts, ["cell", "s1", "s2"]).withColumn(
-        "rank", F.col("start") + F.row_number().over(in_part) - 1
-    )
+    told_apart = list(dict.fromkeys([doc_id, *dimensions, *carry]))
+    row_hash = F.xxhash64(*[F.col(c) for c in told_apart], *[F.col(c).isNull() for c in told_apart])
+    by_name = {f"{i}_{c}": F.col(c).cast("string") for i, c in enumerate(dimensions)}
+    units = placed_units(documents, by_name, F.col(doc_id), F.col(text), row_hash, bits, part_rows)
+    if carry:
+        # Equal rows are one row here, too, and come back as often as they were.
+        rows = documents.select(
+            F.xxhash64(F.coalesce(F.col(text).cast("binary"), F.lit(b""))).alias("_g"), row_hash.alias("_r"), F.struct(*carry).alias("carried")
+        )
+        kept = stored(units, "hilbert-places")
+        same = (F.col("_g") == F.col("g")) & (F.col("_r") == F.col("r"))
+        single = rows.join(kept.where("n = 1"), same).drop("_g", "_r")
+        many = rows.join(kept.where("n > 1"), same).groupBy("_g", "_r").agg(F.first("carried").alias("carried"))
+        units = single.unionByName(many.join(kept.where("n > 1"), same).drop("_g", "_r"))
+    else:
+        units = units.withColumn("carried", F.lit(None).cast("string"))
+    # A unit of very many rows is dealt out by blocks before it is spread.
+    blocks = F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {part_rows}"))
+    blocked = units.withColumn("block", F.explode(blocks))
+    large = blocked.where(F.col("n") > part_rows).repartition("g", "r", "block")
+    spread = blocked.where(F.col("n") <= part_rows).unionByName(large)
+    last = F.least(F.col("n"), (F.col("block") + 1) * part_rows) - 1
+    ranked = spread.withColumn("copy", F.explode(F.sequence(F.col("block") * part_rows, last)))
+    ranked = ranked.withColumn("rank", F.col("first") + F.col("copy"))
     shard = F.expr(f"cast(rank * {shards} div total as int)")
     first = F.expr(f"(shard * total + {shards - 1}) div {shards}")
     return ranked.withColumn("shard", shard).select(
