@@ -162,6 +162,7 @@ def placed_units(documents: DataFrame, dimensions: dict[str, Column], doc_id: Co
     # Groups of one unit need no further order.
     placed = placed.join(groups.select("g", F.ceil(F.col("units") / part_rows).alias("parts")), "g")
     parted = units.drop(*kinds).join(stored(placed, "hilbert-starts"), "g").withColumn("part", part_number(F.col("r"), F.col("parts")))
+    parted = parted.repartition("g", "part")  # else the join's partitions, by group, would do for the windows
     parts = running_start(parted.groupBy("g", "part").agg(F.sum("n").alias("n")), ["g"], "part", "part_start").drop("n")
     inside = running_start(parted, ["g", "part"], "r", "here").join(parts, ["g", "part"])
     return inside.withColumn("first", F.col("start") + F.col("part_start") + F.col("here"))
