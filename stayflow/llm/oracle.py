@@ -85,11 +85,11 @@ FROM numbered s JOIN cuts c ON s.source IS NOT DISTINCT FROM c.source
 
 REVISIT = r"""
 WITH bare AS (
-    SELECT page_id, md5(html) AS tag,
+    SELECT page_id, '"' || md5(html) || '"' AS tag, '"' || md5(html || '2') || '"' AS changed,
            regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS b
     FROM pages
 ), parts AS (
-    SELECT page_id, tag,
+    SELECT page_id, tag, changed,
            regexp_replace(lower(regexp_extract(b, '^[^/?]*')), '^(www|m)\.|:(80|443)$', '', 'g') AS host,
            regexp_replace(regexp_replace(regexp_extract(regexp_replace(b, '^[^/?]*', ''), '^[^?]*'),
                                          '(/index)?\.html?$', ''), '/+$', '') AS path,
@@ -97,25 +97,31 @@ WITH bare AS (
                        lambda p: NOT regexp_full_match(p, '(utm_[^=&]*|ref|fbclid|gclid)(=[^&]*)?') AND p <> '') AS kept
     FROM bare
 ), keyed AS (
-    SELECT page_id, tag, host || path || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS url_key
+    SELECT page_id, tag, changed, host || path || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS url_key
     FROM parts
 ), records AS (
-    SELECT page_id * 3 + n AS record_id, url_key, page_id + later AS captured_at, kind, tag, page_id
-    FROM keyed, (VALUES ('response', 0, 0), ('revisit', 1, 50), ('revisit', 2, -7)) AS k(kind, n, later)
+    SELECT page_id * 7 + n AS record_id, url_key, page_id + later AS captured_at, kind, page_id,
+           CASE n WHEN 1 THEN 'W/' || tag WHEN 3 THEN changed WHEN 5 THEN NULL WHEN 6 THEN NULL ELSE tag END AS etag,
+           CASE WHEN n IN (3, 4, 5) THEN page_id END AS day
+    FROM keyed, (VALUES ('response', 0, 0), ('revisit', 1, 50), ('revisit', 2, -7), ('response', 3, 100), ('revisit', 4, 150),
+                        ('revisit', 5, 160), ('revisit', 6, 170)) AS k(kind, n, later)
 ), sourced AS (
-    SELECT r.*, s.record_id AS source_id, s.captured_at AS source_at, s.tag AS source_tag
+    SELECT r.*, s.record_id AS source_id, s.captured_at AS source_at, s.etag AS source_tag, s.day AS source_day
     FROM records r LEFT JOIN LATERAL (
-        SELECT record_id, captured_at, tag FROM records x
+        SELECT record_id, captured_at, etag, day FROM records x
         WHERE x.kind = 'response' AND x.url_key = r.url_key AND x.captured_at < r.captured_at AND r.kind = 'revisit'
         ORDER BY x.captured_at DESC, x.record_id DESC LIMIT 1) s ON true
 ), judged AS (
     SELECT *, CASE WHEN kind = 'response' THEN 'response' WHEN source_id IS NULL THEN 'no_earlier'
-                   WHEN source_tag = tag THEN 'resolved' ELSE 'mismatch' END AS status FROM sourced
+                   WHEN etag IS NOT NULL AND source_tag IS NOT NULL
+                   THEN CASE WHEN replace(etag, 'W/', '') = replace(source_tag, 'W/', '') THEN 'resolved' ELSE 'mismatch' END
+                   WHEN day IS NOT NULL AND source_day IS NOT NULL THEN CASE WHEN day = source_day THEN 'resolved' ELSE 'mismatch' END
+                   ELSE 'unverified' END AS status FROM sourced
 )
 SELECT record_id, url_key, captured_at, kind, status, source_id, source_at,
        CASE WHEN status IN ('response', 'resolved')
-            THEN 'cache-control=max-age=60;content-type=text/html;date=' || captured_at || ';etag="' || tag || '"'
-            ELSE 'content-type=text/plain;date=' || captured_at || ';etag="' || tag || '";set-cookie=' || page_id END AS headers
+            THEN 'cache-control=max-age=60;content-type=text/html;date=' || captured_at || ';etag=' || coalesce(etag, '-')
+            ELSE 'content-type=text/plain;date=' || captured_at || ';etag=' || coalesce(etag, '-') || ';set-cookie=' || page_id END AS headers
 FROM judged
 """
 

@@ -4,12 +4,16 @@ A revisit record (a 304 answer) has no body. It is resolved by an as-of join on
 response that was captured strictly earlier. Its validators are compared (entity tag first, weak tags by value, else the
 modification date); on a match the response's headers are kept, replaced where the 304 may say so.
 
-A URL may hold a third of all records: its captures are cut into time ranges of about ``RANGE_ROWS`` records. Each range
-hands its last response on, a running maximum over the ranges (one row each) carries it forward, and a window inside
-the range does the rest. Bodies are not moved: records carry ids, validators and headers only.
-
-Defined results: a record without a URL resolves to nothing; one without a time neither resolves nor serves; of
-responses captured at the same time the one with the largest id counts; repeated records are resolved each by itself.
+Only moments matter to the join: of all responses of a URL at one time the one with the largest id counts, so they are merged to one row
+per URL and time before anything is ordered, combined before the shuffle. These moments are dealt to tasks by ranges of (URL, time) of
+about ``RANGE_ROWS`` moments, cut by a sample of the rows: a URL with a third of all captures takes many ranges, and one capture
+with a far-off time shifts no cut. Each range of a URL hands its last response on, a running maximum over the ranges (one row
+each) carries it forward, and a window inside the range does the rest. Revisits then meet the moment they were made at. Bodies are
+not moved: records carry ids, validators and headers only.
+
+Defined results: a record without a URL resolves to nothing; one without a time neither resolves nor serves; repeated records are
+resolved each by itself; an empty table gives an empty result. Very long URLs are ordinary ones. Other columns pass through, whatever
+their names; the new columns replace columns of the same name.
 ``status`` is ``response``, ``resolved``, ``mismatch``, ``unverified`` (no validator to compare) or ``no_earlier``.
 """
 
@@ -18,7 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGE_ROWS = 5000
+from .common import stored
+
+RANGE_ROWS = 50_000
 # Headers of a 304 answer that replace those of the stored response (RFC 9110, 15.4.5).
 PERMITTED = ["cache-control", "content-location", "date", "etag", "expires", "vary"]
 HEADERS = "array<struct<name:string,value:string>>"
@@ -53,64 +59,58 @@ def merged_headers(stored: Column, fresh: Column) -> Column:
     return F.array_sort(F.concat(old, allowed))
 
 
+def earlier_responses(moments: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """(url_key, at, source) from (url_key, at, response): for each moment the last response of the URL before it."""
+    moments = stored(moments, "revisit-moments")
+    wanted = max(-(-moments.count() // range_rows), 1)
+    ranged = moments.repartitionByRange(wanted, "url_key", "at").withColumn("range", F.spark_partition_id())
+    ranged = stored(ranged, "revisit-ranges")  # the cuts are kept with the rows
+    earlier = Window.partitionBy("url_key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    last = ranged.groupBy("url_key", "range").agg(F.max("response").alias("last"))
+    carried = last.select("url_key", "range", F.max("last").over(earlier).alias("carried"))
+    inside = Window.partitionBy("url_key", "range").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    found = ranged.withColumn("here", F.max("response").over(inside)).join(carried, ["url_key", "range"])
+    return found.select("url_key", "at", F.coalesce("here", "carried").alias("source"))
+
+
 def resolve_revisits(records: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Resolve (record_id, url, at, kind, etag, last_modified, headers); kind is ``response`` or ``revisit``.
 
     Adds url_key, source_id, source_at, status and the merged headers. Other columns pass through.
     """
-    keyed = records.withColumn("url_key", canonical_url(F.col("url")))
-    usable = F.col("url_key").isNotNull() & F.col("at").isNotNull()
-    spread = (
-        keyed.where(usable)
-        .groupBy("url_key")
-        .agg(F.min("at").alias("_low"), F.max("at").alias("_high"), F.count(F.lit(1)).alias("_n"))
-    )
-    ranges = F.ceil(F.col("_n") / range_rows)
-    place = (F.col("at") - F.col("_low")) / (F.col("_high") - F.col("_low") + 1)
-    placed = keyed.join(spread, "url_key", "left").withColumn(
-        "_range", F.when(F.col("at").isNotNull(), F.floor(place * ranges)).otherwise(-1)
-    ).drop("_low", "_high", "_n")
-    as_source = F.when(
-        (F.col("kind") == "response") & F.col("at").isNotNull(),
-        F.struct("at", "record_id", "etag", "last_modified", "headers"),
-    )
-    earlier_ranges = Window.partitionBy("url_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        placed.where(usable)
-        .groupBy("url_key", "_range")
-        .agg(F.max(as_source).alias("_last"))
-        .select("url_key", "_range", F.max("_last").over(earlier_ranges).alias("_carried"))
-    )
-    in_range = Window.partitionBy("url_key", "_range").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
-    # Records without a URL form no group: they are spread by their id.
-    lone = placed.where(~usable).withColumn("_source", F.lit(None).cast(placed.select(as_source.alias("s")).schema[0].dataType))
-    found = (
-        placed.where(usable)
-        .withColumn("_here", F.max(as_source).over(in_range))
-        .join(carried, ["url_key", "_range"])
-        .withColumn("_source", F.coalesce("_here", "_carried"))
-        .drop("_here", "_carried")
-    )
-    both = found.unionByName(lone)
-    tags = F.col("etag").isNotNull() & F.col("_source.etag").isNotNull()
-    dates = F.col("last_modified").isNotNull() & F.col("_source.last_modified").isNotNull()
-    same = F.when(tags, entity_tag(F.col("etag")) == entity_tag(F.col("_source.etag"))).when(
-        dates, F.col("last_modified") == F.col("_source.last_modified")
-    )
+    made = ["url_key", "source_id", "source_at", "status", "headers"]
+    record = F.col("record")
+    rows = records.select(F.struct("*").alias("record")).withColumn("url_key", canonical_url(record["url"]))
+    usable = F.col("url_key").isNotNull() & record["at"].isNotNull()
+    is_response = F.coalesce(record["kind"] == "response", F.lit(False))
+    names = ["at", "record_id", "etag", "last_modified", "headers"]
+    response = F.when(is_response, F.struct(*[record[n].alias(n) for n in names]))
+    moments = rows.where(usable).groupBy("url_key", record["at"].alias("at")).agg(F.max(response).alias("response"))
+    before = earlier_responses(moments, range_rows).withColumnsRenamed({"url_key": "key", "at": "moment"})
+    asking = usable & ~is_response
+    met = rows.where(asking).join(before, (F.col("url_key") == F.col("key")) & (record["at"] == F.col("moment")), "left")
+    nothing = F.lit(None).cast(before.schema["source"].dataType).alias("source")
+    both = met.select("record", "url_key", "source").unionByName(rows.where(~asking).select("record", "url_key", nothing))
+
+    old = F.col("source")
+    tags = record["etag"].isNotNull() & old["etag"].isNotNull()
+    dates = record["last_modified"].isNotNull() & old["last_modified"].isNotNull()
+    same = F.when(tags, entity_tag(record["etag"]) == entity_tag(old["etag"])).when(dates, record["last_modified"] == old["last_modified"])
     status = (
-        F.when(F.col("kind") == "response", "response")
-        .when(F.col("_source").isNull(), "no_earlier")
+        F.when(is_response, "response")
+        .when(old.isNull(), "no_earlier")
         .when(same.isNull(), "unverified")
         .when(same, "resolved")
         .otherwise("mismatch")
     )
-    resolved = F.col("status") == "resolved"
-    return (
-        both.withColumn("status", status)
-        .withColumn("source_id", F.when(F.col("kind") != "response", F.col("_source.record_id")))
-        .withColumn("source_at", F.when(F.col("kind") != "response", F.col("_source.at")))
-        .withColumn("headers", F.when(resolved, merged_headers(F.col("_source.headers"), F.col("headers"))).otherwise(F.col("headers")))
-        .drop("_source", "_range")
+    headers = F.when(status == "resolved", merged_headers(old["headers"], record["headers"])).otherwise(record["headers"])
+    return both.select(
+        *[record.getField(c).alias(c) for c in records.columns if c not in made],
+        headers.alias("headers"),
+        "url_key",
+        status.alias("status"),
+        old["record_id"].alias("source_id"),
+        old["at"].alias("source_at"),
     )
 
 
@@ -119,29 +119,42 @@ def header(name: str, value: Column) -> Column:
 
 
 def archive_of(pages: DataFrame) -> DataFrame:
-    """Archive records of a table of pages: each page is one response and is revisited twice.
+    """Archive records of a table of pages: each page is captured twice and revisited five times.
 
-    A page is captured at second ``page_id``, revisited 50 seconds later, and asked for 7 seconds before its own capture,
-    when only an older capture of the URL can answer.
+    The first capture is made at second ``page_id`` with an entity tag of its content; at second 100 after it the page has changed
+    and has a new tag and a date. It is asked for before the first capture (an older capture of the same URL may answer), with the first
+    tag in between, and after the change with the old tag, with the date alone, and with neither.
     """
     tag = F.concat(F.lit('"'), F.md5(F.col("html").cast("binary")), F.lit('"'))
-    base = pages.select("page_id", "url", tag.alias("tag"))
-    kinds = F.array(
-        F.struct(F.lit("response").alias("kind"), F.lit(0).alias("n"), F.lit(0).alias("later")),
-        F.struct(F.lit("revisit").alias("kind"), F.lit(1).alias("n"), F.lit(50).alias("later")),
-        F.struct(F.lit("revisit").alias("kind"), F.lit(2).alias("n"), F.lit(-7).alias("later")),
+    changed = F.concat(F.lit('"'), F.md5(F.concat(F.col("html"), F.lit("2")).cast("binary")), F.lit('"'))
+    none, day = F.lit(None).cast("string"), F.col("page_id").cast("long")
+    weak = F.concat(F.lit("W/"), tag)
+    visits = [
+        ("response", 0, tag, F.lit(None).cast("long")),
+        ("revisit", 50, weak, F.lit(None).cast("long")),
+        ("revisit", -7, tag, F.lit(None).cast("long")),
+        ("response", 100, changed, day),
+        ("revisit", 150, tag, day),
+        ("revisit", 160, none, day),
+        ("revisit", 170, none, F.lit(None).cast("long")),
+    ]
+    listed = F.array(
+        *[
+            F.struct(F.lit(kind).alias("kind"), F.lit(n).alias("n"), F.lit(later).alias("later"), t.alias("tag"), d.alias("day"))
+            for n, (kind, later, t, d) in enumerate(visits)
+        ]
     )
-    each = base.select("*", F.explode(kinds).alias("k")).withColumn("at", F.col("page_id") + F.col("k.later"))
+    each = pages.select("page_id", "url", F.inline(listed)).withColumn("at", F.col("page_id") + F.col("later"))
     full = F.array(header("cache-control", F.lit("max-age=60")), header("content-type", F.lit("text/html")),
-                   header("date", F.col("at")), header("etag", F.col("tag")))
-    short = F.array(header("content-type", F.lit("text/plain")), header("date", F.col("at")), header("etag", F.col("tag")),
-                    header("set-cookie", F.col("page_id")))
+                   header("date", F.col("at")), header("etag", F.coalesce("tag", F.lit("-"))))
+    short = F.array(header("content-type", F.lit("text/plain")), header("date", F.col("at")),
+                    header("etag", F.coalesce("tag", F.lit("-"))), header("set-cookie", F.col("page_id")))
     return each.select(
-        (F.col("page_id") * 3 + F.col("k.n")).alias("record_id"),
+        (F.col("page_id") * len(visits) + F.col("n")).alias("record_id"),
         "url",
         "at",
-        F.col("k.kind").alias("kind"),
-        F.when(F.col("k.n") == 1, F.concat(F.lit("W/"), F.col("tag"))).otherwise(F.col("tag")).alias("etag"),
-        F.lit(None).cast("long").alias("last_modified"),
-        F.when(F.col("k.kind") == "response", full).otherwise(short).alias("headers"),
+        "kind",
+        F.col("tag").alias("etag"),
+        F.col("day").alias("last_modified"),
+        F.when(F.col("kind") == "response", full).otherwise(short).alias("headers"),
     )
