@@ -79,8 +79,8 @@ def resolve_revisits(records: DataFrame, range_rows: int = RANGE_ROWS) -> DataFr
     Adds url_key, source_id, source_at, status and the merged headers. Other columns pass through.
     """
     made = ["url_key", "source_id", "source_at", "status", "headers"]
-    record = F.col("record")
-    rows = records.select(F.struct("*").alias("record")).withColumn("url_key", canonical_url(record["url"]))
+    record, old = F.col("_revisit_record"), F.col("_revisit_source")
+    rows = records.select(F.struct("*").alias("_revisit_record")).withColumn("url_key", canonical_url(record["url"]))
     usable = F.col("url_key").isNotNull() & record["at"].isNotNull()
     is_response = F.coalesce(record["kind"] == "response", F.lit(False))
     names = ["at", "record_id", "etag", "last_modified", "headers"]
@@ -88,11 +88,11 @@ def resolve_revisits(records: DataFrame, range_rows: int = RANGE_ROWS) -> DataFr
     moments = rows.where(usable).groupBy("url_key", record["at"].alias("at")).agg(F.max(response).alias("response"))
     before = earlier_responses(moments, range_rows).withColumnsRenamed({"url_key": "key", "at": "moment"})
     asking = usable & ~is_response
+    before = before.withColumnRenamed("source", "_revisit_source")
     met = rows.where(asking).join(before, (F.col("url_key") == F.col("key")) & (record["at"] == F.col("moment")), "left")
-    nothing = F.lit(None).cast(before.schema["source"].dataType).alias("source")
-    both = met.select("record", "url_key", "source").unionByName(rows.where(~asking).select("record", "url_key", nothing))
+    nothing = F.lit(None).cast(before.schema["_revisit_source"].dataType).alias("_revisit_source")
+    both = met.select(record, "url_key", old).unionByName(rows.where(~asking).select(record, "url_key", nothing))
 
-    old = F.col("source")
     tags = record["etag"].isNotNull() & old["etag"].isNotNull()
     dates = record["last_modified"].isNotNull() & old["last_modified"].isNotNull()
     same = F.when(tags, entity_tag(record["etag"]) == entity_tag(old["etag"])).when(dates, record["last_modified"] == old["last_modified"])
