@@ -13,9 +13,9 @@ from .plans import batch, scoring, training
 from .schema import ALL_DAYS, EXPORT_FEATURES, MODEL_FEATURES
 from .session import session
 from .sources.files import read_user_table
-from .sources.lake import read_zone
+from .sources.lake import FILE_BYTES, pack_days, read_zone
 from .streaming.runs import stop_when_idle
-from .streaming.zones import Lake, ingest, ingest_forever
+from .streaming.zones import Lake, ingest, ingest_forever, write_users
 
 
 def features(spark, args) -> None:
@@ -62,6 +62,16 @@ def gold(spark, args) -> None:
     batch.rebuild_gold(spark, lake.data("silver"), lake.data("gold"), args.days)
 
 
+def users(spark, args) -> None:
+    query = write_users(spark, Lake(args.lake), args.every, args.days)
+    query.awaitTermination()
+
+
+def pack(spark, args) -> None:
+    packed = pack_days(spark, Lake(args.lake).data("silver"), args.file_bytes)
+    print(f"{len(packed)} days packed")
+
+
 def score(spark, args) -> None:
     model = training.load_model(args.model)
     silver = read_zone(spark, Lake(args.lake).data("silver"))
@@ -107,6 +117,17 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--days", type=int, default=ALL_DAYS)
     job.set_defaults(run=gold)
 
+    job = jobs.add_parser("users", help="keep the user table up to date with silver, rebuilding touched users only")
+    job.add_argument("lake")
+    job.add_argument("--days", type=int, default=ALL_DAYS)
+    job.add_argument("--every", help="interval such as '2 seconds'; without it, take what is there and stop")
+    job.set_defaults(run=users)
+
+    job = jobs.add_parser("pack", help="pack the small files of the silver zone's days")
+    job.add_argument("lake")
+    job.add_argument("--file-bytes", type=int, default=FILE_BYTES)
+    job.set_defaults(run=pack)
+
     job = jobs.add_parser("score", help="users per predicted class of the silver zone")
     job.add_argument("lake")
     job.add_argument("model")

@@ -28,9 +28,13 @@ def bucket_of(value: Column, cuts: Column) -> Column:
 
 
 def running_totals(
-    df: DataFrame, order_by: str, totals: Sequence[str], descending: bool = True, buckets: int = BUCKETS
+    df: DataFrame, order_by: str, totals: Sequence[str], descending: bool = True, buckets: int | None = None
 ) -> DataFrame:
-    """Add ``cum_<t>`` for each of ``totals``; ``df`` must hold one row per ``order_by`` value."""
+    """Add ``cum_<t>`` for each of ``totals``; ``df`` must hold one row per ``order_by`` value.
+
+    By default there are as many buckets as the session has shuffle partitions, ``BUCKETS`` at least.
+    """
+    buckets = buckets or max(BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = df.agg(cut_points(F.col(order_by), buckets).alias("cuts")).scalar()
     placed = df.withColumn("_cuts", cuts).withColumn("_bucket", bucket_of(F.col(order_by), F.col("_cuts")))
     placed = placed.drop("_cuts")

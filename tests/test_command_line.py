@@ -42,6 +42,11 @@ def test_features_profile_and_train(spark, events, monkeypatch, capsys):
     cli.main(["stream", events, base])
     cli.main(["gold", base])
     assert spark.read.parquet(zones.Lake(base).data("gold")).count() == files.read_user_table(spark, users).count()
+    silver = zones.read_zone(spark, zones.Lake(base).data("silver")).count()
+    cli.main(["pack", base])
+    assert zones.read_zone(spark, zones.Lake(base).data("silver")).count() == silver
+    cli.main(["users", base])
+    assert zones.user_state(spark, zones.Lake(base)).users().count() == files.read_user_table(spark, users).count()
     cli.main(["score", base, f"{models}/best"])
     assert "prediction" in capsys.readouterr().out
 
