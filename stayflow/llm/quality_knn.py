@@ -44,7 +44,9 @@ _RUNS = re.compile(rb"([xX0])\1+")
 
 
 class ShapeTerms(dict):
-    """Positions of shapes: ``Xxxxxxx,`` counts as ``Xx,`` and ``XX!!`` as ``X!!``; what kind of token it is, not which."""
+    """Positions of shapes: ``Xxxxxxx,`` counts as ``Xx,`` and ``XX!!`` as ``X!!``; what kind of token it is, not which.
+
+    Only the first 12 bytes of a shape count: longer ones are rare and say nothing more about prose."""
 
     def __missing__(self, token: bytes) -> int:
         term = crc32(_RUNS.sub(rb"\1", token)[:12]) % (SHAPES - 1)

@@ -1,4 +1,7 @@
-"""Removal of long repeated substrings with run-length indexes.
+"""Removal of long repeated substrings by anchored buckets of sorted 50-byte strings.
+
+This takes the place of a run-compressed Burrows-Wheeler index with matching statistics; the README says why. ``RunIndex`` and the
+query keep their names. The result is exact.
 
 A byte goes if it lies in a string of ``LENGTH`` bytes that also starts in a document with a smaller id. All such strings of
 all documents are compared, exactly and without pairs of documents:
@@ -12,16 +15,16 @@ all documents are compared, exactly and without pairs of documents:
 * A task that reads the texts sends each distinct piece once, for the smallest of its documents; for its other documents it
   is settled there. A passage that a third of all documents share thus costs one piece per task.
 * In each bucket of anchors, pieces that are equal as a whole are settled by their smallest document. The rest are different
-  pieces with a common anchor: over their text a run-length index is built. Its rows are the starts of all strings in the
-  order of their 50 bytes; among equal ones the preceding byte (the Burrows-Wheeler character) and then the document
-  decide, which gives the longest runs. Only the first row of each run, its sampled end, keeps the document. Streaming
-  the strings along the rows gives their matching statistic up to 50 bytes: a string is matched if a run of its rows begins
-  in a smaller document.
+  pieces with a common anchor: the starts of all their strings are sorted by their 50 bytes, and a string is matched if an equal one
+  starts in a smaller document. Equal strings are further ordered by the preceding byte and the document, and each stretch of one
+  preceding byte keeps its smallest document; this order is not used beyond that. There is no backward step and no match length.
 
 The runs of matched strings come back to their documents, are joined to spans and cut out.
 
 Defined results: null texts are empty; texts shorter than 50 bytes lose nothing; rows without a doc_id neither lose bytes nor
-cause losses; rows that repeat a doc_id do not count as smaller than each other. Other columns are not used.
+cause losses; rows that repeat a doc_id do not count as smaller than each other. Ids must be whole numbers or texts of such; others
+are an error. Very long texts are cut into slices that overlap by a string. An empty table gives an empty result. Other columns are
+not used.
 """
 
 from __future__ import annotations
@@ -290,7 +293,7 @@ def cutter(hot: Broadcast, buckets: int):
 
 
 class RunIndex:
-    """Run-length index of the strings of some pieces (text, offsets, numbers of strings, documents)."""
+    """Sorted strings of some pieces (text, offsets, numbers of strings, documents)."""
 
     def __init__(self, text: bytes, offsets: np.ndarray, runs: np.ndarray, docs: np.ndarray):
         self.piece = np.repeat(np.arange(len(offsets)), runs)
