@@ -5,6 +5,7 @@ import pytest
 from tools import clashing
 from stayflow.llm import quality_knn, toxicity
 from stayflow.llm.common import held_out
+from stayflow.llm.labelled import training_rows
 from pyspark.sql import functions as F
 
 
@@ -91,3 +92,14 @@ def test_neighbours_are_exact():
         weight = np.clip(near[best], 0, None) ** 4
         assert s == pytest.approx((weight * y[best]).sum() / weight.sum(), abs=1e-4)
     assert got[2] == got[3] == 0.5
+
+
+def test_an_id_with_many_texts_gives_one_learning_row(spark):
+    many = [(7, f"text {i}") for i in range(500)]
+    docs = spark.createDataFrame(many + [(9, "same"), (11, "same"), (12, None)], "doc_id long, text string")
+    marks = spark.createDataFrame([(7, 1), (9, 1), (11, 0), (12, 1)], "doc_id long, toxic int")
+    rows = [tuple(r) for r in training_rows(docs, marks, "toxic", 10).collect()]
+    assert sum(t.startswith("text") for t, _ in rows) == 1
+    assert [v for t, v in rows if t == "same"] == [0]
+    again = training_rows(docs.repartition(9), marks, "toxic", 10).collect()
+    assert sorted(map(tuple, again)) == sorted(rows)
