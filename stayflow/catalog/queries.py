@@ -449,8 +449,14 @@ def incremental_user_features(spark, folder, days):
 # --- streaming -----------------------------------------------------------------------------------------------
 
 
-def _deliver(lines: DataFrame, path: str, parts: int = 4) -> None:
-    lines.repartition(parts).write.mode("append").text(path)
+def _deliver(lines: DataFrame, path: str, parts: int = 4, batches: int = 2) -> int:
+    """Append lines as at least ``parts`` files; returns how many of them a batch takes, so that there are ``batches``.
+
+    Each task of the scan writes its own file, so none grows with the table. Only a scan of fewer tasks is dealt out.
+    """
+    scanned = lines.rdd.getNumPartitions()
+    (lines if scanned >= parts else lines.repartition(parts)).write.mode("append").text(path)
+    return -(-max(scanned, parts) // batches)
 
 
 def _new_lake(spark) -> zones.Lake:
@@ -460,16 +466,16 @@ def _new_lake(spark) -> zones.Lake:
 @query("stream_raw_lines")
 def stream_raw_lines(spark, folder):
     incoming, zone = new_folder(spark, "incoming"), _new_lake(spark)
-    _deliver(json_lines(activity_log(spark, folder)), incoming)
-    runs.drain(zones.land_raw(files.stream_lines(spark, incoming, 2), zone))
+    share = _deliver(json_lines(activity_log(spark, folder)), incoming)
+    runs.drain(zones.land_raw(files.stream_lines(spark, incoming, share), zone))
     return files.read_lines(spark, zone.data("raw"))
 
 
 @query("stream_bronze")
 def stream_bronze(spark, folder):
     incoming, zone = new_folder(spark, "incoming"), _new_lake(spark)
-    _deliver(json_lines(activity_log(spark, folder)), incoming)
-    runs.drain(zones.write_bronze(files.stream_lines(spark, incoming, 2), zone))
+    share = _deliver(json_lines(activity_log(spark, folder)), incoming)
+    runs.drain(zones.write_bronze(files.stream_lines(spark, incoming, share), zone))
     return lake.read_zone(spark, zone.data("bronze")).select(*ZONE_COLUMNS)
 
 
@@ -479,10 +485,10 @@ def stream_silver(spark, folder):
     incoming, zone = new_folder(spark, "incoming"), _new_lake(spark)
     log = activity_log(spark, folder)
     early = log.where(clean.day_of(F.col("ts")) < REDELIVERED_FROM)
-    _deliver(json_lines(early.union(early)), incoming)
-    zones.ingest(spark, incoming, zone, files_per_batch=2)
-    _deliver(json_lines(log), incoming)
-    return zones.ingest(spark, incoming, zone, files_per_batch=2).select(*ZONE_COLUMNS)
+    share = _deliver(json_lines(early.union(early)), incoming)
+    zones.ingest(spark, incoming, zone, files_per_batch=share)
+    share = _deliver(json_lines(log), incoming)
+    return zones.ingest(spark, incoming, zone, files_per_batch=share).select(*ZONE_COLUMNS)
 
 
 @query("stream_silver_nodedup")
@@ -512,8 +518,8 @@ def stream_silver_rejects(spark, folder):
 
 def _streamed_counts(spark, lines: DataFrame, counter) -> DataFrame:
     incoming, out = new_folder(spark, "incoming"), new_folder(spark, "counts")
-    _deliver(lines, incoming)
-    stream = files.stream_lines(spark, incoming, 2)
+    share = _deliver(lines, incoming)
+    stream = files.stream_lines(spark, incoming, share)
     runs.drain(counts.keep_latest(counter(stream), out, new_folder(spark, "checkpoint")))
     return counts.latest_counts(spark, out)
 
@@ -529,8 +535,8 @@ def stream_token_changes(spark, folder):
     """Token counts kept by the changes of each batch."""
     lines = activity_log(spark, folder).select(F.col("page").alias("value"))
     incoming, out = new_folder(spark, "incoming"), new_folder(spark, "changes")
-    _deliver(lines, incoming)
-    counted = counts.token_counts(files.stream_lines(spark, incoming, 1))
+    share = _deliver(lines, incoming, batches=4)
+    counted = counts.token_counts(files.stream_lines(spark, incoming, share))
     runs.drain(counts.keep_changes(counted, out, new_folder(spark, "checkpoint"), fold=3))
     return counts.changed_counts(spark, out)
 
@@ -552,9 +558,9 @@ def live_page_totals(spark, folder):
 def stream_progress(spark, folder):
     """All batches of a streaming count, as a listener has logged them."""
     incoming = new_folder(spark, "incoming")
-    _deliver(json_lines(activity_log(spark, folder)), incoming)
+    share = _deliver(json_lines(activity_log(spark, folder)), incoming)
     with runs.ProgressLog(spark, new_folder(spark, "progress")) as log:
-        counted = counts.page_counts(files.stream_lines(spark, incoming, 2))
+        counted = counts.page_counts(files.stream_lines(spark, incoming, share))
         log.wait(runs.drain(counts.keep_latest(counted, new_folder(spark, "counts"), new_folder(spark, "checkpoint"))))
     return log.table().groupBy("name").agg(F.sum("input_rows").alias("input_rows"))
 

@@ -5,6 +5,7 @@ import json
 import pytest
 
 from log_data import event, random_rows
+from stayflow.catalog import queries
 from stayflow.operators import clean
 from stayflow.schema import EVENT_SCHEMA
 from stayflow.session import new_folder
@@ -151,3 +152,12 @@ class OtherSilver(zones.Lake):
 
     def checkpoint(self, zone):
         return f"{self.data(zone)}-checkpoint"
+
+
+def test_a_delivery_has_a_file_per_task_of_its_scan(spark):
+    path = new_folder(spark, "incoming")
+    assert queries._deliver(spark.range(0, 240, 1, 12).selectExpr("string(id) AS value"), path) == 6
+    assert len(spark.read.text(path).inputFiles()) == 12
+    assert queries._deliver(spark.range(0, 240, 1, 1).selectExpr("string(id) AS value"), path, batches=4) == 1
+    assert len(spark.read.text(path).inputFiles()) == 16
+    assert spark.read.text(path).distinct().count() == 240
