@@ -229,10 +229,11 @@ def ingest(
 ) -> DataFrame:
     """Carry all text files of ``incoming`` through raw and bronze into silver, each exactly once.
 
-    A micro-batch is bounded by bytes; ``files_per_batch`` bounds those of text lines by files instead.
+    A micro-batch is bounded by bytes; ``files_per_batch`` bounds those of incoming lines by files instead. The raw zone has a file
+    per task that landed it, and a few of these would keep as few cores busy, so its batches are always bounded by bytes.
     """
     drain(land_raw(stream_lines(spark, incoming, files_per_batch, bytes_per_batch), lake))
-    drain(write_bronze(stream_lines(spark, lake.data("raw"), files_per_batch, bytes_per_batch), lake))
+    drain(write_bronze(stream_lines(spark, lake.data("raw"), None, bytes_per_batch), lake))
     if zone_exists(spark, lake.data("bronze")):
         drain(write_silver(spark, lake, None, keys, dedup, bytes_per_batch, recent))
     return read_zone(spark, lake.data("silver"))

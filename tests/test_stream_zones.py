@@ -161,3 +161,12 @@ def test_a_delivery_has_a_file_per_task_of_its_scan(spark):
     assert queries._deliver(spark.range(0, 240, 1, 1).selectExpr("string(id) AS value"), path, batches=4) == 1
     assert len(spark.read.text(path).inputFiles()) == 16
     assert spark.read.text(path).distinct().count() == 240
+
+
+def test_bronze_batches_do_not_depend_on_the_number_of_raw_files(spark, places):
+    incoming, lake = places
+    rows = random_rows(54, events=300)
+    deliver(spark, incoming, lines_of(rows), parts=6)
+    silver = zones.ingest(spark, incoming, lake, files_per_batch=2)
+    assert silver.count() == len({(r["ts"], r["userId"]) for r in rows})
+    assert versions.versions(spark, lake.data("bronze"), zones.BATCH) == [0]
