@@ -44,6 +44,21 @@ def zone_exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def existing_folders(
+    spark: SparkSession, path: str, values: Iterable[Sequence[str]], partition: Sequence[str] = DAY_PARTITION
+) -> list[str]:
+    """The folders of some partitions of a zone, as far as they are there."""
+    folders = ["/".join([path, *[f"{p}={v}" for p, v in zip(partition, value)]]) for value in values]
+    return [f for f in folders if exists(spark, f)]
+
+
+def read_folders(spark: SparkSession, path: str, folders: Sequence[str], schema: T.StructType = ZONE_SCHEMA) -> DataFrame:
+    """The rows of some folders of a zone. They are given to the scan, so no other folder is listed."""
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
 def read_partitions(
     spark: SparkSession,
     path: str,
@@ -51,12 +66,8 @@ def read_partitions(
     partition: Sequence[str] = DAY_PARTITION,
     schema: T.StructType = ZONE_SCHEMA,
 ) -> DataFrame:
-    """The rows of some partitions of a zone. Their folders are given to the scan, so no other folder is listed."""
-    folders = ["/".join([path, *[f"{p}={v}" for p, v in zip(partition, value)]]) for value in values]
-    present = [f for f in folders if exists(spark, f)]
-    if not present:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*present)
+    """The rows of some partitions of a zone."""
+    return read_folders(spark, path, existing_folders(spark, path, values, partition), schema)
 
 
 def read_days(spark: SparkSession, path: str, days: Sequence[str], schema: T.StructType = ZONE_SCHEMA) -> DataFrame:

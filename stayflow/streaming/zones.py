@@ -23,7 +23,7 @@ from ..operators.merge import EVENT_KEY, dedup_events, missing_from
 from ..plans.incremental import UserState
 from ..schema import ALL_DAYS, DAY_PARTITION, EVENT_SCHEMA, ZONE_SCHEMA
 from ..sources.files import stream_lines
-from ..sources.lake import mark_followed, read_partitions, read_zone, write_zone, zone_exists
+from ..sources.lake import existing_folders, mark_followed, read_folders, read_zone, write_zone, zone_exists
 from ..sources.versions import versions
 from .runs import drain, triggered
 
@@ -128,19 +128,19 @@ def merge_batch(
 ) -> None:
     """Insert the batch rows whose key is not yet in the zone.
 
-    Only the folders of the batch's days are listed and read. A batch is bounded by its bytes, and so is its list of days.
+    Only the folders of the batch's days are listed and read; without any of them all rows are new, and nothing is joined. A batch is
+    bounded by its bytes, and so is its list of days. The batch is read twice, the first time for its days only.
     """
     spark = batch.sparkSession
-    rows = (dedup_events(batch, keys) if dedup else batch).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        days = [tuple(r) for r in rows.select(*partition).distinct().toLocalIterator()]
-        if not days:
-            return
-        known = read_partitions(spark, path, days, partition)
+    days = [tuple(r) for r in batch.select(*partition).distinct().toLocalIterator()]
+    if not days:
+        return
+    folders = existing_folders(spark, path, days, partition)
+    rows = dedup_events(batch, keys) if dedup else batch
+    if folders:
         on = [*partition, *[k for k in keys if k not in partition]]
-        write_zone(missing_from(rows, known, on), path, partition=partition)
-    finally:
-        rows.unpersist()
+        rows = missing_from(rows, read_folders(spark, path, folders), on)
+    write_zone(rows, path, partition=partition)
 
 
 def without_recent_copies(rows: DataFrame, within: str) -> DataFrame:
@@ -175,9 +175,19 @@ def write_silver(
     if recent:
         rows = without_recent_copies(rows, recent)
     path = lake.data("silver")
+
+    def insert(batch: DataFrame, _: int) -> None:
+        # The merge reads a batch more than once; what the state store has let pass is kept for that.
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK) if recent else batch
+        try:
+            merge_batch(kept, path, keys, dedup)
+        finally:
+            if recent:
+                kept.unpersist()
+
     writer = (
         rows.writeStream.queryName("silver")
-        .foreachBatch(lambda batch, _: merge_batch(batch, path, keys, dedup))
+        .foreachBatch(insert)
         .option("checkpointLocation", lake.checkpoint("silver"))
     )
     return triggered(writer, every).start()

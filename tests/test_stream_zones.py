@@ -170,3 +170,17 @@ def test_bronze_batches_do_not_depend_on_the_number_of_raw_files(spark, places):
     silver = zones.ingest(spark, incoming, lake, files_per_batch=2)
     assert silver.count() == len({(r["ts"], r["userId"]) for r in rows})
     assert versions.versions(spark, lake.data("bronze"), zones.BATCH) == [0]
+
+
+def test_new_days_are_merged_without_a_join(spark, monkeypatch):
+    path = new_folder(spark, "silver")
+    joined = []
+    inner = zones.missing_from
+    monkeypatch.setattr(zones, "missing_from", lambda *args: joined.append(args[2]) or inner(*args))
+    rows = random_rows(55, events=200)
+    events = clean.add_date_parts(spark.createDataFrame([json.dumps(r) for r in rows], "string").transform(clean.parse_json_lines))
+    zones.merge_batch(events, path)
+    assert not joined
+    zones.merge_batch(events, path)
+    assert len(joined) == 1
+    assert spark.read.parquet(path).count() == len({(r["ts"], r["userId"]) for r in rows})
