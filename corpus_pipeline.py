@@ -11,6 +11,9 @@ of ``documents``; the last one adds where each row goes.
 4. mix: every document is repeated as often as the source targets want it, 0 to 3 times.
 5. shards: all rows in the order of a Hilbert curve, cut into 8 shards.
 
+Texts pass between the JVM and Python in batches of ``TEXT_BATCH`` rows: the session's default of 10,000 whole texts, or of as many
+pairs of them, is what an executor would need most of its memory beside the heap for, once per task and on both sides.
+
 Nulls, empty texts, repeated rows and empty tables are handled as the operators state. ``labels`` and ``benchmark`` are read
 from the data folder. The result of ``run`` depends on models, so there is no SQL for it; tests compare the stages with
 brute force.
@@ -19,6 +22,7 @@ brute force.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,17 +35,35 @@ from stayflow.llm.mixing import mixed_documents
 from stayflow.llm.quality_knn import classify_quality
 from stayflow.llm.queries import QUALITY_CUT
 
+#: Twice ``quality_knn.BLOCK``, so that a batch is cut into whole blocks.
+TEXT_BATCH = 1024
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    """The stage, with the session's Arrow batches bounded; the setting stays, since the result is computed later."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
 
+@in_small_batches
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scored = classify_quality(docs, table(spark, sf_dir, "labels"), into="_quality_score", vote=True)
     low = F.coalesce(F.col("_quality_score") < QUALITY_CUT, F.lit(False))
     return scored.where(~low).select(*docs.columns)
 
 
+@in_small_batches
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without_near_duplicates(docs)
 
 
+@in_small_batches
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontaminate(docs, table(spark, sf_dir, "benchmark"), into="_contamination")
     return found.where(~is_contaminated(F.col("_contamination"))).select(*docs.columns)
@@ -59,7 +81,7 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 #: Columns of the last stage; they replace columns of the same name.
 PLACES = ["size", "text_crc32", "law", "shard", "slot", "curve_index"]
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("quality", quality),
     ("near_dedup", near_dedup),
     ("decontaminate", decontaminated),

@@ -39,3 +39,16 @@ def test_stages_take_odd_and_empty_tables(odd, nothing, spark, name, stage):
     if name != "shards":
         assert out.columns == wide.columns
     assert len(rows) <= 45
+
+
+def test_stages_with_python_bound_their_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = pipeline.table(spark, FOLDER, "documents")
+    before = spark.conf.get(key, None)
+    try:
+        for stage in (pipeline.quality, pipeline.near_dedup, pipeline.decontaminated):
+            spark.conf.unset(key)
+            stage(spark, docs.limit(5), FOLDER)
+            assert int(spark.conf.get(key)) == pipeline.TEXT_BATCH
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
