@@ -595,11 +595,10 @@ def stream_users(spark, folder):
     """The user table kept up to date from silver over two deliveries."""
     incoming, zone = new_folder(spark, "incoming"), _new_lake(spark)
     log = activity_log(spark, folder)
-    _deliver(json_lines(log.where(clean.day_of(F.col("ts")) < REDELIVERED_FROM)), incoming)
-    for _ in range(2):
+    for delivery in (log.where(clean.day_of(F.col("ts")) < REDELIVERED_FROM), log):
+        _deliver(json_lines(delivery), incoming)
         zones.ingest(spark, incoming, zone)
         runs.drain(zones.write_users(spark, zone, buckets=8, churn=False))
-        _deliver(json_lines(log), incoming)
     users = zones.user_state(spark, zone, churn=False).users()
     return rounded(underscore_columns(features.with_page_columns(users, PAGES)))
 

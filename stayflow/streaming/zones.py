@@ -28,6 +28,8 @@ from ..sources.versions import versions
 from .runs import drain, triggered
 
 BYTES_PER_BATCH = 4 << 30
+#: Key columns from which the day of a row follows.
+DAY_OF_KEY = {"ts", "event_date"}
 #: Numbered folders of bronze, rejected and broken rows.
 BATCH = "batch"
 BRONZE_SCHEMA = T.StructType([*ZONE_SCHEMA, T.StructField(BATCH, T.LongType())])
@@ -136,7 +138,12 @@ def merge_batch(
     if not days:
         return
     folders = existing_folders(spark, path, days, partition)
-    rows = dedup_events(batch, keys) if dedup else batch
+    rows = batch
+    if folders and DAY_OF_KEY & set(keys) and partition == DAY_PARTITION:
+        # Copies of a key share its day, so known keys can go before the rest is deduplicated.
+        rows, folders = missing_from(rows, read_folders(spark, path, folders), keys), []
+    if dedup:
+        rows = dedup_events(rows, keys)
     if folders:
         on = [*partition, *[k for k in keys if k not in partition]]
         rows = missing_from(rows, read_folders(spark, path, folders), on)

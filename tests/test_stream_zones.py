@@ -184,3 +184,27 @@ def test_new_days_are_merged_without_a_join(spark, monkeypatch):
     zones.merge_batch(events, path)
     assert len(joined) == 1
     assert spark.read.parquet(path).count() == len({(r["ts"], r["userId"]) for r in rows})
+
+
+def test_a_key_without_a_day_is_known_by_day(spark):
+    path = new_folder(spark, "silver")
+    dated = lambda *days: clean.add_date_parts(
+        spark.createDataFrame(lines_of([event("a", d, page=p) for d, p in days]), "string").transform(clean.parse_json_lines)
+    )
+    for _ in range(2):
+        zones.merge_batch(dated(("2018-10-02", "Home"), ("2018-10-01", "About")), path, ["userId"])
+    zones.merge_batch(dated(("2018-10-03", "Home")), path, ["userId"])
+    assert sorted(str(r.event_date) for r in spark.read.parquet(path).collect()) == ["2018-10-01", "2018-10-03"]
+
+
+def test_users_are_kept_over_two_deliveries(spark, monkeypatch):
+    folder, delivered = new_folder(spark, "tables"), []
+    events = spark.range(2000).selectExpr(
+        "id AS event_id", "timestamp'2024-01-10 00:00:00' + make_interval(0, 0, 0, 0, id div 200, id % 60, 0) AS ts", "id % 7 AS user_id",
+        "if(id % 3 = 0, 'view', 'click') AS event_type", "double(id % 40) AS value", "concat('{\"k\": ', id % 100, '}') AS props",
+    )
+    events.write.parquet(f"{folder}/events.parquet")
+    inner = queries._deliver
+    monkeypatch.setattr(queries, "_deliver", lambda lines, path, *rest: delivered.append(path) or inner(lines, path, *rest))
+    assert queries.REGISTRY["stream_users"](spark, folder).count() == 7
+    assert len(delivered) == 2
