@@ -22,6 +22,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 #: Shuffle files of a finished write go at once instead of when the driver happens to collect its garbage.
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Nobody waits for an empty ``_SUCCESS`` file of an intermediate table. On a local or mounted folder the driver starts processes
+#: that set its permissions, and each of them counts as a second driver for a moment.
+_MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
@@ -32,7 +35,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     before = spark.conf.get(_CLEAN_UP, "false")
     spark.conf.set(_CLEAN_UP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option(_MARKER, "false").parquet(path)
     finally:
         spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -11,7 +11,8 @@ A document is the set of its 5-word shingles (A-Z lower-cased, words between whi
 2. Stars: in each band bucket every member is paired with one hub only, the smallest member. Pairs are estimated by bit counts
    of the signatures, corrected for lanes that agree by chance, and discarded 5 deviations below the threshold, or if the
    parities prove that the sets differ too much. What remains is confirmed on the full shingle sets. The links give first
-   components. In ``STAR_ROUNDS`` - 1 further rounds buckets that still hold several components get other hubs.
+   components. In ``STAR_ROUNDS`` - 1 further rounds buckets that still hold several components get other hubs; where there are
+   none, the search ends.
 3. Rest: buckets that still hold several components are searched in full for pairs across components; pairs inside a
    component cannot change anything. Estimate, confirmation and components follow as before. So a bucket of very many near
    copies costs a few pairs per member, and no link between different components is lost.
@@ -186,7 +187,9 @@ def may_link(a: Column, b: Column) -> Column:
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts (id, text) are linked."""
+    """The stored pairs (a, b) whose texts (id, text) are linked."""
+    if pairs.isEmpty():
+        return pairs
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     needed = stored(texts.join(ids, "id", "left_semi"), "minhash-texts")
     left = needed.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
@@ -234,25 +237,34 @@ def marked(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         rank = F.struct(F.xxhash64("d", F.lit(turn)) if turn else F.lit(0).cast("long"), "d", "c")
         hubs = named.groupBy("k").agg(F.min(rank).alias("hub"), F.min("c").alias("low"), F.max("c").alias("high"))
         hubs = hubs.where("low < high").select("k", F.col("hub.d").alias("hub"), F.col("hub.c").alias("hub_c"))
-        stars = named.join(hubs, "k").where("c <> hub_c")
+        # A bucket that holds one component stays so: later rounds read the members of the others only.
+        members = stored(named.join(hubs, "k"), "minhash-open")
+        if members.isEmpty():
+            break
+        entries = members.select("k", "d")
+        stars = members.where("c <> hub_c")
         stars = stars.select(F.least("hub", "d").alias("a"), F.greatest("hub", "d").alias("b")).distinct()
         pairs = estimated_pairs(stars if tried is None else stars.join(tried, ["a", "b"], "left_anti"), info)
         tried = pairs if tried is None else tried.unionByName(pairs)
         found = merged(found, confirmed(pairs, texts))
-
-    named = with_components(entries, found)
-    open_buckets = named.groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("k")
-    members = named.join(open_buckets, "k", "left_semi").join(info, F.col("d") == F.col("doc_id")).select("k", "c", "d", "s")
-    members = stored(members, "minhash-open")
-    x, y = members.alias("x"), members.alias("y")
-    across = x.join(y, (F.col("x.k") == F.col("y.k")) & (F.col("x.c") < F.col("y.c")) & may_link(F.col("x.s"), F.col("y.s")))
-    across = across.select(F.least("x.d", "y.d").alias("a"), F.greatest("x.d", "y.d").alias("b")).distinct()
-    more = confirmed(stored(across.join(tried, ["a", "b"], "left_anti"), "minhash-across"), texts)
-    found = merged(found, more)
+    else:
+        named = with_components(entries, found)
+        open_buckets = named.groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("k")
+        members = named.join(open_buckets, "k", "left_semi").join(info, F.col("d") == F.col("doc_id")).select("k", "c", "d", "s")
+        members = stored(members, "minhash-open")
+        x, y = members.alias("x"), members.alias("y")
+        across = x.join(y, (F.col("x.k") == F.col("y.k")) & (F.col("x.c") < F.col("y.c")) & may_link(F.col("x.s"), F.col("y.s")))
+        across = across.select(F.least("x.d", "y.d").alias("a"), F.greatest("x.d", "y.d").alias("b")).distinct()
+        more = confirmed(stored(across.join(tried, ["a", "b"], "left_anti"), "minhash-across"), texts)
+        found = merged(found, more)
 
     groups = firsts.select("set_key", F.col("doc_id").alias("first"))
-    groups = groups.join(found, F.col("first") == F.col("node"), "left")
-    groups = groups.select("set_key", F.coalesce("component", "first").alias("component"))
+    if found is None:
+        groups = groups.withColumn("component", F.col("first"))
+    else:
+        groups = groups.join(found, F.col("first") == F.col("node"), "left")
+        groups = groups.withColumn("component", F.coalesce("component", "first"))
+    groups = groups.select("set_key", "component")
     named_rows = sketches.select("doc_id", "n_shingles", "set_key").join(groups, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
@@ -260,12 +272,12 @@ def marked(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return rows.withColumn("kept", kept)
 
 
-def merged(found: DataFrame | None, links: DataFrame) -> DataFrame:
+def merged(found: DataFrame | None, links: DataFrame) -> DataFrame | None:
     """Components (node, component) after further links (a, b); the old ones enter as one link per node."""
-    if found is None:
-        return components(links)
     if links.isEmpty():
         return found
+    if found is None:
+        return components(links)
     old = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     return components(old.unionByName(links))
 

@@ -3,9 +3,10 @@
 Terms of a text are its tokens as shapes (runs of letters shortened, other characters kept), tokens that repeat the one
 before, and its lower-cased words, hashed to ``TERMS`` positions. Shapes count by their share of the tokens; word counts are
 damped and weighted by inverse document frequencies, which are summed over all documents. A truncated singular value decomposition of a bounded sample of labelled texts (``MAX_TRAINING_ROWS`` at most,
-half of them for each label) gives the latent space. The labelled vectors, at most that many rows of ``DIMENSIONS`` numbers,
-are broadcast; every document is compared with all of them by exact cosine products, block by block, and its ``NEIGHBOURS``
-nearest vote with their labels, weighted by similarity. Votes are corrected for the labels' shares in the sample.
+half of them for each label) gives the latent space. Tasks count the terms of that sample, one task decomposes the counts, and the
+driver sees the model only, no text. The labelled vectors, at most that many rows of ``DIMENSIONS`` numbers, are broadcast; every
+document is compared with all of them by exact cosine products, block by block, and its ``NEIGHBOURS`` nearest vote with their
+labels, weighted by similarity. Votes are corrected for the labels' shares in the sample.
 
 Defined results: texts without a term (null, empty) and texts that resemble nothing score the share of label 1 among the
 learning rows; without rows of both labels everything does. ``vote`` gives such texts null instead. Ties in similarity are broken by the order of the labelled rows. Repeated
@@ -35,6 +36,9 @@ DIMENSIONS = 48
 MAX_TRAINING_ROWS = 4000
 NEIGHBOURS = 15
 BLOCK = 512
+COUNTS = T.StructType(
+    [T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.FloatType()))]
+)
 #: Letters to x or X, digits to 0; other ASCII characters stay.
 _KINDS = bytes(
     ord("0") if chr(b).isdigit() and b < 128 else ord("X") if 65 <= b <= 90 else ord("x") if 97 <= b <= 122 or b >= 128 else b
@@ -141,6 +145,57 @@ def top_directions(x: np.ndarray, k: int, extra: int = 16, rounds: int = 6) -> n
     return (q @ turn.T)[:, :k]
 
 
+@F.arrow_udf(COUNTS)
+def sparse_counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The terms of a text with their counts."""
+    for batch in batches:
+        counts = [term_counts(t.as_buffer().to_pybytes() if t.is_valid else None) for t in batch]
+        terms = [np.flatnonzero(c) for c in counts]
+        ends = pa.array(np.cumsum([0, *map(len, terms)]), pa.int32())
+        terms_of = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int64), *terms]), pa.int32()))
+        found = [c[t] for c, t in zip(counts, terms)]
+        counts_of = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.float32), *found]), pa.float32()))
+        yield pa.StructArray.from_arrays([terms_of, counts_of], names=COUNTS.names)
+
+
+def counted_terms(rows: DataFrame) -> DataFrame:
+    """(label, terms, counts) of the learning rows (text, label), in one partition in the order of the texts."""
+    counted = rows.select("text", "label", sparse_counts(F.col("text").cast("binary")).alias("c"))
+    ordered = counted.repartition(1).sortWithinPartitions("text", "label")
+    return ordered.select(F.col("label").cast("double").alias("label"), "c.terms", "c.counts")
+
+
+def fit(counted: DataFrame, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """The latent space, the rows in it at length 1, and their labels; None without rows of both labels.
+
+    One task does it: the rows are bounded by the size of the sample, whatever the table.
+    """
+
+    def decomposed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [b for b in batches if b.num_rows]
+        y = np.concatenate([np.zeros(0), *(b.column("label").to_numpy() for b in kept)])
+        if not len(y) or y.min() == y.max():
+            return
+        rows = ((t.values.to_numpy(), c.values.to_numpy()) for b in kept for t, c in zip(b.column("terms"), b.column("counts")))
+        x = np.empty((len(y), TERMS), np.float32)
+        for at in range(0, len(y), BLOCK):
+            dense = np.zeros((min(BLOCK, len(y) - at), TERMS), np.float32)
+            for row, (terms, counts) in zip(dense, rows):
+                row[terms] = counts
+            x[at : at + BLOCK] = weighted(dense, idf)
+        space = top_directions(x, DIMENSIONS).astype(np.float32)
+        z = x @ space
+        size = np.linalg.norm(z, axis=1, keepdims=True)
+        z = (z / np.where(size > 0, size, 1)).astype(np.float32)
+        yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()]) for a in (space, z, y)], names=["space", "z", "y"])
+
+    found = counted.mapInArrow(decomposed, "space binary, z binary, y binary").first()
+    if found is None:
+        return None
+    space, z, y = (np.frombuffer(found[c], k) for c, k in (("space", np.float32), ("z", np.float32), ("y", float)))
+    return space.reshape(TERMS, -1), z.reshape(len(y), -1), y
+
+
 def learn(documents: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_TRAINING_ROWS) -> Neighbours:
     df, n_docs = document_frequencies(documents)
     idf = np.log((1 + n_docs) / (1 + df)).astype(np.float32) + 0.1
@@ -151,18 +206,10 @@ def learn(documents: DataFrame, labels: DataFrame, label: str = "quality", max_r
     none = np.zeros((0, DIMENSIONS), np.float32)
     if not n0 or not n1:
         return Neighbours(idf, np.zeros((TERMS, DIMENSIONS), np.float32), none, np.zeros(0), np.ones(2), rate)
-    rows = sorted((r["text"], r["label"]) for r in training_rows(documents, labels, label, max_rows, max_rows // 2).toLocalIterator())
-    y = np.array([v for _, v in rows], float)
-    if not len(y) or y.min() == y.max():
+    fitted = fit(counted_terms(training_rows(documents, labels, label, max_rows, max_rows // 2)), idf)
+    if fitted is None:
         return Neighbours(idf, np.zeros((TERMS, DIMENSIONS), np.float32), none, np.zeros(0), np.ones(2), rate)
-    x = np.empty((len(rows), TERMS), np.float32)
-    for at in range(0, len(rows), BLOCK):
-        x[at : at + BLOCK] = weighted(np.array([term_counts(t.encode()) for t, _ in rows[at : at + BLOCK]]), idf)
-    top = top_directions(x, DIMENSIONS)
-    space = top.astype(np.float32)
-    z = x @ space
-    size = np.linalg.norm(z, axis=1, keepdims=True)
-    z = (z / np.where(size > 0, size, 1)).astype(np.float32)
+    space, z, y = fitted
     lift = np.array([n0 / (y == 0).sum(), n1 / (y == 1).sum()])
     return Neighbours(idf, space, z, y, lift / lift.sum(), rate)
 
